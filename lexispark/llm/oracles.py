@@ -1,5 +1,7 @@
 """DuckDB SQL with the same rows as the queries, where SQL can express them."""
 
+from lexispark.llm.quality_rules import RULES, STOP_WORDS
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP9 = rf"""
@@ -13,4 +15,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM flagged GROUP BY doc_id
 """
 
-ORACLES = {"op9_line_dedup": OP9}
+_STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+_RULE = "NOT base_failed AND " + " AND ".join(r.sql() for r in RULES)
+
+OP1 = rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM win) WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM rep, range(0, 8) r(k) GROUP BY doc_id),
+ln AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w),
+dup AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    CAST(len(list_filter(words, lambda x: lower(x) IN ({_STOP}))) AS BIGINT) AS n_stop_words,
+    CAST(len(list_filter(words, lambda x: ends_with(x, '!!'))) AS BIGINT) AS n_loud_words
+  FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN dup USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT *, {_RULE} AS kept FROM b
+"""
+
+ORACLES = {
+    "op1_quality_rules": OP1,
+    "op9_line_dedup": OP9,
+}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm.line_dedup import dedup_lines
+from lexispark.llm.quality_rules import apply_rules
 from lexispark.llm.shared import table
 
 
@@ -13,9 +14,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = apply_rules(documents(spark, sf_dir))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select(*columns, "n_lines", "n_stop_words", "n_loud_words")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op9_line_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op9_line_dedup)}
