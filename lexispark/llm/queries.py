@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispark.llm.bpe import round_trip
 from lexispark.llm.line_dedup import dedup_lines
 from lexispark.llm.quality_rules import apply_rules
 from lexispark.llm.shared import table
+from lexispark.llm.token_counts import count_tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +23,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*columns, "n_lines", "n_stop_words", "n_loud_words")
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_bpe, op8_token_counts, op9_line_dedup)}
