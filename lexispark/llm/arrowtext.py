@@ -64,13 +64,13 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, offsets, null
 
 
-def blocks(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20, text: str = "text") -> Iterator[Block]:
+def blocks(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20, text: str = "text", max_rows: int = 1 << 30) -> Iterator[Block]:
     for batch in batches:
         data, offsets, null = buffers(batch.column(text))
         i, n = 0, len(null)
         while i < n:
             j = int(np.searchsorted(offsets, offsets[i] + max_bytes, "right")) - 1
-            j = min(max(j, i + 1), n)
+            j = min(max(j, i + 1), i + max_rows, n)
             yield Block(batch, i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], null[i:j])
             i = j
 
@@ -125,3 +125,12 @@ def words(block: Block, separator: np.ndarray = WHITE) -> tuple[np.ndarray, np.n
 
 def lowered(block: Block) -> np.ndarray:
     return LOWER[block.data]
+
+
+def lowered_latin(data: np.ndarray) -> np.ndarray:
+    """A-Z and the capitals of Latin-1 (two bytes, the first 0xC3) in lower case."""
+    out = LOWER[data]
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    capital = second[(data[second] <= 0x9E) & (data[second] != 0x97)]
+    out[capital] += 0x20
+    return out

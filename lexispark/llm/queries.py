@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm.bpe import round_trip
+from lexispark.llm.language_id import identify
 from lexispark.llm.line_dedup import dedup_lines
+from lexispark.llm.quality_classifier import classify
 from lexispark.llm.quality_rules import apply_rules
-from lexispark.llm.shared import table
+from lexispark.llm.shared import fold, table
 from lexispark.llm.token_counts import count_tokens
 
 
@@ -23,10 +25,22 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*columns, "n_lines", "n_stop_words", "n_loud_words")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify(docs.drop("lang"), docs.where(fold(3) != 1))
+    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score", "distance", "rejected")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(fold(5) > 0).select("doc_id", F.col("quality").alias("label"))
+    scored = classify(documents(spark, sf_dir), labels)
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -36,4 +50,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_bpe, op8_token_counts, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_bpe, op7_quality_classifier, op8_token_counts, op9_line_dedup)}

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -17,3 +20,32 @@ def ready(spark: SparkSession) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fold(modulus: int) -> Column:
+    """crc32 of doc_id as text, modulo ``modulus``; -1 for a row without doc_id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(-1))
+
+
+def sum_arrays(parts: DataFrame, length: int, ways: int = 16) -> np.ndarray:
+    """The sum of int64 arrays of fixed length, one row ``part binary`` each; two levels, so that the driver gets ``ways`` arrays."""
+
+    def run(batches):
+        total = np.zeros(length, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                total += np.frombuffer(x.as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+
+    rows = parts.repartition(ways).mapInArrow(run, "part binary").collect()
+    return np.sum([np.frombuffer(r[0], np.int64) for r in rows] or [np.zeros(length, np.int64)], axis=0)
+
+
+def labelled_sample(labelled: DataFrame, size: int, *strata: str) -> DataFrame:
+    """At most ``size`` rows of each stratum, always the same: those of the smallest hashes of doc_id."""
+    from pyspark.sql import Window
+
+    if not strata:
+        return labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+    order = Window.partitionBy(*strata).orderBy(F.xxhash64("doc_id"), "doc_id")
+    return labelled.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= size).drop("__rank")
