@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from lexispark.llm.bpe import round_trip
 from lexispark.llm.language_id import identify
 from lexispark.llm.line_dedup import dedup_lines
-from lexispark.llm.quality_classifier import classify
+from lexispark.llm.quality_classifier import classify as classify_quality
 from lexispark.llm.quality_rules import apply_rules
 from lexispark.llm.shared import fold, table
 from lexispark.llm.token_counts import count_tokens
+from lexispark.llm.toxicity import classify as classify_toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(fold(5) > 0).select("doc_id", F.col("quality").alias("label"))
-    scored = classify(documents(spark, sf_dir), labels)
+    scored = classify_quality(documents(spark, sf_dir), labels)
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -50,4 +51,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_bpe, op7_quality_classifier, op8_token_counts, op9_line_dedup)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(fold(5) > 0).select("doc_id", F.col("toxic").alias("label"))
+    scored = classify_toxicity(documents(spark, sf_dir), labels)
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_bpe, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity)}
