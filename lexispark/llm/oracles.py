@@ -35,7 +35,26 @@ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 SELECT *, {_RULE} AS kept FROM b
 """
 
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP5 = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+b AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+item AS (SELECT item_id, words, least(len(words), 10) AS width FROM b WHERE len(words) > 0),
+win AS (SELECT DISTINCT item_id, width, array_to_string(words[i:i + width - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(words) - width + 2)) AS i FROM item)),
+widths AS (SELECT DISTINCT width FROM item),
+cut AS (SELECT doc_id, width, i, array_to_string(words[i:i + width - 1], ' ') AS win
+        FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS i FROM d, widths WHERE len(words) >= width)),
+hit AS (SELECT doc_id, item_id, width, i FROM cut JOIN win USING (width, win)),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, range(0, 10) r(k) WHERE k < width GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
 ORACLES = {
     "op1_quality_rules": OP1,
+    "op5_decontamination": OP5,
     "op9_line_dedup": OP9,
 }
