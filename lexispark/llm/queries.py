@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lexispark.llm.bpe import round_trip
 from lexispark.llm.decontamination import find_passages
+from lexispark.llm.jaccard_join import join_documents
 from lexispark.llm.language_id import identify
 from lexispark.llm.line_dedup import dedup_lines
 from lexispark.llm.quality_classifier import classify as classify_quality
@@ -43,6 +44,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_documents(documents(spark, sf_dir))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(fold(5) > 0).select("doc_id", F.col("quality").alias("label"))
     scored = classify_quality(documents(spark, sf_dir), labels)
@@ -64,4 +69,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_bpe, op5_decontamination, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_bpe, op5_decontamination, op6_jaccard_join, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity)}
