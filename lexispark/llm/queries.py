@@ -14,6 +14,7 @@ from lexispark.llm.line_dedup import dedup_lines
 from lexispark.llm.quality_classifier import classify as classify_quality
 from lexispark.llm.quality_rules import apply_rules
 from lexispark.llm.shared import fold, table
+from lexispark.llm.substring_dedup import dedup_substrings
 from lexispark.llm.token_counts import count_tokens
 from lexispark.llm.toxicity import classify as classify_toxicity
 
@@ -34,6 +35,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score", "distance", "rejected")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_substrings(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -69,4 +75,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_bpe, op5_decontamination, op6_jaccard_join, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_bpe, op5_decontamination, op6_jaccard_join, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity)}
