@@ -159,8 +159,8 @@ class TreeCodec:
             self.known[piece] = found
         return found
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of tokens, and the digests of the written ids and of the bytes they decode to."""
+    def digest(self, text: str, kept: list[int] | None = None) -> tuple[int, str, str]:
+        """Number of tokens, and the digests of the written ids and of the bytes they decode to; the ids go to kept."""
         ids, data, n, first = hashlib.sha256(), hashlib.sha256(), 0, True
         for pieces in [self.pieces.findall(text)] if len(text) <= RUN else self.runs(text):
             known = self.known
@@ -170,6 +170,8 @@ class TreeCodec:
             ids.update(line.encode() if first else b" " + line.encode())
             data.update(b"".join([x[1] for x in parts]))
             first = False
+            if kept is not None and line:
+                kept.extend(map(int, line.split(" ")))
         return n, ids.hexdigest(), data.hexdigest()
 
     def runs(self, text: str):
@@ -218,18 +220,24 @@ def decode_tokens(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "token_ids").mapInArrow(run, f"doc_id {name}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text, without keeping the ids."""
+def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text; with keep_ids, token_ids too."""
     name = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * keep_ids]
 
     def run(batches):
         own = codec(path, pattern)
         for b in blocks(batches):
-            rows = [own.digest(b.raw(i).decode()) for i in range(len(b))]
-            n, ids, data = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {name}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            n, ids, data, lists = [], [], [], []
+            for i in range(len(b)):
+                kept: list[int] | None = [] if keep_ids else None
+                for column, x in zip((n, ids, data), own.digest(b.raw(i).decode(), kept), strict=True):
+                    column.append(x)
+                lists.append(kept)
+            columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(lists, pa.list_(pa.int32()))] * keep_ids], names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {name}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids)
 
 
 def round_trips_exactly(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -127,7 +127,6 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slack: int = 3, win
     return met.join(small_side(items.select("key", "item_id")), "key").select("doc_id", "item_id", "pos1", "pos2").distinct()
 
 
-def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without any hit, all columns kept."""
-    hit = find_passages(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__doc"]), "left_anti")
+def contaminated_ids(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The doc_ids of rows that hold a window of the benchmark."""
+    return find_passages(docs, benchmark).where("contaminated").select("doc_id").distinct()

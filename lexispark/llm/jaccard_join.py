@@ -322,7 +322,6 @@ def join_documents(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its component, all columns kept."""
-    kept = join_documents(docs, k, percent).where("component_id = doc_id or doc_id is null").select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__doc"]), "left_semi")
+def duplicate_ids(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The doc_ids that are not the smallest of their component."""
+    return join_documents(docs, k, percent).where("component_id <> doc_id").select("doc_id").distinct()
