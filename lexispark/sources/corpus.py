@@ -27,8 +27,8 @@ def text_files(spark: SparkSession, folder: str, recursive: bool = True) -> Data
     Suffixes count in any case; other files are left out. Bytes that are no UTF-8 are dropped.
     PDF files need a parser and are read by ``pdf_pages``.
     """
-    read = spark.read.option("recursiveFileLookup", recursive).option("wholetext", True)
-    raw = read.text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("filename"), F.regexp_replace("value", "�", "").alias("raw_text"), F.date_format("_metadata.file_modification_time", "yyyy-MM-dd").alias("modified"))
+    plain = lambda c: F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))  # noqa: E731  Spark gives file names as parts of URLs
+    raw = spark.read.text(folder, wholetext=True, recursiveFileLookup=recursive).select(plain("_metadata.file_path").alias("path"), plain("_metadata.file_name").alias("filename"), F.regexp_replace("value", "�", "").alias("raw_text"), F.date_format("_metadata.file_modification_time", "yyyy-MM-dd").alias("modified"))
     suffix = F.lower(F.substring_index("filename", ".", -1))
     rows = raw.withColumn("doc_type", suffix).where(suffix.isin(*SUFFIXES[:3]))
     # The rank needs an order over all paths; only paths move, the texts join on them.
