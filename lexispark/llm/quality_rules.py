@@ -94,6 +94,6 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Ru
     """doc_id, the measures, base_failed, kept, and the names of the broken rules."""
     measured = docs.select("doc_id", F.expr(measures()).alias("m")).select("doc_id", "m.*")
     broken = ", ".join(f"if({r.sql()}, null, '{r.name}')" for r in (*base, *rules))
-    base_failed = " or ".join(f"not {r.sql()}" for r in base)
-    verdict = " and ".join(r.sql() for r in (*base, *rules))
-    return measured.selectExpr("*", f"({base_failed}) as base_failed", f"({verdict}) as kept", f"array_compact(array({broken})) as broken").drop("one")
+    base_failed = " or ".join(f"not {r.sql()}" for r in base) or "false"
+    verdict = " and ".join(r.sql() for r in (*base, *rules)) or "true"
+    return measured.selectExpr("*", f"({base_failed}) as base_failed", f"({verdict}) as kept", f"array_compact(cast(array({broken}) as array<string>)) as broken").drop("one")
