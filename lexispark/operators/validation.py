@@ -38,10 +38,12 @@ def best_matching(excerpts: DataFrame, documents: DataFrame) -> DataFrame:
     words = F.array_distinct(F.filter(F.split(X.normalised(F.col("text")), " "), lambda w: F.length(w) >= 4))
     asked = excerpts.select("item_id", words.alias("words"), F.posexplode("sources").alias("pos", "source"))
     long = asked.select("item_id", "pos", "source", F.size("words").alias("n"), F.explode("words").alias("word"))
-    # A word is looked for in every section of the source, and found once however many hold it.
-    wanted = long.groupBy("source").agg(F.collect_set("word").alias("wanted"))
-    texts = documents.select("source", X.normalised(F.col("text")).alias("d")).join(wanted, "source")
-    found = texts.select("source", F.explode(F.expr("filter(wanted, w -> contains(d, w))")).alias("word")).distinct()
+    # A word has no spaces, so a text holds it where one of its own words does; four letters of it find those words.
+    wanted = long.select("word").distinct().withColumn("start", F.left("word", F.lit(4)))
+    own = F.array_distinct(F.filter(F.split(X.normalised(F.col("text")), " "), lambda w: F.length(w) >= 4))
+    terms = documents.select("source", F.explode(own).alias("term")).distinct()
+    starts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("term") - 3), lambda i: F.substring(F.col("term"), i, F.lit(4))))
+    found = terms.withColumn("start", F.explode(starts)).join(wanted, "start").where(F.contains("term", F.col("word"))).select("source", "word").distinct()
     hits = long.join(found, ["source", "word"]).groupBy("item_id", "pos", "source", "n").agg(F.count("*").alias("hits"))
     best = hits.withColumn("score", F.round(F.col("hits") / F.col("n"), 6)).withColumn("r", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "pos")))
     return best.where("r = 1").select("item_id", "source", "score")
