@@ -29,6 +29,8 @@ from lexispark.llm.shared import labelled_sample, sum_arrays
 WORDS, SHAPES, DIMS, NONZERO, REACH = 8192, 2048, 32, 4, 2
 SAMPLE, HIDDEN, EPOCHS, BATCH, RATE, DECAY = 10_000, 32, 30, 128, 2e-3, 1e-4
 FEATURES = 4 * DIMS + 6
+#: Bytes of text handled at a time, so that the words' vectors stay in a core's cache.
+BLOCK_BYTES = 1 << 17
 
 #: Classes of bytes in a shape: capitals, small letters (and all beyond ASCII), digits; signs stand for themselves.
 CLASS = np.arange(256, dtype=np.uint8)
@@ -37,16 +39,12 @@ CLASS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = ord("x")
 CLASS[0x30:0x3A] = ord("9")
 
 
-def index_vectors(rows: int, seed: int) -> np.ndarray:
-    """Sparse random vectors, half of their entries +1 and half -1."""
-    random = np.random.default_rng(seed)
-    places = random.random((rows, DIMS)).argsort(axis=1)[:, :NONZERO]
-    out = np.zeros((rows, DIMS), np.float32)
-    np.put_along_axis(out, places, np.array([1, -1] * (NONZERO // 2), np.float32)[None, :], axis=1)
-    return out
+def index_places(rows: int, seed: int) -> np.ndarray:
+    """Sparse random index vectors by their NONZERO places: +1 at the even ones, -1 at the odd ones."""
+    return np.random.default_rng(seed).random((rows, DIMS)).argsort(axis=1)[:, :NONZERO]
 
 
-INDEX = np.vstack([index_vectors(WORDS, 11), index_vectors(SHAPES, 13)])
+PLACES = np.vstack([index_places(WORDS, 11), index_places(SHAPES, 13)])
 
 
 def tokens(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,18 +65,18 @@ def contexts(docs: DataFrame) -> np.ndarray:
     rows = WORDS + SHAPES
 
     def run(batches):
-        total = np.zeros((rows, DIMS), np.int64)
-        for b in blocks(batches):
+        total = np.zeros(rows * DIMS, np.int64)
+        for b in blocks(batches, BLOCK_BYTES):
             word, shape, doc = tokens(b)
-            for own in (word, shape):
-                around = np.zeros((len(own), DIMS), np.float32)
-                for k in range(1, REACH + 1):
-                    same = (doc[k:] == doc[:-k])[:, None]
-                    around[:-k] += INDEX[own[k:]] * same
-                    around[k:] += INDEX[own[:-k]] * same
-                low, n = (0, WORDS) if own is word else (WORDS, SHAPES)
-                for d in range(DIMS):
-                    total[low : low + n, d] += np.bincount(own - low, weights=around[:, d], minlength=n).astype(np.int64)
+            signs: tuple[list, list] = [], []
+            for k in range(1, REACH + 1):
+                same = doc[k:] == doc[:-k]
+                for own in (word, shape):
+                    left, right = own[:-k][same], own[k:][same]
+                    for z in range(NONZERO):
+                        signs[z % 2].extend((left * DIMS + PLACES[right, z], right * DIMS + PLACES[left, z]))
+            plus, minus = (np.bincount(np.concatenate(x), minlength=rows * DIMS) for x in signs)
+            total += plus - minus
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
     total = sum_arrays(docs.select("text").mapInArrow(run, "part binary"), rows * DIMS).reshape(rows, DIMS).astype(np.float64)
@@ -98,19 +96,22 @@ def pooled(block, vectors: np.ndarray) -> np.ndarray:
     least = np.maximum(size, 1)[:, None]
 
     def by_row(x: np.ndarray, of: np.ndarray) -> np.ndarray:
-        sums = np.zeros((len(x) + 1, x.shape[1]))
-        np.cumsum(x, axis=0, out=sums[1:])
-        borders = np.searchsorted(of, np.arange(n + 1))
-        return sums[borders[1:]] - sums[borders[:-1]]
-
-    out = []
+        """Sums over the words of each row; of: the rows' numbers, ordered."""
+        sums = np.zeros((n, x.shape[1]), np.float32)
+        begin = np.flatnonzero(np.diff(of, prepend=-1))
+        if len(begin):
+            sums[of[begin]] = np.add.reduceat(x, begin, axis=0)
+        return sums
+
+    out, both = [], np.hstack([vectors, vectors * vectors])
+    same = doc[1:] == doc[:-1]
     for own in (word, shape):
-        x = vectors[own]
-        mean = by_row(x, doc) / least
-        spread = np.sqrt(np.maximum(by_row(x * x, doc) / least - mean * mean, 0))
-        same = doc[1:] == doc[:-1]
-        agree = np.stack([(x[1:] * x[:-1]).sum(axis=1), own[1:] == own[:-1]], axis=1)[same] if len(doc) > 1 else np.zeros((0, 2))
-        out += [mean, spread, by_row(agree, doc[1:][same] if len(doc) > 1 else doc[:0]) / least]
+        x = both[own]
+        sums = by_row(x, doc) / least
+        mean = sums[:, :DIMS]
+        spread = np.sqrt(np.maximum(sums[:, DIMS:] - mean * mean, 0))
+        agree = np.stack([np.einsum("ij,ij->i", x[1:, :DIMS], x[:-1, :DIMS]), own[1:] == own[:-1]], axis=1)[same]
+        out += [mean, spread, by_row(agree.astype(np.float32), doc[1:][same]) / least]
     length = np.stack([np.log1p(size), np.log1p(np.diff(block.offsets)) - np.log1p(size)], axis=1)
     return np.hstack([*out, length]).astype(np.float32)
 
@@ -174,7 +175,7 @@ def classify(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Data
     ids = labelled_sample(known, sample)  # at most ``sample`` rows of two numbers
 
     def features(batches):
-        for b in blocks(batches):
+        for b in blocks(batches, BLOCK_BYTES):
             rows = [r.tobytes() for r in pooled(b, vectors.value)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("label").cast(pa.int32()), pa.array(rows, pa.binary())], ["doc_id", "label", "x"])
 
@@ -184,7 +185,7 @@ def classify(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Data
     net = spark.sparkContext.broadcast(fit(x, found["label"].to_numpy()))
 
     def run(batches):
-        for b in blocks(batches):
+        for b in blocks(batches, BLOCK_BYTES):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(net.value.score(pooled(b, vectors.value)).astype(np.float64))], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {name}, score double")
