@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,18 +12,43 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.expr("cast(xxhash64(u, v) as decimal(20, 0))"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of u is tied to the smallest of u and its neighbours."""
-    both = edges.unionByName(edges.selectExpr("v as u", "u as v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) as m")
-    return both.where("v > u").join(least, "u").selectExpr("v as u", "m as v").where("u <> v").distinct()
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """Ties neighbours to the smallest of a vertex and its neighbours.
 
+    The rows of a vertex come in order, so its smallest neighbour is its first row: no vertex,
+    however many links it has, is held in memory. The large star moves the larger neighbours
+    of u, the small star u itself and its smaller neighbours.
+    """
+
+    def run(batches):
+        last = None  # u, smallest of u and its neighbours, neighbour of the row before
+        for batch in batches:
+            u, v = batch.column("u").to_numpy(), batch.column("v").to_numpy()
+            if not len(u):
+                continue
+            new = np.ones(len(u), bool)
+            new[1:] = u[1:] != u[:-1]
+            repeated = np.zeros(len(u), bool)
+            repeated[1:] = ~new[1:] & (v[1:] == v[:-1])
+            if last is not None and last[0] == u[0]:
+                new[0], repeated[0] = False, last[2] == v[0]
+            heads = np.flatnonzero(new)
+            least = np.minimum(u[heads], v[heads])
+            if not new[0]:
+                least = np.append(last[1], least)
+            m = least[np.cumsum(new) - int(new[0])]
+            if large:
+                keep = (v > u) & ~repeated
+                a, b = v[keep], m[keep]
+            else:
+                keep = (v != m) & ~repeated
+                a, b = np.concatenate([v[keep], u[new]]), np.concatenate([m[keep], m[new]])
+            differ = a != b
+            yield pa.RecordBatch.from_arrays([pa.array(a[differ]), pa.array(b[differ])], ["u", "v"])
+            last = (u[-1], m[-1], v[-1])
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """u and its smaller neighbours are tied to the smallest of them; edges point from larger to smaller."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    tied = edges.join(least, "u").selectExpr("v as u", "m as v").unionByName(least.selectExpr("u", "m as v"))
-    return tied.where("u <> v").distinct()
+    both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*") if large else edges
+    return both.repartition("u").sortWithinPartitions("u", "v").mapInArrow(run, "u long, v long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -30,10 +57,10 @@ def components(links: DataFrame) -> DataFrame:
     Links to itself and repeated links count for nothing. Each round is checkpointed, so a
     lost executor costs one round at most.
     """
-    edges = links.where("u is not null and v is not null and u <> v").selectExpr("greatest(u, v) as u", "least(u, v) as v").distinct().checkpoint()
+    edges = links.where("u is not null and v is not null and u <> v").selectExpr("greatest(u, v) as u", "least(u, v) as v").checkpoint()
     state = _state(edges)
     while state[0]:
-        edges = _small_star(_large_star(edges)).checkpoint()
+        edges = _star(_star(edges, True), False).checkpoint()
         state, before = _state(edges), state
         if state == before:
             break

@@ -27,7 +27,6 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -38,8 +37,10 @@ from lexispark.llm.components import components
 from lexispark.llm.shared import stored, sum_arrays
 
 SHINGLE, PERCENT = 4, 85
-#: Longest list that gives pairs; sets in a chunk; buckets of the count sketch and of the filter of ids.
-HOT, CHUNK, SKETCH_BITS, FILTER_BITS = 24, 192, 18, 18
+#: Longest list that gives pairs; shingles in a chunk; buckets of the count sketch and of the filter of ids.
+HOT, CHUNK, SKETCH_BITS, FILTER_BITS = 32, 1_000_000, 20, 18
+#: Shingles that the prefixes of a candidate pair must share (fewer for tiny sets); prefixes are longer by as many.
+MEET = 3
 #: Sets whose overlaps are kept to derive others from.
 LEADERS = 8
 
@@ -72,18 +73,18 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
     """How often the shingles of each bucket occur in all documents."""
 
     def run(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << SKETCH_BITS, np.int32)
         for b in blocks(batches):
             found = np.concatenate(list(shingle_sets(b, k)))
             np.add.at(total, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
-    return sum_arrays(docs.select("text").mapInArrow(run, "part binary"), 1 << SKETCH_BITS)
+    return sum_arrays(docs.select("text").mapInArrow(run, "part binary"), 1 << SKETCH_BITS, np.int32).astype(np.int32)
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(doc_id, n, s1, s2, prefix): size and signature of each set, and its prefix in the global order."""
-    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))  # 8 bytes for each of 2**SKETCH_BITS buckets
+    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))  # 4 bytes for each of 2**SKETCH_BITS buckets
 
     def run(batches):
         for b in blocks(batches):
@@ -92,7 +93,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 n.append(len(s))
                 sign.append(xxhash.xxh3_128_digest(s.tobytes()))
                 order = np.argsort(counts.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
-                prefix.append(s[order[: len(s) - need(len(s), percent) + 1]].tobytes())
+                prefix.append(s[order[: len(s) - need(len(s), percent) + MEET]].tobytes())
             sign = np.frombuffer(b"".join(sign), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int32()), pa.array(sign[:, 0]), pa.array(sign[:, 1]), pa.array(prefix, pa.binary())], ["doc_id", "n", "s1", "s2", "prefix"])
 
@@ -118,7 +119,7 @@ def postings(classes: DataFrame) -> DataFrame:
 
 
 def meetings(posted: DataFrame, percent: int) -> DataFrame:
-    """(shingle, a, b): candidate pairs a, b of short lists; a member a of a long list has b null."""
+    """(shingle, a, b, least): pairs a, b of short lists, and how many lists they must meet in; a member a of a long list has b null."""
 
     def pairs(x: np.ndarray):
         """x: rows shingle, rep, n, pos of whole short lists, ordered by shingle and n."""
@@ -129,16 +130,17 @@ def meetings(posted: DataFrame, percent: int) -> DataFrame:
                 return
             j = i + s
             # The smaller set meets with a shorter prefix, as the larger one comes after it.
-            index = n[i] - (-(-2 * percent * n[i] // (100 + percent))) + 1
+            index = n[i] - (-(-2 * percent * n[i] // (100 + percent))) + MEET
             least = -(-percent * (n[i] + n[j]) // (100 + percent))
-            most = np.minimum(n[i] - pos[i], n[j] - pos[j])
+            # This may be the MEET-th common shingle, so MEET - 1 may stand before it.
+            most = np.minimum(n[i] - pos[i], n[j] - pos[j]) + MEET - 1
             ok = (100 * n[i] >= percent * n[j]) & (pos[i] < index) & (most >= least)
             if ok.any():
                 a, b = rep[i[ok]], rep[j[ok]]
-                yield shingle[i[ok]], np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), bool)
+                yield shingle[i[ok]], np.minimum(a, b), np.maximum(a, b), np.minimum(least[ok], MEET), np.zeros(len(a), bool)
 
-    def rows(shingle, a, b, single):
-        return pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(a), pa.array(b, mask=single)], ["shingle", "a", "b"])
+    def rows(shingle, a, b, least, single):
+        return pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(a), pa.array(b, mask=single), pa.array(least)], ["shingle", "a", "b", "least"])
 
     def run(batches):
         carry, going_on = np.zeros((4, 0), np.int64), None  # going_on: the long list that the last batch ended in
@@ -153,17 +155,17 @@ def meetings(posted: DataFrame, percent: int) -> DataFrame:
             ready = x.shape[1] if batch is None or long[-1] else begin[-1]  # a short last list may go on
             hot = np.repeat(long, size)
             if hot.any():
-                yield rows(x[0, hot], x[1, hot], x[1, hot], np.ones(int(hot.sum()), bool))
+                yield rows(x[0, hot], x[1, hot], x[1, hot], x[2, hot], np.ones(int(hot.sum()), bool))
             for found in pairs(x[:, :ready][:, ~hot[:ready]]):
                 yield rows(*found)
             going_on, carry = x[0, -1] if long[-1] else None, x[:, ready:]
 
     ordered = posted.repartition("shingle").sortWithinPartitions("shingle", "n", "rep")
-    return ordered.mapInArrow(run, "shingle long, a long, b long")
+    return ordered.mapInArrow(run, "shingle long, a long, b long, least long")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(rep, s): the sets of the wanted (rep, s1, s2); a fixed-size filter of ids spares most others, a join all."""
+    """(rep, s1, s2, s): the sets of all documents that pass a fixed-size filter, as the wanted reps do."""
     size = 1 << FILTER_BITS
 
     def mark(batches):
@@ -184,58 +186,31 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 sign = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, sets)), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sign[:, 0]), pa.array(sign[:, 1]), pa.array(sets, pa.binary())], ["rep", "s1", "s2", "s"])
 
-    found = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "rep long, s1 long, s2 long, s binary")
-    return found.join(wanted, ["rep", "s1", "s2"], "left_semi").select("rep", "s").dropDuplicates(["rep"])
-
-
-def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The candidate pairs (u, v) that are links."""
-
-    def run(batches):
-        owner, own = None, None  # the set that the next rows are compared with
-        for batch in batches:
-            out = []
-            for a, b, s in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "s")), strict=True):
-                x = np.frombuffer(s, np.uint64)
-                if b is None:
-                    owner, own = a, x
-                elif owner == a:
-                    common = len(np.intersect1d(own, x, assume_unique=True))
-                    if 100 * common >= percent * (len(own) + len(x) - common):
-                        out.append((a, b))
-            out = np.array(out, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
-
-    others = pairs.join(sets.select(F.col("rep").alias("b"), "s"), "b").select("a", "b", "s")
-    owners = sets.join(pairs.select(F.col("a").alias("rep")).distinct(), "rep", "left_semi").selectExpr("rep as a", "cast(null as long) as b", "s")
-    # Each a's own set comes before the sets it is compared with.
-    ordered = owners.unionByName(others).repartition("a").sortWithinPartitions("a", F.asc_nulls_first("b"))
-    return ordered.mapInArrow(run, "u long, v long")
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "rep long, s1 long, s2 long, s binary")
 
 
 class Parts:
-    """Union-find over the sets of a task."""
+    """The parts that the links of a task have made so far, one label a set."""
 
     def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
+        self.label = np.arange(n)
 
     def join(self, i: int, j: int) -> bool:
-        i, j = self.find(i), self.find(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
-def chunk_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Links that connect the sets of one or two chunks (rows: side, rep, s)."""
-    reps, sets = rows["rep"].to_numpy(), [np.frombuffer(s, np.uint64) for s in rows["s"]]
-    size, side = np.array([len(s) for s in sets]), rows["side"].to_numpy()
-    two = len(set(side)) > 1
-    asks, answers = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+        a, b = self.label[i], self.label[j]
+        if a != b:
+            self.label[self.label == max(a, b)] = min(a, b)
+        return bool(a != b)
+
+
+def chunk_links(side: np.ndarray, reps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect the sets of one chunk (all of side 0), or of chunk 0 with chunk 1."""
+    size = np.array([len(s) for s in sets])
+    order = np.lexsort((reps, size, side))
+    side, reps, size, sets = side[order], reps[order], size[order], [sets[i] for i in order]
+    two = bool(side[-1])
+    asks, answers = np.flatnonzero(side == 0), np.flatnonzero(side == int(two))
+    if not len(asks) or not len(answers):
+        return []
     # Inverted lists of the answering sets.
     flat = np.concatenate([sets[j] for j in answers])
     owner = np.repeat(np.arange(len(answers)), size[answers])
@@ -254,8 +229,7 @@ def chunk_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     parts, out, leaders = Parts(len(sets)), [], []
     for q in asks:
         fits = (100 * np.minimum(size[answers], size[q]) >= percent * np.maximum(size[answers], size[q])) & ((answers > q) | two)
-        root = parts.find(q)
-        fits &= np.array([parts.find(j) != root for j in answers]) if fits.any() else fits
+        fits &= parts.label[answers] != parts.label[q]  # what is connected needs no answer
         if not fits.any():
             continue
         best, gap = None, len(sets[q])
@@ -276,23 +250,54 @@ def chunk_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def hot_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between the classes of long lists (rep, n, group), by pairs of chunks."""
-    order = Window.partitionBy("group").orderBy("n", "rep")
-    placed = hot.withColumn("chunk", F.floor((F.row_number().over(order) - 1) / CHUNK)).checkpoint()
-    bounds = placed.groupBy("group", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+def chunk_requests(hot: DataFrame, percent: int) -> DataFrame:
+    """(rep, g, i, j, side): which sets which pair of chunks needs, of the classes (rep, n, g) of long lists."""
+    order = Window.partitionBy("g").orderBy("n", "rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = hot.withColumn("chunk", F.floor((F.sum("n").over(order) - F.col("n")) / CHUNK).cast("int")).checkpoint()
+    bounds = placed.groupBy("g", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a, b = bounds.alias("a"), bounds.alias("b")
-    # The chunks are ordered by size: one pair of chunks for CHUNK ** 2 pairs of sets, and only where sizes allow a link.
-    met = a.join(b, F.expr(f"a.group = b.group and a.chunk <= b.chunk and 100 * a.high >= {percent} * b.low"))
-    met = met.select("a.group", F.col("a.chunk").alias("i"), F.col("b.chunk").alias("j"))
-    sides = met.select("group", "i", "j", F.explode(F.expr("if(i = j, array(struct(0 as side, i as chunk)), array(struct(0 as side, i as chunk), struct(1 as side, j as chunk)))")).alias("x")).select("group", "i", "j", "x.*")
-    rows = sides.join(placed, ["group", "chunk"]).join(sets, "rep").select("group", "i", "j", "side", "n", "rep", "s")
+    # The chunks are ordered by size: one row for all pairs of sets of two chunks, and only where sizes allow a link.
+    met = a.join(b, F.expr(f"a.g = b.g and a.chunk <= b.chunk and 100 * a.high >= {percent} * b.low")).select("a.g", F.col("a.chunk").alias("i"), F.col("b.chunk").alias("j"))
+    sides = met.select("g", "i", "j", F.explode(F.expr("if(i = j, array(struct(0 as side, i as chunk)), array(struct(0 as side, i as chunk), struct(1 as side, j as chunk)))")).alias("x")).select("g", "i", "j", "x.*")
+    return sides.join(placed, ["g", "chunk"]).select("rep", "g", "i", "j", "side")
+
+
+def checked(requests: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links (u, v) among the requested sets.
+
+    Requests with i = -1 are pairs: the set of side 0 is compared with each of side 1, which
+    stream by. The others are pairs of chunks, held together.
+    """
+
+    def run(batches):
+        key, held, owner = None, [], None
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = chunk_links(rows.sort_values(["side", "n", "rep"], ignore_index=True), percent)
-        return pd.DataFrame(found, columns=["u", "v"]).astype(np.int64)
+        def links():
+            side, reps, own = zip(*held, strict=True)
+            return chunk_links(np.array(side), np.array(reps), list(own), percent)
+
+        for batch in itertools.chain(batches, [None]):
+            out = []
+            columns = zip(*(batch.column(c).to_pylist() for c in ("g", "i", "j", "side", "rep", "s")), strict=True) if batch is not None else [(None, None, None, 0, 0, b"")]
+            for g, i, j, side, rep, s in columns:
+                if (g, i, j) != key:
+                    if held:
+                        out += links()
+                    key, held, owner = (g, i, j), [], None
+                x = np.frombuffer(s, np.uint64)
+                if i != -1:
+                    held.append((side, rep, x))
+                elif side == 0:
+                    owner = x
+                elif owner is not None:
+                    common = len(np.intersect1d(owner, x, assume_unique=True))
+                    if 100 * common >= percent * (len(owner) + len(x) - common):
+                        out.append((g, rep))
+            out = np.array(out, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
 
-    return rows.groupBy("group", "i", "j").applyInPandas(run, "u long, v long")
+    rows = sets.join(requests, ["rep", "s1", "s2"]).select("g", "i", "j", "side", "rep", "s")
+    return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side", "rep").mapInArrow(run, "u long, v long")
 
 
 def join_documents(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -306,16 +311,16 @@ def join_documents(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
         some = some.join(chosen, ["doc_id", "s1", "s2"], "left_semi")
     classes = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     met = stored(meetings(postings(classes), percent), "meetings")
-    pairs = met.where("b is not null").select("a", "b").distinct().checkpoint()
-    long = met.where("b is null").select("shingle", F.col("a").alias("rep"))
+    pairs = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("met"), F.first("least").alias("least")).where("met >= least").select("a", "b").checkpoint()
+    long = met.where("b is null").select("shingle", F.col("a").alias("rep"), F.col("least").cast("int").alias("n"))
     heads = long.groupBy("shingle").agg(F.min("rep").alias("head"))
-    groups = components(long.join(heads, "shingle").selectExpr("rep as u", "head as v")).select(F.col("id").alias("rep"), F.col("component").alias("group"))
-    named = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")).checkpoint()
-    hot = groups.join(named.select("rep", "n"), "rep").checkpoint()
-    wanted = pairs.selectExpr("a as rep").union(pairs.selectExpr("b as rep")).union(hot.select("rep")).distinct()
-    wanted = named.select("rep", "s1", "s2").join(wanted, "rep", "left_semi").checkpoint()
-    sets = stored(whole_sets(docs, wanted, k), "sets")
-    found = components(checked(pairs, sets, percent).unionByName(hot_links(hot, sets, percent)))
+    groups = components(long.join(heads, "shingle").selectExpr("rep as u", "head as v")).selectExpr("id as rep", "component as g")
+    hot = groups.join(long.select("rep", "n").distinct(), "rep")
+    alone = "-1 as i", "-1 as j"
+    owners, others = pairs.select("a").distinct().selectExpr("a as rep", "a as g", *alone, "0 as side"), pairs.selectExpr("b as rep", "a as g", *alone, "1 as side")
+    named = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")).checkpoint()
+    requests = owners.unionByName(others).unionByName(chunk_requests(hot, percent)).join(named, "rep").checkpoint()
+    found = components(checked(requests, whole_sets(docs, requests, k), percent))
     component = named.join(found, named["rep"] == found["id"], "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     member = some.select("doc_id", "s1", "s2").distinct().join(component, ["s1", "s2"]).select(F.col("doc_id").alias("__doc"), "component")
     rows = signed.select("doc_id", "n").join(member, F.col("doc_id") == F.col("__doc"), "left")

@@ -28,18 +28,18 @@ def fold(modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def sum_arrays(parts: DataFrame, length: int, ways: int = 16) -> np.ndarray:
-    """The sum of int64 arrays of fixed length, one row ``part binary`` each; two levels, so that the driver gets ``ways`` arrays."""
+def sum_arrays(parts: DataFrame, length: int, dtype=np.int64, ways: int = 16) -> np.ndarray:
+    """The sum of arrays of whole numbers of fixed length, one row ``part binary`` each; in two levels, so that the driver gets one."""
 
     def run(batches):
-        total = np.zeros(length, np.int64)
+        total = np.zeros(length, dtype)
         for batch in batches:
             for x in batch.column(0):
-                total += np.frombuffer(x.as_py(), np.int64)
+                total += np.frombuffer(x.as_py(), dtype)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
-    rows = parts.repartition(ways).mapInArrow(run, "part binary").collect()
-    return np.sum([np.frombuffer(r[0], np.int64) for r in rows] or [np.zeros(length, np.int64)], axis=0)
+    some = parts.repartition(ways).mapInArrow(run, "part binary")
+    return np.frombuffer(some.repartition(1).mapInArrow(run, "part binary").first()[0], dtype)
 
 
 def labelled_sample(labelled: DataFrame, size: int, *strata: str) -> DataFrame:

@@ -35,14 +35,14 @@ def test_substrings_without_ids_keep_all(spark):
     assert got == {(None, 0), (1, 290)}
 
 
-@pytest.mark.parametrize("hot,chunk", [(8, 192), (2, 5)])
+@pytest.mark.parametrize("hot,chunk", [(32, 1_000_000), (2, 900)])
 def test_jaccard_join(docs, texts, empty, monkeypatch, hot, chunk):
     monkeypatch.setattr(jaccard_join, "HOT", hot)
     monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
     got = jaccard_join.join_documents(docs).collect()
     assert len(got) == len(texts)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(by_id(texts))
-    if hot == 8:
+    if hot > 2:
         assert jaccard_join.join_documents(empty).count() == 0
 
 
@@ -63,7 +63,7 @@ def test_chunk_links_equal_all_pairs():
                     want.join(i, j)
         for u, v in links:
             have.join(u, v)
-        assert [have.find(i) for i in range(60)] == [want.find(i) for i in range(60)]
+        assert list(have.label) == list(want.label)
 
 
 def test_components(spark, docs):
