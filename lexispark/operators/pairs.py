@@ -20,6 +20,10 @@ from lexispark.functions import values as V
 RARE = 8
 
 
+def _order() -> list:
+    return [F.desc("n_shared"), "source_a", "doc_a", "source_b", "doc_b"]
+
+
 def meaningful(sections: DataFrame) -> DataFrame:
     """Sections with names (array): nouns as they are and terms in small letters, names common to all left out.
 
@@ -44,42 +48,93 @@ def _candidates(names: DataFrame, within: bool) -> DataFrame:
     return a.join(b, (F.col("a.name") == F.col("b.name")) & place).select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b")).distinct()
 
 
-def _counted(pairs: DataFrame, sections: DataFrame, within: bool) -> DataFrame:
+def _counted(pairs: DataFrame, sections: DataFrame, within: bool, used: Iterable = ()) -> DataFrame:
     side = lambda x: sections.select(F.col("doc_id").alias(f"doc_{x}"), F.col("source").alias(f"source_{x}"), F.col("heading").alias(f"heading_{x}"), F.col("names").alias(f"names_{x}"))
     rows = pairs.join(side("a"), "doc_a").join(side("b"), "doc_b").withColumn("n_shared", shared_count("names_a", "names_b"))
     if within:
         rows = rows.where("heading_a <> heading_b")
+    if used:
+        rows = rows.where(~(F.col("doc_a").isin(*used) & F.col("doc_b").isin(*used)))
     return rows.where("n_shared > 0").select("doc_a", "doc_b", "source_a", "source_b", "n_shared")
 
 
-def top_pairs(sections: DataFrame, k: int = 10, within: bool = True) -> DataFrame:
-    """(rank, doc_a, doc_b, source_a, source_b, n_shared) of the k best pairs, inside sources or between them."""
+def top_pairs(sections: DataFrame, k: int = 10, within: bool = True, used: Iterable = ()) -> DataFrame:
+    """(rank, doc_a, doc_b, source_a, source_b, n_shared) of the k best pairs, inside sources or between them.
+
+    Pairs of two sections that are both among the doc_ids of ``used``, a bounded set, are left out.
+    """
     own = meaningful(sections).where(F.size("names") > 0).persist()
     listed = own.select("source", "doc_id", F.size("names").alias("n"), F.explode("names").alias("name"))
     frequency = listed.groupBy("name").agg(F.count("*").alias("df"))
     rated = listed.join(frequency, "name").where("df > 1")
-    order = [F.desc("n_shared"), "source_a", "doc_a", "source_b", "doc_b"]
-    some = _counted(_candidates(rated.where(F.col("df") <= RARE), within), own, within)
-    best = [r.n_shared for r in some.orderBy(*order).limit(k).select("n_shared").collect()]
+    some = _counted(_candidates(rated.where(F.col("df") <= RARE), within), own, within, used)
+    best = [r.n_shared for r in some.orderBy(*_order()).limit(k).select("n_shared").collect()]
     bound = best[-1] if len(best) == k else 1
     # Rarest names first; a section with fewer than ``bound`` names is in no pair of interest.
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "name"))
     total = F.col("n") - F.lit(bound) + 1
     # A name of both kinds counts once, so a pair of ``bound`` shared strings shares at least as many names.
     prefix = listed.join(frequency, "name").withColumn("r", rank).where(F.col("r") <= total).where("df > 1").select("source", "doc_id", "name")
-    found = _counted(_candidates(prefix, within), own, within).where(F.col("n_shared") >= bound)
-    top = found.orderBy(*order).limit(k)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    found = _counted(_candidates(prefix, within), own, within, used).where(F.col("n_shared") >= bound)
+    top = found.orderBy(*_order()).limit(k)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*_order())))
+
+
+def linked_sources(sections: DataFrame, used: Iterable = ()) -> int:
+    """How many sources have a pair inside: two headings and an unused section meet in a name."""
+    own = meaningful(sections).where(F.size("names") > 0).persist()
+    free = ~F.col("doc_id").isin(*used) if used else F.lit(True)
+    named = own.where("heading is not null").select("source", "heading", free.alias("free"), F.explode("names").alias("name"))
+    met = named.groupBy("source", "name").agg(F.min("heading").alias("low"), F.max("heading").alias("high"), F.max("free").alias("free"))
+    return met.where("free and low < high").agg(F.count_distinct("source")).first()[0]
+
+
+def top_pairs_by_source(sections: DataFrame, k: int, sources: int, used: Iterable = ()) -> DataFrame:
+    """(doc_a, doc_b, source_a, source_b, n_shared) of the k best pairs inside each of the ``sources`` sources whose best pairs lead.
+
+    As ``top_pairs``, with names counted and a bound found for each source.
+    """
+    own = meaningful(sections).where(F.size("names") > 0).persist()
+    listed = own.select("source", "doc_id", F.size("names").alias("n"), F.explode("names").alias("name"))
+    rated = listed.join(listed.groupBy("source", "name").agg(F.count("*").alias("df")), ["source", "name"])
+    place = F.row_number().over(Window.partitionBy("source_a").orderBy(*_order()))
+    some = _counted(_candidates(rated.where(F.col("df").between(2, RARE)), True), own, True, used)
+    bounds = some.withColumn("r", place).where(F.col("r") == k).select("source_a", F.col("n_shared").alias("bound"))
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "name"))
+    bounded = rated.withColumn("r", rank).join(bounds, rated["source"] == bounds["source_a"], "left")
+    prefix = bounded.where("r <= n - coalesce(bound, 1) + 1 and df > 1").select("source", "doc_id", "name")
+    best = _counted(_candidates(prefix, True), own, True, used).withColumn("r", place).where(F.col("r") <= k).persist()
+    leading = best.where("r = 1").orderBy(*_order()).limit(sources).select("source_a")
+    return best.join(F.broadcast(leading), "source_a", "left_semi").drop("r")  # at most ``sources`` names
+
+
+def deciding_pairs(sections: DataFrame, count: int, used: Iterable, within: bool) -> tuple[list, int | None]:
+    """The pairs in order that decide ``capped``, and inside sources the number of sources with a pair; both bounded by count.
+
+    The first round ends at the latest with the best pair of the ``count``-th source, and takes
+    from a source what ``prefix_bound`` of the cap reaches; the second takes from all in order.
+    """
+    found = top_pairs(sections, prefix_bound(count, len(used)), within, used).drop("rank")
+    if not within:
+        return found.orderBy(*_order()).collect(), None
+    n = linked_sources(sections, used)
+    own = top_pairs_by_source(sections, prefix_bound(source_cap(count, n), len(used)), count, used)
+    return found.unionByName(own).distinct().orderBy(*_order()).collect(), n
+
+
+def source_cap(count: int, n_sources: int) -> int:
+    return max(1, count // max(1, n_sources))
 
 
-def capped(pairs: Iterable, count: int, used: set, per_source: bool) -> list:
+def capped(pairs: Iterable, count: int, used: set, per_source: bool, n_sources: int | None = None) -> list:
     """The accepted pairs of an ordered, bounded list of rows (doc_a, doc_b, source_a).
 
     A pair is skipped when both ends are used. Inside sources, a first round takes at most
-    max(1, count // sources) pairs of a source, a second one fills up.
+    max(1, count // sources) pairs of a source, a second one fills up; the sources are those of
+    all pairs, of the list where ``n_sources`` is not given.
     """
     pairs, used, taken = list(pairs), set(used), []
-    cap = max(1, count // max(1, len({p["source_a"] for p in pairs}))) if per_source else count
+    cap = source_cap(count, len({p["source_a"] for p in pairs}) if n_sources is None else n_sources) if per_source else count
     seen: dict = {}
     for last in ((False, True) if per_source else (True,)):
         for p in pairs:
@@ -94,5 +149,5 @@ def capped(pairs: Iterable, count: int, used: set, per_source: bool) -> list:
 
 
 def prefix_bound(count: int, n_used: int) -> int:
-    """How many leading pairs decide the first ``count`` accepted ones: each skipped pair has two used ends."""
+    """How many leading pairs decide the first ``count`` accepted ones: each skipped pair has two used ends, not both used before."""
     return count + 2 * count * n_used + count * (2 * count - 1)

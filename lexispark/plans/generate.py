@@ -62,8 +62,8 @@ def select(spark: SparkSession, sections: DataFrame, qtype: str, count: int, use
     n_sources = sections.agg(F.count_distinct("source")).first()[0] if strategy in ("between", "temporal") else 0
     if strategy in ("within", "between") or (strategy == "temporal" and n_sources >= 2):
         inside = strategy == "within"
-        found = P.top_pairs(sections, P.prefix_bound(count, len(used)), inside).orderBy("rank").collect()
-        taken = P.capped(found, count, used, inside)
+        found, n_linked = P.deciding_pairs(sections, count, used, inside)
+        taken = P.capped(found, count, used, inside, n_linked)
         ids = [i for p in taken for i in (p["doc_a"], p["doc_b"])]
         text = {r.doc_id: (r.t, r.source) for r in sections.where(F.col("doc_id").isin(ids)).select("doc_id", "source", X.truncated(F.col("text"), V.PAIR_PASSAGE).alias("t")).collect()}
         return [((p["doc_a"], p["doc_b"]), V.SEPARATOR.join(text[p[k]][0] for k in ("doc_a", "doc_b")), list(dict.fromkeys(text[p[k]][1] for k in ("doc_a", "doc_b")))) for p in taken]

@@ -104,3 +104,23 @@ def test_stream_refreshes_the_index(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "in"))
     index_refresh.refresh_index(index_refresh.arriving(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
     assert {r.term: r.df for r in index_refresh.term_frequencies(spark, str(tmp_path / "out")).collect()}["seven"] == 1
+
+
+def test_pairs_of_all_sources_meet_the_cap(spark):
+    rng = random.Random(5)
+    hot = [("hot", i, f"h{i}", "t", 20, [f"Name{j}" for j in range(9)], []) for i in range(25)]  # its pairs lead the list
+    others = [(f"s{i % 4}", 100 + i, f"h{i % 5}", "t", 20, rng.sample([f"Other{j}" for j in range(12)], 4), []) for i in range(40)]
+    rows = hot + others + [("alone", 900, "h", "t", 20, ["Name1"], []), ("same", 901, "h", "t", 20, ["Name1"], []), ("same", 902, "h", "t", 20, ["Name1"], [])]
+    every = []
+    for a, b in itertools.combinations(rows, 2):
+        n = len(set(a[5]) & set(b[5]))
+        if a[0] == b[0] and a[2] != b[2] and n:
+            every.append({"doc_a": a[1], "doc_b": b[1], "source_a": a[0], "source_b": b[0], "n_shared": n})
+    every.sort(key=lambda p: (-p["n_shared"], p["source_a"], p["doc_a"], p["doc_b"]))
+    for count, used in ((3, set()), (6, set()), (12, {0, 1, 2, 3, 4, 5, 100, 104, 108}), (40, {0, 1, 2})):
+        allowed = [p for p in every if not {p["doc_a"], p["doc_b"]} <= used]
+        want = pairs.capped(allowed, count, used, True)
+        found, n = pairs.deciding_pairs(sections(spark, rows), count, used, True)
+        assert n == 5
+        assert [(p["doc_a"], p["doc_b"]) for p in pairs.capped(found, count, used, True, n)] == [(p["doc_a"], p["doc_b"]) for p in want]
+        assert len({p["source_a"] for p in want}) == min(count, 5)
