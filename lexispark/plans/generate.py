@@ -69,9 +69,12 @@ def select(spark: SparkSession, sections: DataFrame, qtype: str, count: int, use
         return [((p["doc_a"], p["doc_b"]), V.SEPARATOR.join(text[p[k]][0] for k in ("doc_a", "doc_b")), list(dict.fromkeys(text[p[k]][1] for k in ("doc_a", "doc_b")))) for p in taken]
     if strategy == "long_context":
         spans = S.long_spans(sections).orderBy("start_idx").limit(count)
-        rows = sections.join(F.broadcast(spans.drop("start_idx")), "source").where("doc_id >= first_doc_id")  # at most count spans
-        first = rows.groupBy("source", "first_doc_id", "n_included").agg(F.min_by(F.struct("doc_id", "text"), "doc_id").alias("x"))
-        return [((r.x.doc_id,), r.x.text, [r.source]) for r in first.orderBy("first_doc_id").collect()]
+        rows = sections.select("source", "doc_id", "text").join(F.broadcast(spans.drop("start_idx")), "source").where("doc_id >= first_doc_id")  # at most count spans
+        place = F.row_number().over(Window.partitionBy("source", "first_doc_id").orderBy("doc_id"))
+        parts = rows.withColumn("place", place).where(F.col("place") <= V.LONG_SPAN).where("place <= n_included")
+        passage = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), "\n\n")
+        whole = parts.groupBy("source", "first_doc_id").agg(passage.alias("passage"))
+        return [((r.first_doc_id,), r.passage, [r.source]) for r in whole.orderBy("first_doc_id").collect()]
     if strategy == "hallucination":
         best = S.hallucination_topics(sections, count, seed)
     elif strategy == "lists":

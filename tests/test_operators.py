@@ -124,3 +124,11 @@ def test_pairs_of_all_sources_meet_the_cap(spark):
         assert n == 5
         assert [(p["doc_a"], p["doc_b"]) for p in pairs.capped(found, count, used, True, n)] == [(p["doc_a"], p["doc_b"]) for p in want]
         assert len({p["source_a"] for p in want}) == min(count, 5)
+
+
+def test_long_context_holds_all_sections_of_a_span(spark):
+    texts = [" ".join(random.Random(i).choices([f"word{j}" for j in range(90)], k=40 + 150 * (i % 5 == 3))) for i in range(14)]
+    docs = spark.createDataFrame([(i, t, "en", "ab"[i > 8], 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    made = run(docs, RunConfig({"long_context_synthesis": TypeConfig(True, 9)})).orderBy("ord").collect()
+    want = ["\n\n".join(texts[i:j]) for i, j in ((0, 4), (4, 8))]
+    assert [r.context for r in made] == want and all(len(w) <= 4000 for w in want)
