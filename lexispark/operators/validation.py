@@ -30,6 +30,34 @@ def context_matches(contexts: DataFrame, documents: DataFrame, least: float = V.
     return rows.select("context_id", "doc_id", ratio.alias("ratio")).where(F.col("ratio") >= least)
 
 
+def source_ratios(contexts: DataFrame, sections: DataFrame) -> DataFrame:
+    """(context_id, ratio): the share of a context's chunks that the texts of its sources hold, 0 if none.
+
+    contexts, a bounded table, has context_id, context and sources; sections has source, doc_id and
+    text. The texts of a source count as one, in the order of doc_id: each is read with the three
+    words before it. Chunks meet texts by their two middle words, as in ``context_matches``;
+    contexts under four words are compared as they are.
+    """
+    asked = contexts.select("context_id", "sources", X.normalised(F.col("context")).alias("c")).withColumn("chunks", X.chunks(F.col("c")))
+    parts = asked.withColumn("parts", F.when(F.size("chunks") > 0, F.col("chunks")).when(F.col("c") != "", F.array("c")).otherwise(F.array().cast("array<string>")))
+    listed = parts.select("context_id", "sources", F.size("parts").alias("n"), F.posexplode("parts").alias("pos", "chunk"))
+    wanted = listed.select("context_id", "pos", "chunk", F.explode(F.array_distinct("sources")).alias("source"), F.expr("if(size(split(chunk, ' ')) < 4, '', array_join(slice(split(chunk, ' '), 2, 2), ' '))").alias("pair"))
+    named = wanted.select("source").distinct()
+    own = sections.join(F.broadcast(named), "source", "left_semi").select("source", "doc_id", X.normalised(F.col("text")).alias("d")).where("d <> ''")
+    last = own.select("source", "doc_id", F.expr("slice(split(d, ' '), -least(3, size(split(d, ' '))), 3)").alias("w"))
+    before = F.flatten(F.collect_list("w").over(Window.partitionBy("source").orderBy("doc_id").rowsBetween(-3, -1)))
+    led = last.select("source", "doc_id", before.alias("w")).withColumn("led", F.array_join(F.expr("slice(w, -least(3, greatest(size(w), 1)), 3)"), " ")).drop("w")
+    texts = own.join(led, ["source", "doc_id"]).select("source", "doc_id", X.strip(F.concat_ws(" ", "led", "d")).alias("d"))
+    # A bounded number of contexts has a bounded number of chunks.
+    met = texts.select("source", "doc_id", F.explode(F.concat(X.word_pairs(F.col("d")), F.array(F.lit("")))).alias("pair")).join(F.broadcast(wanted), ["source", "pair"])
+    near = met.groupBy("source", "doc_id").agg(F.collect_set(F.struct("context_id", "pos", "chunk")).alias("near"))
+    held = near.join(texts, ["source", "doc_id"]).select(F.explode(F.filter("near", lambda x: F.contains("d", x["chunk"]))).alias("x")).select("x.context_id", "x.pos").distinct()
+    counted = held.groupBy("context_id").agg(F.count("*").alias("held"))
+    size = listed.select("context_id", "n").distinct()
+    ratio = F.round(F.coalesce(F.col("held") / F.col("n"), F.lit(0.0)), 6)
+    return asked.select("context_id").join(size, "context_id", "left").join(counted, "context_id", "left").select("context_id", ratio.alias("ratio"))
+
+
 def best_matching(excerpts: DataFrame, documents: DataFrame) -> DataFrame:
     """(item_id, source, score): for each excerpt (item_id, text, sources) the source whose text has most of its long words.
 

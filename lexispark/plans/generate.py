@@ -17,7 +17,8 @@ from lexispark.operators import pairs as P
 from lexispark.operators import selection as S
 from lexispark.operators import sections as D
 from lexispark.operators.generation import generator, question_ids
-from lexispark.operators.validation import validated
+from lexispark.operators.ranking import build_index
+from lexispark.operators.validation import source_ratios, topic_elsewhere, validated
 
 
 @dataclass(frozen=True)
@@ -96,8 +97,15 @@ def run(documents: DataFrame, config: RunConfig) -> DataFrame:
             rows.append((order, qtype, c.difficulty, c.count, f"{qtype}:{order}", passage, sources))
             order += 1
     made = spark.createDataFrame(rows, "ord int, type string, difficulty string, wanted int, key string, passage string, source_documents array<string>")
-    asked = generator(config.generator)(made).withColumn("context", F.col("passage"))
-    judged = validated(asked.withColumns({"match_ratio": F.lit(1.0), "same_document": (F.size("source_documents") < 2) & F.contains("passage", F.lit(V.SEPARATOR))}))
+    # Kept, as a generator may be slow or answer anew; the rows are bounded.
+    asked = generator(config.generator)(made).withColumn("context", F.col("passage")).persist()
+    ratios = source_ratios(asked.select(F.col("ord").alias("context_id"), "context", F.col("source_documents").alias("sources")), sections)
+    matched = asked.join(ratios.select(F.col("context_id").alias("ord"), F.col("ratio").alias("match_ratio")), "ord")
+    judged = validated(matched.withColumns({"same_document": (F.size("source_documents") < 2) & F.contains("passage", F.lit(V.SEPARATOR))}))
+    if any(r[1] == "hallucination_test" for r in rows):
+        tests = judged.where("valid and type = 'hallucination_test'").select(F.col("ord").alias("query_id"), "question", "passage")
+        known = topic_elsewhere(tests, build_index(sections), sections).where("exists").select(F.col("query_id").alias("ord"))
+        judged = judged.join(known, "ord", "left_anti")
     nth = F.row_number().over(Window.partitionBy("type").orderBy("ord"))
     kept = judged.where("valid").withColumn("nth", nth).where(F.col("nth") <= F.col("wanted"))
     return question_ids(kept, "ord").select("ord", "id", "type", "question", "answer", "context", "source_documents", "difficulty", "match_ratio", "answer_grounded")

@@ -132,3 +132,36 @@ def test_long_context_holds_all_sections_of_a_span(spark):
     made = run(docs, RunConfig({"long_context_synthesis": TypeConfig(True, 9)})).orderBy("ord").collect()
     want = ["\n\n".join(texts[i:j]) for i, j in ((0, 4), (4, 8))]
     assert [r.context for r in made] == want and all(len(w) <= 4000 for w in want)
+
+
+def test_run_checks_contexts_and_topics(spark):
+    rng = random.Random(11)
+    text = lambda i: " ".join(f"term{i:02d}{rng.randint(0, 9)}x" for _ in range(40))
+    rows = [(i, text(i)) for i in range(10)]
+    rows += [(10 + i, "other words at the very start of it " * 12 + rows[i][1]) for i in range(5)]  # the topics of 0 to 4 stand elsewhere
+    docs = spark.createDataFrame([(i, t, "en", f"s{i}", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    made = run(docs, RunConfig({"hallucination_test": TypeConfig(True, 15)})).orderBy("ord").collect()
+    contexts = [r.context for r in made]
+    assert [r.id for r in made] == [f"v2_hallucination_test_{k}" for k in range(len(made))]
+    assert all(r.match_ratio == 1.0 for r in made)
+    assert not any(c == t for c in contexts for _, t in rows[:5]) and {t for _, t in rows[5:10]} <= set(contexts)
+
+
+def test_contexts_that_no_source_holds_are_rejected(spark):
+    generation.register_generator("foreign", lambda made: generation.template_questions(made).withColumn("passage", F.when(F.col("ord") % 2 == 0, F.lit("none of these words stand in any text of the corpus")).otherwise(F.col("passage"))))
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(30)), "en", "s", 0) for i in range(6)], "doc_id long, text string, lang string, source string, n_chars long")
+    made = run(docs, RunConfig({"hallucination_test": TypeConfig(True, 6)}, generator="foreign")).collect()
+    assert len(made) == 3 and all(r.context.startswith("w") for r in made)
+
+
+def test_source_ratios_read_sources_as_one_text(spark):
+    rows = [("a", 1, "one two three four five"), ("a", 2, "six"), ("a", 3, "Seven, eight nine ten"), ("a", 4, ""), ("b", 5, "alpha beta gamma delta epsilon zeta")]
+    asked = [(1, "four five six seven eight nine", ["a"]), (2, "one two three four -- alpha beta gamma delta", ["a", "b"]), (3, "alpha beta gamma delta", ["a"]), (4, "five six", ["a"]), (5, "zeta one", ["a", "b"]), (6, "", ["a"]), (7, "three four five six seven eight nine ten", ["a", "c"])]
+    whole = {s: " ".join(t.lower().replace(",", "") for x, _, t in rows if x == s and t) for s in "ab"}
+    want = {}
+    for i, c, sources in asked:
+        w = c.replace("--", "").split()
+        parts = [" ".join(w[k : k + 4]) for k in range(0, len(w) - 3, 2)] or [" ".join(w)] * bool(w)
+        want[i] = round(sum(any(p in whole.get(s, "") for s in sources) for p in parts) / max(len(parts), 1), 6)
+    got = validation.source_ratios(spark.createDataFrame(asked, "context_id int, context string, sources array<string>"), spark.createDataFrame(rows, "source string, doc_id long, text string")).collect()
+    assert {r.context_id: r.ratio for r in got} == want and want[1] == want[7] == 1.0 and want[3] == 0.0
