@@ -2,7 +2,8 @@
 
 A bounded sample of labelled rows (``SAMPLE`` of each label, those of the smallest hashes of
 doc_id) gives the lexicon: words and word beginnings that stand far more often in toxic than
-in other texts. Every text then gets dense features: densities of lexicon words and
+in other texts. A row weighs as many labels as it stands for, so that trees and curve learn the
+share of toxic rows among all labels, whatever the input's size. Every text then gets dense features: densities of lexicon words and
 beginnings, how near second-person pronouns stand, capitals, punctuation, and rates of
 obfuscated spelling. The trees learn from four fifths of the sample; the isotonic curve, from
 the last fifth.
@@ -155,8 +156,10 @@ def measured(docs: DataFrame, found: list[tuple[int, bytes]]) -> DataFrame:
 def classify(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, score) of every row of docs; labelled has doc_id and label (0 or 1) of the rows to learn from."""
     labels = labelled.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
-    ids = labelled_sample(labels, sample, "label").select(F.col("doc_id").alias("__doc"), "label").checkpoint()
-    # At most 2 * sample rows of two numbers.
+    total = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    stands_for = F.when(F.col("label") == 1, max(1.0, total.get(1, 0) / sample)).otherwise(max(1.0, total.get(0, 0) / sample))
+    ids = labelled_sample(labels, sample, "label").select(F.col("doc_id").alias("__doc"), "label", stands_for.alias("weight")).checkpoint()
+    # At most 2 * sample rows of three numbers.
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__doc")).select("text", "label")
     rows = measured(docs, lexicon(texts)).checkpoint()
     known = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("__doc")).dropDuplicates(["__doc"]).drop("doc_id")
@@ -166,7 +169,7 @@ def classify(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Data
         return rows.select("doc_id", F.lit(n_toxic / n if n else 0.0).alias("score"))
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="x")
     learned, held = (assemble.transform(known.where(F.col("last") == x)) for x in (False, True))
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3).fit(learned)
+    trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3).fit(learned)
     raw = lambda df: trees.transform(df).withColumn("raw", vector_to_array("probability")[1])
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(raw(held) if n_held else raw(learned))
+    curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="score").fit(raw(held) if n_held else raw(learned))
     return curve.transform(raw(assemble.transform(rows)).select("doc_id", "raw")).select("doc_id", "score")

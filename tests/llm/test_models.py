@@ -58,3 +58,10 @@ def test_toxicity(spark, docs, empty):
     assert got[1000] == got[1001] < 0.5
     assert {r.score for r in toxicity.classify(docs, labels.limit(0)).collect()} == {0.0}
     assert toxicity.classify(empty, labels).count() == 0
+
+
+def test_toxicity_keeps_the_share_of_toxic_rows_when_the_sample_is_full(spark):
+    rows = [(i, made(i, SOUNDS["aa"], 20), int(i % 6 == 0)) for i in range(600)]  # the texts tell nothing of the label
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, label int")
+    scores = [r.score for r in toxicity.classify(frame(spark, [(d, t) for d, t, _ in rows]), labels, sample=100).collect()]
+    assert abs(sum(scores) / len(scores) - 1 / 6) < 0.1
