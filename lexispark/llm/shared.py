@@ -2,23 +2,35 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Make sure that checkpoint() has a folder: the cluster's, or one of our own where none is set."""
+    """Make sure that checkpoint() has a folder: the cluster's; where none is set, one of our own in a single local process only."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexispark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lexispark-"))
     return spark
 
 
+def unused(columns: list[str], name: str) -> str:
+    """The name, with underscores after it until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,13 +55,18 @@ def sum_arrays(parts: DataFrame, length: int, dtype=np.int64, ways: int = 16) ->
 
 
 def labelled_sample(labelled: DataFrame, size: int, *strata: str) -> DataFrame:
-    """At most ``size`` rows of each stratum, always the same: those of the smallest hashes of doc_id."""
-    from pyspark.sql import Window
-
-    if not strata:
-        return labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
-    order = Window.partitionBy(*strata).orderBy(F.xxhash64("doc_id"), "doc_id")
-    return labelled.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= size).drop("__rank")
+    """At most ``size`` rows of each stratum, always the same: those of the smallest hashes of doc_id.
+
+    The rows of each stratum are counted first. Only rows under a hash that lets about twice
+    ``size`` of a stratum pass are put in order, so no task meets more of one however many
+    rows there are. The counts have a row for each stratum, of which the models hold one each.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    kept = labelled.withColumns({"__place": place, "__all": F.lit(0)})
+    counts = kept.groupBy("__all", *strata).agg((F.lit((2.0 * size + 100) * (1 << 40)) / F.count("*")).alias("__limit"))
+    near = kept.join(F.broadcast(counts), ["__all", *strata]).where(F.col("__place") < F.col("__limit"))
+    order = Window.partitionBy("__all", *strata).orderBy("__place", "doc_id")
+    return near.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= size).select(*labelled.columns)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
