@@ -1,15 +1,15 @@
 """Token counts of whole texts, huge ones by overlapping chunks that are spliced again.
 
-Texts up to ``CHUNK`` characters go to the tokenizer as they are. A longer one is cut into
-chunks that overlap. A token border at the same place in two neighbouring chunks' encodings
-joins them, where it is proven stable: the chunk before must end, and the chunk after must
-begin, far enough away that neither cut can have moved the border. The tokenizer splits text
-into pieces at fixed places (a piece never takes in a letter after a space that follows a
-letter), so a border before a single space that stands between two letters or digits is a
-border of pieces in any chunk that holds the characters on both its sides; tokens never cross
-pieces. Where an overlap has no such border in both encodings, it is widened, up to the whole
-rest of the text. Special strings are found first by the tokenizer, so a border also needs
-that no special string crosses it or a cut.
+Texts up to ``CHUNK`` characters go to the tokenizer as they are. A longer one is encoded in
+chunks that overlap, with the characters' offsets. The tokenizer first cuts a text into pieces,
+from left to right and without looking back, and tokens never cross pieces. So from a place
+where a piece begins, all further pieces depend only on what follows. Where a chunk that was
+encoded from such a place and the next chunk both begin a piece at the same place of their
+overlap, the tokens of the next chunk are right from there on: this place is a proven stable
+border, and the two encodings are spliced there. Pieces near the end of a chunk are no proof, as
+the cut may have changed them: ``SURE`` characters more than the longest special string are kept
+off. Where an overlap has no common border, it is widened by encoding the chunk before anew up
+to a later end, at last up to the end of the text.
 
 Defined cases: null is the empty text, with no bytes and no tokens; repeated rows are counted
 each on its own.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -26,8 +27,8 @@ from tokenizers import Tokenizer
 
 from lexispark.llm.arrowtext import blocks
 
-#: Characters of a chunk and of its first overlap with the next; bytes given to the tokenizer at a time.
-CHUNK, OVERLAP, BATCH_BYTES = 50_000, 200, 1 << 19
+#: Characters of a chunk and of its first overlap with the next; characters before a cut that prove nothing; bytes given to the tokenizer at a time.
+CHUNK, OVERLAP, SURE, BATCH_BYTES = 50_000, 400, 4, 1 << 19
 LIMIT = 512
 
 _loaded: dict[str, Tokenizer] = {}
@@ -41,50 +42,38 @@ def tokenizer(path: str) -> Tokenizer:
     return _loaded[path]
 
 
-def special_strings(own: Tokenizer) -> list[str]:
-    return [t.content for t in own.get_added_tokens_decoder().values()]
+def longest_special(own: Tokenizer) -> int:
+    return max((len(t.content) for t in own.get_added_tokens_decoder().values()), default=0)
 
 
-def word_break(text: str, at: int) -> bool:
-    """Whether a border of pieces is certain at ``at``: one space there, a letter or digit on each side of it."""
-    return 0 < at < len(text) - 1 and text[at] == " " and text[at - 1].isalnum() and text[at + 1].isalnum()
-
-
-def seams(text: str, special: list[str], chunk: int) -> list[int]:
-    """Where chunks should meet, about ``chunk`` characters apart: certain borders, clear of special strings."""
-    reach, found, at = max(map(len, special), default=1), [0], chunk
-    while at < len(text):
-        while at < len(text) and not (word_break(text, at) and not any(s in text[max(0, at - reach) : at + reach + 1] for s in special)):
-            at += 1
-        if at < len(text):
-            found.append(at)
-        at += chunk
-    return [*found, len(text)]
+def pieces(own: Tokenizer, text: str, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of text[first:last] begin in the text, and the tokens of each."""
+    encoded = own.encode(text[first:last], add_special_tokens=False)
+    of = np.array([-1 if w is None else w for w in encoded.word_ids], np.int64)
+    head = np.flatnonzero(np.diff(of, prepend=-2))
+    begin = np.array([a for a, _ in encoded.offsets], np.int64)[head] + first
+    return begin, np.diff(head, append=len(of))
 
 
 def count_long(own: Tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of a long text: each chunk reaches ``overlap`` characters beyond its seams on both sides."""
-    special = special_strings(own)
-    cuts = seams(text, special, chunk)
-    total, done = 0, 0  # done: tokens up to here are counted
-    while done < len(text):
-        wide = overlap
-        target = next(c for c in cuts if c > done)
-        while True:
-            first, last = max(0, done - wide), min(len(text), target + wide)
-            offsets = [(a + first, b + first) for a, b in own.encode(text[first:last], add_special_tokens=False).offsets]
-            starts, ends = {a for a, _ in offsets}, {b for _, b in offsets}
-            left_ok = done == 0 or done in starts
-            right_ok = target == len(text) or target in starts
-            # A token of a character's bytes repeats that character's offsets, so borders count by place, tokens by start.
-            if left_ok and right_ok:
-                total += sum(done <= a < target for a, _ in offsets)
-                break
-            if first == 0 and last == len(text):  # the whole text is one chunk: nothing is left to align
-                return len(offsets)
+    """Tokens of a long text by chunks that overlap by ``overlap`` characters, or more where they have no common border."""
+    unsure = SURE + longest_special(own)
+    overlap = max(overlap, unsure + 1)
+    total, known, wide, stop = 0, 0, overlap, min(len(text), chunk + overlap)  # known: a proven border, counted up to there
+    begin, n = pieces(own, text, 0, stop)
+    while stop < len(text):
+        cut, end = max(stop - wide, 0), min(len(text), stop + chunk)
+        next_begin, next_n = pieces(own, text, cut, end)
+        common = np.intersect1d(begin[(begin > known) & (begin >= cut) & (begin <= stop - unsure)], next_begin)
+        if len(common):
+            border = int(common[-1])
+            total += int(n[(begin >= known) & (begin < border)].sum())
+            known, begin, n, stop, wide = border, next_begin, next_n, end, overlap
+        else:
             wide *= 4
-        done = target
-    return total
+            stop = min(len(text), stop + wide)
+            begin, n = pieces(own, text, known, stop)
+    return total + int(n[begin >= known].sum())
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:

@@ -49,6 +49,20 @@ def test_spliced_counts_equal_whole_counts(text, chunk, overlap):
     assert token_counts.count_long(COUNTER, text, chunk, overlap) == len(COUNTER.encode(text, add_special_tokens=False).ids)
 
 
+def test_splices_of_texts_without_word_breaks(monkeypatch):
+    seen = []
+    whole = token_counts.pieces
+    monkeypatch.setattr(token_counts, "pieces", lambda own, text, a, b: seen.append(b - a) or whole(own, text, a, b))
+    words = ["日本語の文章です。", "中文没有空格，", "line\n", "x=1;\n", "{}();", "  \n\n", "🙂🙂", "<|endoftext|>"]
+    texts = ["".join(words[(i * i + k) % len(words)] for i in range(900)) for k in range(4)] + ["one\nword\na\nline\n" * 800, "日本語" * 3000, " " * 9000, "a" * 4000 + "。" + "b" * 4000]
+    for text in texts:
+        assert token_counts.count_long(COUNTER, text, 700, 60) == len(COUNTER.encode(text, add_special_tokens=False).ids)
+    assert max(seen) > 5000  # an unbroken run widens the overlap up to its end
+    seen.clear()
+    token_counts.count_long(COUNTER, texts[0], 700, 60)
+    assert max(seen) <= 760  # where pieces end, the first overlap is enough
+
+
 def test_counts(docs, texts, empty, monkeypatch):
     monkeypatch.setattr(token_counts, "CHUNK", 500)
     got = sorted(map(tuple, token_counts.count_tokens(docs, P.path("byte_bpe_50k.json")).collect()))
