@@ -47,10 +47,19 @@ cut AS (SELECT doc_id, width, i, array_to_string(words[i:i + width - 1], ' ') AS
         FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS i FROM d, widths WHERE len(words) >= width)),
 hit AS (SELECT doc_id, item_id, width, i FROM cut JOIN win USING (width, win)),
 cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, range(0, 10) r(k) WHERE k < width GROUP BY doc_id),
-its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id)
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id),
+tok AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM d),
+df AS (SELECT word, count(*) AS df FROM tok GROUP BY word),
+one AS (SELECT row_number() OVER () AS k, * FROM (SELECT DISTINCT item_id, words, width FROM item)),
+place AS (SELECT k, unnest(words) AS word, unnest(range(len(words))) AS place FROM one),
+start AS (SELECT k, item_id, width, unnest(range(len(words) - width + 1)) AS start FROM one),
+rated AS (SELECT s.k, item_id, start, place, word, coalesce(df, 0) AS df FROM start s JOIN place p ON s.k = p.k AND place >= start AND place < start + width LEFT JOIN df USING (word)),
+two AS (SELECT *, row_number() OVER (PARTITION BY k, start ORDER BY df, place) AS rank FROM rated QUALIFY rank <= 2),
+pair AS (SELECT DISTINCT a.item_id, a.word AS w1, b.word AS w2, b.place - a.place AS gap FROM two a JOIN two b USING (k, start) WHERE a.rank = 1 AND b.rank = 2 AND a.df > 0),
+near AS (SELECT x.doc_id, count(DISTINCT item_id) AS n_near FROM pair JOIN tok x ON x.word = w1 JOIN tok y ON y.word = w2 AND y.doc_id = x.doc_id WHERE abs(y.pos - x.pos - gap) <= 3 GROUP BY 1)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 ORACLES = {

@@ -1,7 +1,11 @@
 """Quality rules and decontamination: results, and plans without Python."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
+from lexispark.llm import decontamination
 from lexispark.llm.decontamination import find_passages, proximity_matches
 from lexispark.llm.quality_rules import Rule, apply_rules
 
@@ -27,7 +31,10 @@ def test_other_rules(docs):
     assert {r.doc_id for r in apply_rules(docs, only, ()).where("not kept").collect()} == {70, 71, 72}
 
 
-def test_decontamination(docs, texts, bench, empty):
+@pytest.mark.parametrize("sent", [32 << 20, 0])
+def test_decontamination(docs, texts, bench, empty, monkeypatch, sent):
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", sent)
+    monkeypatch.setattr(decontamination, "HOT_WORDS", 1_000 if sent else 9)
     items = [(r.item_id, r.text) for r in bench.collect()]
     found = find_passages(docs, bench)
     got = sorted((r.doc_id, r.n_words, r.n_hit, list(r.item_ids)) for r in found.collect())
@@ -43,6 +50,21 @@ def test_documents_without_id_are_searched_too(spark, bench):
     assert sorted(r.n_hit for r in find_passages(rows, bench).collect()) == [0, 3, 3]
 
 
+def test_passages_of_long_items_and_frequent_words(spark, monkeypatch):
+    rng = random.Random(2)
+    items = [(1, " ".join(rng.choices("abcd", k=40))), (2, "a"), (3, " ".join(rng.choices("abcdefgh", k=25))), (4, "b a"), (3, "a b c d e f g h a b c d")]
+    rows = [(i % 50, " ".join(rng.choices("abcdefgh", k=rng.randint(0, 120)))) for i in range(60)]
+    rows += [(100 + i, " ".join(rng.choices("xyza", k=9)) + " " + items[i % 2 * 2][1] + " z " + items[i % 2 * 2][1][11:31]) for i in range(6)]
+    rows += [(3, rows[3][1]), (None, items[2][1])]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    key = lambda d: -1 if d is None else d
+    want = sorted((key(d), *brute.passages(t, items)) for d, t in rows)
+    for sent in (32 << 20, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_BYTES", sent)
+        monkeypatch.setattr(decontamination, "HOT_WORDS", 5)
+        assert sorted((key(r.doc_id), r.n_words, r.n_hit, list(r.item_ids)) for r in find_passages(docs, bench).collect()) == want
+
+
 def test_proximity(spark, bench):
     rows = spark.createDataFrame([(1, "short and then a phrase here"), (2, "short " + "far " * 30 + "phrase here")], "doc_id long, text string")
     assert {r.doc_id for r in proximity_matches(rows, bench, 4).where(F.col("item_id") == 2).collect()} == {1}
