@@ -7,17 +7,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Most vertices that are hubs; links up to which none is looked for.
+HUBS, FEW = 500, 10_000
+
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.expr("cast(xxhash64(u, v) as decimal(20, 0))"))).first())
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Ties neighbours to the smallest of a vertex and its neighbours.
+def _hubs(both: DataFrame, n: int) -> DataFrame:
+    """(hub, least): vertices with more than a HUBS-th of the n links, so at most HUBS of them, and the smallest of each and its neighbours."""
+    return both.groupBy(F.col("u").alias("hub")).agg(F.count("*").alias("n"), F.min("v").alias("least")).where(F.col("n") > n / HUBS).select("hub", F.least("hub", "least").alias("least"))
+
+
+def _star(edges: DataFrame, n: int, large: bool) -> DataFrame:
+    """Ties neighbours to the smallest of a vertex and its neighbours; n: how many links there are.
 
-    The rows of a vertex come in order, so its smallest neighbour is its first row: no vertex,
-    however many links it has, is held in memory. The large star moves the larger neighbours
-    of u, the small star u itself and its smaller neighbours.
+    The large star moves the larger neighbours of u, the small star u itself and its smaller
+    neighbours. Links of hubs stay where they are: their smallest neighbours come from a
+    partial aggregate, a table of at most HUBS rows. The others are dealt by vertex and come in
+    order, so the smallest neighbour is a vertex's first row and none is held in memory.
     """
 
     def run(batches):
@@ -48,7 +57,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
             last = (u[-1], m[-1], v[-1])
 
     both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*") if large else edges
-    return both.repartition("u").sortWithinPartitions("u", "v").mapInArrow(run, "u long, v long")
+    if n <= FEW:
+        return both.repartition("u").sortWithinPartitions("u", "v").mapInArrow(run, "u long, v long")
+    hubs = _hubs(both, 2 * n if large else n)
+    marked = both.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left")
+    dealt = marked.where("hub is null").select("u", "v").repartition("u").sortWithinPartitions("u", "v").mapInArrow(run, "u long, v long")
+    of_hubs = marked.where("hub is not null and v > u" if large else "hub is not null").selectExpr("v as u", "least as v")
+    own = hubs.where(F.lit(not large)).selectExpr("hub as u", "least as v")
+    return dealt.unionByName(of_hubs.unionByName(own).where("u <> v"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -60,7 +76,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.where("u is not null and v is not null and u <> v").selectExpr("greatest(u, v) as u", "least(u, v) as v").checkpoint()
     state = _state(edges)
     while state[0]:
-        edges = _star(_star(edges, True), False).checkpoint()
+        edges = _star(edges, state[0], True).checkpoint()
+        edges = _star(edges, edges.count(), False).checkpoint()
         state, before = _state(edges), state
         if state == before:
             break

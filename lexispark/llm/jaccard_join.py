@@ -3,23 +3,28 @@
 Documents with the same set are one class, which its smallest doc_id stands for. Classes
 meet in inverted lists of their prefix: the shingles that come first in one global order,
 rare before frequent (a count sketch of fixed size over all documents gives the order; it only
-matters for speed). Lists are ordered by set size and carry positions, so that whole runs of a
-list are skipped by size and by what can still overlap.
-
-* A list of up to ``HOT`` classes gives candidate pairs, which are checked on the whole sets.
-* A longer list gives no pairs. The classes of such lists are gathered into groups, sorted by
-  set size and cut into chunks; a task takes two chunks whose sizes allow links. There a set's
-  answers (its overlaps with all others) are derived from those of the most similar set seen
-  before: subtract the lists of the shingles it lacks, add those of the shingles it has more.
-  Sets that are already connected are skipped; only links that join two parts are returned.
+matters for speed). A list is ordered by set size and, within a size, by the shingle's position:
+the entries of one size are a block. For an entry, blocks of sizes that cannot link are skipped
+as a whole, and of the others all that lies beyond the last position from which enough can still
+overlap, found by one search in the block; what is skipped is never looked at.
+
+* A list of up to ``HOT`` classes gives candidate pairs in this way, which are checked on the
+  whole sets.
+* A longer list gives no pairs. Lists that share sets are gathered under the smallest label of
+  their sets and of these sets' lists (``HOPS`` steps, not to the end, so that common shingles
+  don't chain a corpus together). The sets of a label are cut into chunks by size; a task takes
+  two chunks whose sizes allow links. There a set's answers (its overlaps with all others) are
+  derived from those of the most similar set seen before: subtract the lists of the shingles it
+  lacks, add those of the shingles it has more, each read only where sizes fit. Sets that are
+  already connected are skipped; only links that join two parts are returned.
 
 So a group of many near copies costs no rows for its pairs, and no link between different
 texts is lost for the components.
 
 Defined cases: a null text, or one without words, has an empty set, links with nothing and is
 its own component; so is a row without doc_id (its component is null). Rows that repeat a
-doc_id share one component: of their sets the one with the largest signature counts. Sets are compared by 64-bit hashes of their
-shingles, classes by 128 bits.
+doc_id share one component: of their sets the one with the largest signature counts. doc_id is a
+whole number. Sets are compared by 64-bit hashes of their shingles, classes by 128 bits.
 """
 
 from __future__ import annotations
@@ -36,9 +41,11 @@ from lexispark.llm.arrowtext import blocks, lowered, mix, prefix_sums, span_hash
 from lexispark.llm.components import components
 from lexispark.llm.shared import stored, sum_arrays
 
-SHINGLE, PERCENT = 4, 85
+SHINGLE, PERCENT = 5, 80
 #: Longest list that gives pairs; shingles in a chunk; buckets of the count sketch and of the filter of ids.
-HOT, CHUNK, SKETCH_BITS, FILTER_BITS = 32, 1_000_000, 20, 18
+HOT, CHUNK, SKETCH_BITS, FILTER_BITS = 16, 400_000, 20, 18
+#: Steps of labels from list to list.
+HOPS = 2
 #: Shingles that the prefixes of a candidate pair must share (fewer for tiny sets); prefixes are longer by as many.
 MEET = 3
 #: Sets whose overlaps are kept to derive others from.
@@ -122,22 +129,34 @@ def meetings(posted: DataFrame, percent: int) -> DataFrame:
     """(shingle, a, b, least): pairs a, b of short lists, and how many lists they must meet in; a member a of a long list has b null."""
 
     def pairs(x: np.ndarray):
-        """x: rows shingle, rep, n, pos of whole short lists, ordered by shingle and n."""
+        """x: rows shingle, rep, n, pos of whole short lists, ordered by shingle, n and pos."""
         shingle, rep, n, pos = x
-        for s in range(1, HOT):
-            i = np.flatnonzero(shingle[s:] == shingle[:-s]) if len(shingle) > s else np.zeros(0, np.int64)
+        if not len(shingle):
+            return
+        new = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (n[1:] != n[:-1])])
+        begin, block, width = np.flatnonzero(new), np.cumsum(new) - 1, int(pos.max()) + 2
+        end, size, owner = np.append(begin[1:], len(shingle)), n[begin], shingle[begin]
+        place = block * width + pos  # ordered as the entries are
+        # The smaller set meets with a shorter prefix, as the larger one comes after it.
+        i = np.flatnonzero(pos < n - (-(-2 * percent * n // (100 + percent))) + MEET)
+        for k in range(HOT):
+            i = i[block[i] + k < len(begin)]
+            c = block[i] + k
+            fits = (owner[c] == shingle[i]) & (100 * n[i] >= percent * size[c])  # later blocks have larger sets still
+            i, c = i[fits], c[fits]
             if not len(i):
                 return
-            j = i + s
-            # The smaller set meets with a shorter prefix, as the larger one comes after it.
-            index = n[i] - (-(-2 * percent * n[i] // (100 + percent))) + MEET
-            least = -(-percent * (n[i] + n[j]) // (100 + percent))
+            least = -(-percent * (n[i] + size[c]) // (100 + percent))
             # This may be the MEET-th common shingle, so MEET - 1 may stand before it.
-            most = np.minimum(n[i] - pos[i], n[j] - pos[j]) + MEET - 1
-            ok = (100 * n[i] >= percent * n[j]) & (pos[i] < index) & (most >= least)
-            if ok.any():
-                a, b = rep[i[ok]], rep[j[ok]]
-                yield shingle[i[ok]], np.minimum(a, b), np.maximum(a, b), np.minimum(least[ok], MEET), np.zeros(len(a), bool)
+            last = np.clip(size[c] + MEET - 1 - least, -1, width - 2)
+            stop = np.minimum(np.searchsorted(place, c * width + last, "right"), end[c])
+            start = begin[c] if k else i + 1
+            many = np.where(n[i] - pos[i] + MEET - 1 >= least, np.maximum(stop - start, 0), 0)
+            if many.any():
+                one = np.repeat(i, many)
+                other = np.repeat(start - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+                a, b = rep[one], rep[other]
+                yield shingle[one], np.minimum(a, b), np.maximum(a, b), np.minimum(np.repeat(least, many), MEET), np.zeros(len(a), bool)
 
     def rows(shingle, a, b, least, single):
         return pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(a), pa.array(b, mask=single), pa.array(least)], ["shingle", "a", "b", "least"])
@@ -160,7 +179,7 @@ def meetings(posted: DataFrame, percent: int) -> DataFrame:
                 yield rows(*found)
             going_on, carry = x[0, -1] if long[-1] else None, x[:, ready:]
 
-    ordered = posted.repartition("shingle").sortWithinPartitions("shingle", "n", "rep")
+    ordered = posted.repartition("shingle").sortWithinPartitions("shingle", "n", "pos", "rep")
     return ordered.mapInArrow(run, "shingle long, a long, b long, least long")
 
 
@@ -190,16 +209,22 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 class Parts:
-    """The parts that the links of a task have made so far, one label a set."""
+    """The parts that the links of a task have made so far, one label a set; the smaller part takes the other's label."""
 
     def __init__(self, n: int):
         self.label = np.arange(n)
+        self.members = {i: [i] for i in range(n)}
 
     def join(self, i: int, j: int) -> bool:
-        a, b = self.label[i], self.label[j]
-        if a != b:
-            self.label[self.label == max(a, b)] = min(a, b)
-        return bool(a != b)
+        a, b = int(self.label[i]), int(self.label[j])
+        if a == b:
+            return False
+        if len(self.members[a]) < len(self.members[b]):
+            a, b = b, a
+        moved = self.members.pop(b)
+        self.label[moved] = a
+        self.members[a] += moved
+        return True
 
 
 def chunk_links(side: np.ndarray, reps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -211,49 +236,68 @@ def chunk_links(side: np.ndarray, reps: np.ndarray, sets: list[np.ndarray], perc
     asks, answers = np.flatnonzero(side == 0), np.flatnonzero(side == int(two))
     if not len(asks) or not len(answers):
         return []
-    # Inverted lists of the answering sets.
-    flat = np.concatenate([sets[j] for j in answers])
-    owner = np.repeat(np.arange(len(answers)), size[answers])
-    order = np.argsort(flat, kind="stable")
-    tokens, begin = np.unique(flat[order], return_index=True)
-    owner, end = owner[order], np.append(begin[1:], len(flat))
-
-    def listed(of: np.ndarray) -> np.ndarray:
-        """How many of the given shingles each answering set has."""
-        at = np.minimum(np.searchsorted(tokens, of), len(tokens) - 1)
-        at = at[tokens[at] == of]
-        n = end[at] - begin[at]
-        place = np.repeat(begin[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(at) else at
-        return np.bincount(owner[place], minlength=len(answers))
-
-    parts, out, leaders = Parts(len(sets)), [], []
+    # Inverted lists of the answering sets, which are ordered by size; a list's entries lie together in ``place``.
+    flat, n_answers = np.concatenate([sets[j] for j in answers]), len(answers)
+    tokens, of = np.unique(flat, return_inverse=True)
+    place = np.sort(of * n_answers + np.repeat(np.arange(n_answers), size[answers]))
+
+    def listed(shingles: np.ndarray, low: int, high: int) -> np.ndarray:
+        """How many of the shingles each of the answering sets low..high has; the lists' other blocks are skipped."""
+        at = np.minimum(np.searchsorted(tokens, shingles), len(tokens) - 1)
+        at = at[tokens[at] == shingles] * n_answers
+        begin, end = np.searchsorted(place, at + low), np.searchsorted(place, at + high)
+        n = end - begin
+        entry = np.repeat(begin - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(at) else at
+        return np.bincount(place[entry] % n_answers, minlength=n_answers)
+
+    parts, out, leaders, sizes = Parts(len(sets)), [], [], size[answers]
     for q in asks:
-        fits = (100 * np.minimum(size[answers], size[q]) >= percent * np.maximum(size[answers], size[q])) & ((answers > q) | two)
-        fits &= parts.label[answers] != parts.label[q]  # what is connected needs no answer
-        if not fits.any():
+        low, high = np.searchsorted(sizes, -(-percent * size[q] // 100)), np.searchsorted(sizes, 100 * size[q] // percent, "right")
+        if not two:
+            low = max(low, np.searchsorted(answers, q, "right"))
+        near = np.arange(low, high)
+        near = near[parts.label[answers[near]] != parts.label[q]]  # what is connected needs no answer
+        if not len(near):
             continue
+        low, high = int(near[0]), int(near[-1]) + 1
         best, gap = None, len(sets[q])
-        for lead, known in leaders:
-            d = len(np.setxor1d(sets[lead], sets[q], assume_unique=True))
-            if d < gap:
-                best, gap = (lead, known), d
-        if best is None:
-            common = listed(sets[q])
+        for lead, known, known_low, known_high in leaders:
+            if known_low <= low and high <= known_high:
+                d = len(np.setxor1d(sets[lead], sets[q], assume_unique=True))
+                if d < gap:
+                    best, gap = (lead, known), d
+        if best is None or gap > len(sets[q]) // 4:
+            common = listed(sets[q], low, n_answers)  # for sets to come as well
+            leaders = [(q, common, low, n_answers), *leaders][:LEADERS]
         else:
             lead, known = best
-            common = known - listed(np.setdiff1d(sets[lead], sets[q], assume_unique=True)) + listed(np.setdiff1d(sets[q], sets[lead], assume_unique=True))
-        if best is None or gap > len(sets[q]) // 4:
-            leaders = [(q, common), *leaders][:LEADERS]
-        for j in np.flatnonzero(fits & (100 * common >= percent * (size[answers] + size[q] - common))):
+            common = known - listed(np.setdiff1d(sets[lead], sets[q], assume_unique=True), low, high) + listed(np.setdiff1d(sets[q], sets[lead], assume_unique=True), low, high)
+        for j in near[100 * common[near] >= percent * (sizes[near] + size[q] - common[near])]:
             if parts.join(int(q), int(answers[j])):
                 out.append((int(reps[q]), int(reps[answers[j]])))
     return out
 
 
+def labelled(long: DataFrame) -> DataFrame:
+    """(rep, n, g): the sets of long lists (shingle, rep, n), each once under each label of its lists."""
+    least = lambda df, of: df.groupBy(of).agg(F.min("g").alias("g"))
+    lists = least(long.withColumn("g", F.col("rep")), "shingle")
+    for _ in range(HOPS - 1):
+        sets = least(long.join(lists, "shingle"), "rep")
+        lists = least(long.join(sets, "rep"), "shingle")
+    return long.join(lists, "shingle").select("rep", "n", "g").distinct()
+
+
 def chunk_requests(hot: DataFrame, percent: int) -> DataFrame:
-    """(rep, g, i, j, side): which sets which pair of chunks needs, of the classes (rep, n, g) of long lists."""
-    order = Window.partitionBy("g").orderBy("n", "rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = hot.withColumn("chunk", F.floor((F.sum("n").over(order) - F.col("n")) / CHUNK).cast("int")).checkpoint()
+    """(rep, g, i, j, side): which sets which pair of chunks needs, of the sets (rep, n, g) of long lists.
+
+    Chunks follow the sizes of a label's sets, of which there are few, so that no task orders
+    all its sets; sets of one size that fill more than a chunk are dealt by their hash.
+    """
+    sizes = hot.groupBy("g", "n").agg((F.count("*") * F.col("n")).alias("all"))
+    before = Window.partitionBy("g").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    cells = sizes.select("g", "n", F.floor(F.coalesce(F.sum("all").over(before), F.lit(0)) / CHUNK).alias("c"), F.ceil(F.col("all") / CHUNK).alias("ways"))
+    placed = hot.join(cells, ["g", "n"]).select("rep", "g", "n", F.expr(f"c * {1 << 24} + pmod(xxhash64(rep), ways)").alias("chunk")).checkpoint()
     bounds = placed.groupBy("g", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a, b = bounds.alias("a"), bounds.alias("b")
     # The chunks are ordered by size: one row for all pairs of sets of two chunks, and only where sizes allow a link.
@@ -313,10 +357,8 @@ def join_documents(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     met = stored(meetings(postings(classes), percent), "meetings")
     pairs = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("met"), F.first("least").alias("least")).where("met >= least").select("a", "b").checkpoint()
     long = met.where("b is null").select("shingle", F.col("a").alias("rep"), F.col("least").cast("int").alias("n"))
-    heads = long.groupBy("shingle").agg(F.min("rep").alias("head"))
-    groups = components(long.join(heads, "shingle").selectExpr("rep as u", "head as v")).selectExpr("id as rep", "component as g")
-    hot = groups.join(long.select("rep", "n").distinct(), "rep")
-    alone = "-1 as i", "-1 as j"
+    hot = labelled(long).checkpoint()
+    alone = "-1L as i", "-1L as j"
     owners, others = pairs.select("a").distinct().selectExpr("a as rep", "a as g", *alone, "0 as side"), pairs.selectExpr("b as rep", "a as g", *alone, "1 as side")
     named = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")).checkpoint()
     requests = owners.unionByName(others).unionByName(chunk_requests(hot, percent)).join(named, "rep").checkpoint()

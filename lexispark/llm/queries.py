@@ -47,11 +47,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_passages(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
-    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
+    size = lambda c: F.size(c).cast("long")
+    return found.select("doc_id", "n_words", "n_hit", size("item_ids").alias("n_items"), digest.alias("items_sha256"), "contaminated", size("near_ids").alias("n_near"))
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_documents(documents(spark, sf_dir))
+    return join_documents(documents(spark, sf_dir), k=4, percent=85)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

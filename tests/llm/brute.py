@@ -55,13 +55,13 @@ def passages(text, items):
     return len(w), len(hit), sorted(ids)
 
 
-def shingles(text):
+def shingles(text, k=4):
     w = WORD.findall((text or "").translate(LOWER))
-    return frozenset(tuple(w[i : i + 4]) for i in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
 
-def components(rows):
-    sets, up = {d: shingles(t) for d, t in rows}, {d: d for d, _ in rows}
+def components(rows, k=4, percent=85):
+    sets, up = {d: shingles(t, k) for d, t in rows}, {d: d for d, _ in rows}
 
     def find(x):
         while up[x] != x:
@@ -72,7 +72,7 @@ def components(rows):
     for i, a in enumerate(ids):
         for b in ids[:i]:
             common = len(sets[a] & sets[b])
-            if sets[a] and sets[b] and 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+            if sets[a] and sets[b] and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
                 x, y = find(a), find(b)
                 up[max(x, y)] = min(x, y)
     return {d: (len(sets[d]), find(d)) for d in ids}

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lexispark.llm import jaccard_join, substring_dedup
+from lexispark.llm import jaccard_join, line_dedup, substring_dedup
 from lexispark.llm.components import components
 from lexispark.llm.line_dedup import build, dedup_lines, find
 
@@ -35,15 +35,45 @@ def test_substrings_without_ids_keep_all(spark):
     assert got == {(None, 0), (1, 290)}
 
 
-@pytest.mark.parametrize("hot,chunk", [(32, 1_000_000), (2, 900)])
+@pytest.mark.parametrize("hot,chunk", [(16, 400_000), (2, 900), (1, 120)])
 def test_jaccard_join(docs, texts, empty, monkeypatch, hot, chunk):
     monkeypatch.setattr(jaccard_join, "HOT", hot)
     monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
-    got = jaccard_join.join_documents(docs).collect()
+    got = jaccard_join.join_documents(docs, 4, 85).collect()
     assert len(got) == len(texts)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(by_id(texts))
     if hot > 2:
-        assert jaccard_join.join_documents(empty).count() == 0
+        assert jaccard_join.join_documents(empty, 4, 85).count() == 0
+
+
+def test_jaccard_join_by_default_takes_five_words_and_four_fifths(docs, texts):
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_documents(docs).collect()} == brute.components(by_id(texts), 5, 80)
+
+
+def test_jaccard_join_without_ids_and_with_repeated_ids(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = frame(spark, [(None, a), (None, a), (3, a), (4, a), (4, b), (9, b), (8, b)])
+    got = sorted(((r.doc_id or 0), r.n_shingles, r.component_id or 0) for r in jaccard_join.join_documents(rows, 4, 85).collect())
+    assert [x[1] for x in got] == [4, 4, 4, 3, 4, 3, 3]
+    assert {x[2] for x in got if not x[0]} == {0}  # rows without doc_id link with nothing
+    linked = {d: c for d, _, c in got if d}
+    assert linked[8] in (4, 8) and linked[3] == 3 and linked[9] == linked[8]  # of the two texts of 4, one links
+    assert (linked[4] == 3) != (linked[8] == 4)
+
+
+def test_pairs_skip_what_cannot_link_only(spark):
+    rng, n_lists = random.Random(6), 40
+    rows = [(s, 100 * s + i, n := rng.randint(20, 30), rng.randint(0, n - 1)) for s in range(n_lists) for i in range(rng.randint(2, 16))]
+    found = jaccard_join.meetings(spark.createDataFrame(rows, "shingle long, rep long, n int, pos int").repartition(3), 85)
+    got = sorted((r.shingle, r.a, r.b) for r in found.collect())
+    want = []
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and (x[2], x[3], x[1]) < (y[2], y[3], y[1]):
+                least = -(-85 * (x[2] + y[2]) // 185)
+                if 100 * x[2] >= 85 * y[2] and x[3] < x[2] - -(-170 * x[2] // 185) + 3 and min(x[2] - x[3], y[2] - y[3]) + 2 >= least:
+                    want.append((x[0], min(x[1], y[1]), max(x[1], y[1])))
+    assert got == sorted(want) and want
 
 
 def test_chunk_links_equal_all_pairs():
@@ -63,7 +93,17 @@ def test_chunk_links_equal_all_pairs():
                     want.join(i, j)
         for u, v in links:
             have.join(u, v)
-        assert list(have.label) == list(want.label)
+        assert {frozenset(m) for m in have.members.values()} == {frozenset(m) for m in want.members.values()}
+
+
+def test_components_around_hubs(spark, docs, monkeypatch):
+    from lexispark.llm import components as stars
+
+    monkeypatch.setattr(stars, "FEW", 20)
+    monkeypatch.setattr(stars, "HUBS", 8)
+    links = [(500, i) for i in range(90)] + [(0, i) for i in range(200, 260)] + [(300, 301), (301, 302), (250, 499), (499, 400), (500, 3), (500, 3)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(links, "u long, v long").repartition(4)).collect()}
+    assert got == {x: 300 if 300 <= x <= 302 else 0 for e in links for x in e}
 
 
 def test_components(spark, docs):
@@ -89,6 +129,28 @@ def test_lines(docs, texts, empty):
     assert dedup_lines(empty).count() == 0
 
 
+def test_lines_in_salted_shards_and_with_clashing_names(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 40)
+    monkeypatch.setattr(line_dedup, "PROBE_ROWS", 50)
+    common, rare = "a line that stands in all of the documents", "a line that two of the documents have"
+    rows = [(i, f"{common}\nown line of document number {i} alone\n{rare if i in (3, 9) else 'short'}\n{common.upper() if i % 3 else ''}") for i in range(200)]
+    rows += [(None, f"{common}\nnothing else of any length here"), (7, None)]
+    named = spark.createDataFrame([(d, t, [1], "x", 5, 6) for d, t in rows], "doc_id long, text string, drop array<int>, owner string, __doc long, Runs long").repartition(5)
+    found = dedup_lines(named)
+    assert found.columns == ["doc_id", "text", "drop", "owner", "__doc", "Runs", "n_lines", "n_dropped"]
+    got = found.withColumn("sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).collect()
+    assert {tuple(r["drop"]) for r in got} == {(1,)} and {r["owner"] for r in got} == {"x"}
+    want = brute.lines([x for x in rows if x[0] is not None])
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped, r.sha) for r in got if r.doc_id is not None) == want
+    assert [(r.n_lines, r.n_dropped) for r in got if r.doc_id is None] == [(2, 0)]
+
+
+def test_a_document_without_id_counts_towards_the_threshold(spark):
+    line = "one line of twenty characters or more"
+    got = dedup_lines(frame(spark, [(1, line), (2, line), (None, line)])).collect()
+    assert sorted((r.doc_id or 0, r.n_dropped) for r in got) == [(0, 0), (1, 1), (2, 0)]
+
+
 def test_perfect_hash_is_minimal():
     import numpy as np
 

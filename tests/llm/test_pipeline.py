@@ -32,7 +32,7 @@ def test_stages(spark, texts, tmp_path):
             assert {d: brute.sha(t or "") for d, t in kept[name].items()} == {d: sha for d, (_, sha) in want.items()}
             assert all(r.n_chars == len(r.text) for r in out.collect())
         elif name == "near_duplicates":
-            assert set(kept[name]) == {d for d, (_, c) in brute.components(list(before.items())).items() if c == d}
+            assert set(kept[name]) == {d for d, (_, c) in brute.components(list(before.items()), 5, 80).items() if c == d}
         elif name == "decontamination":
             assert set(kept[name]) == {d for d, t in before.items() if not brute.passages(t, BENCH)[1]}
         else:
