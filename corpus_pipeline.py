@@ -17,13 +17,14 @@ from lexispark.llm.decontamination import contaminated_ids
 from lexispark.llm.jaccard_join import duplicate_ids
 from lexispark.llm.language_id import identify
 from lexispark.llm.line_dedup import dedup_lines
-from lexispark.llm.shared import fold, ready, stored, table
+from lexispark.llm.shared import fold, ready, stored, table, unused
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of docs whose doc_id is none of ids; rows without doc_id stay."""
-    gone = ids.select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    name = unused(docs.columns, "gone")
+    gone = ids.select(F.col("doc_id").alias(name))
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,13 +35,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one of them only; n_chars follows the text."""
+    """Lines that many documents share stay in one of them only; n_chars follows the text.
+
+    A document that loses all its lines stays as an empty row: this stage drops lines, not
+    documents, so that every doc_id that labels or other tables name is still there.
+    """
     ready(spark)
     return dedup_lines(docs).select(*docs.columns).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one of the smallest doc_id."""
+    """One document of each group of near copies (five words, 80 %) stays, the one of the smallest doc_id."""
     ready(spark)
     return without(docs, duplicate_ids(docs))
 
