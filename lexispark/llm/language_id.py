@@ -6,11 +6,16 @@ sample (``PER_LANG`` documents of each language, those of the smallest hashes of
 clustered by spherical k-means into ``CENTROIDS`` unit centroids for each language. A text
 gets the language of its nearest centroid by cosine. It is rejected when its distance from
 that centroid is beyond what the training documents of that language and length show:
-median + ``SPREADS`` times (90 % quantile - median), taken over all of them.
+median + ``SPREADS`` times (90 % quantile - median), taken over all of them, and ``FARTHEST`` at
+most: what has hardly an n-gram in common with any centroid is no known language. The quantiles come
+from counts in fixed bins of the distance, so they don't depend on how rows are dealt out. A
+length that no training document of the language has takes the bound of the nearest one that
+some have; a language that none was taken for, the bound of all; ``FARTHEST`` alone bounds
+where docs has no training document.
 
 Defined cases: a null text, or one without any letter, is ``und`` with score 0 and rejected;
 so is every text where nothing could be learned. Rows without doc_id are never learned from.
-Only doc_id, text and lang are read, lang from training rows alone.
+doc_id is a whole number. Only doc_id, text and lang are read, lang from training rows alone.
 """
 
 from __future__ import annotations
@@ -27,8 +32,10 @@ from lexispark.llm.arrowtext import blocks, lowered_latin
 from lexispark.llm.shared import labelled_sample, sum_arrays
 
 DIMS, PER_LANG, CENTROIDS, ROUNDS = 4096, 600, 4, 12
-SPREADS, LEAST_SPREAD, SHARPNESS = 6.0, 0.03, 12.0
+SPREADS, LEAST_SPREAD, FARTHEST, SHARPNESS = 6.0, 0.03, 0.97, 12.0
 UNKNOWN = "und"
+#: Bins of a distance from 0 to 1 (a cosine of counts is never negative); length classes of texts, powers of two.
+BINS, LENGTHS = 1_000, 15
 
 #: Bytes of letters: ASCII letters and everything beyond ASCII.
 LETTER = np.zeros(256, bool)
@@ -142,22 +149,42 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 best = np.where(letters, alike.argmax(axis=1), best)
                 share = np.where(letters, 1 / weights.sum(axis=1), 0.0)
                 near = np.where(letters, alike.max(axis=1), 0.0)
-            size = np.minimum(np.log2(np.diff(b.offsets) + 1).astype(np.int32), 14)
+            size = np.minimum(np.log2(np.diff(b.offsets) + 1).astype(np.int32), LENGTHS - 1)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(languages[best], pa.string()), pa.array(share.astype(np.float64)), pa.array(1.0 - near.astype(np.float64)), pa.array(size)], ["doc_id", "lang_pred", "score", "distance", "size_bin"])
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
     return docs.select("doc_id", "text", lettered).mapInArrow(run, f"doc_id {name}, lang_pred string, score double, distance double, size_bin int")
 
 
+def bound_of(counts: np.ndarray) -> float:
+    """The largest distance that is no outlier, from counts of distances by bin; a quantile is its bin's upper end."""
+    upto = np.cumsum(counts)
+    half, most = (float(np.searchsorted(upto, q * upto[-1]) + 1) / BINS for q in (0.5, 0.9))
+    return min(half + SPREADS * max(most - half, LEAST_SPREAD), FARTHEST)
+
+
+def bounds(seen: DataFrame, languages: list[str]) -> DataFrame:
+    """(lang_pred, size_bin, bound) for every language and length."""
+    spark = seen.sparkSession
+    binned = seen.groupBy("lang_pred", "size_bin", F.least(F.floor(F.col("distance") * BINS), F.lit(BINS)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    counts = np.zeros((len(languages), LENGTHS, BINS + 1), np.int64)
+    for r in binned.collect():  # at most languages x LENGTHS x (BINS + 1) counts
+        counts[languages.index(r.lang_pred), r.size_bin, max(r.bin, 0)] = r.n
+    every, rows = counts.sum(axis=(0, 1)), []
+    for language, own in zip(languages, counts, strict=True):
+        filled = np.flatnonzero(own.sum(axis=1))
+        for length in range(LENGTHS):
+            chosen = own[filled[np.argmin(np.abs(filled - length))]] if len(filled) else every
+            rows.append((language, length, bound_of(chosen) if chosen.any() else FARTHEST))
+    return spark.createDataFrame(rows, "lang_pred string, size_bin int, bound double")
+
+
 def identify(docs: DataFrame, training: DataFrame) -> DataFrame:
     """(doc_id, lang_pred, score, distance, rejected) of every row of docs; training has doc_id, text and lang."""
-    scored = score(docs, learn(training)).checkpoint()
+    model = learn(training)
+    scored = score(docs, model).checkpoint()
     ids = training.where("lang is not null").select(F.col("doc_id").alias("__doc")).distinct()
     seen = scored.join(ids, scored["doc_id"] == ids["__doc"], "left_semi").where(F.col("lang_pred") != UNKNOWN)
-    spread = F.percentile_approx("distance", F.array(F.lit(0.5), F.lit(0.9)), 1000).alias("q")
-    far = F.col("q")[0] + SPREADS * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(LEAST_SPREAD))
-    # One row for each language and size bin.
-    bounds = seen.groupBy("lang_pred", "size_bin").agg(spread).select("lang_pred", "size_bin", far.alias("bound"))
-    judged = scored.join(F.broadcast(bounds), ["lang_pred", "size_bin"], "left")
+    judged = scored.join(F.broadcast(bounds(seen, model.languages)), ["lang_pred", "size_bin"], "left")
     beyond = (F.col("lang_pred") == UNKNOWN) | F.coalesce(F.col("distance") > F.col("bound"), F.lit(False))
     return judged.select("doc_id", "lang_pred", "score", "distance", beyond.alias("rejected"))
