@@ -2,8 +2,10 @@
 
 Every word has a sparse random index vector, given by its hash. Its context vector is the sum
 of the index vectors of the words at most two places away, over all documents (without any
-label). Two kinds of word are indexed: the word itself, in ``WORDS`` hashed rows, and its shape
-(runs of capitals, small letters and digits, and the signs as they are), in ``SHAPES`` rows.
+label). Two kinds of word are indexed: the word itself, in hashed rows, and its shape (runs of
+capitals, small letters and digits, and the signs as they are), in ``SHAPES`` rows. There are as
+many hashed rows as the corpus has different words, counted first, between ``WORDS`` and
+``MOST_WORDS``; beyond that several rare words share a row.
 A document is the mean and the spread of its words' unit context vectors, and how well
 neighbours agree. A network with one hidden layer learns from a bounded sample of labelled
 rows (``SAMPLE``, those of the smallest hashes of doc_id); a tenth of the sample sets the
@@ -11,7 +13,7 @@ temperature of its probabilities.
 
 Defined cases: a null or empty text is pooled to zeros and gets a score as any other; rows that
 repeat get equal scores; with no labelled rows, or rows of one kind only, the score is the
-share of label 1 (0.5 with none).
+share of label 1 (0.5 with none). doc_id is a whole number.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ from pyspark.sql import functions as F
 from lexispark.llm.arrowtext import blocks, prefix_sums, span_hash, words
 from lexispark.llm.shared import labelled_sample, sum_arrays
 
-WORDS, SHAPES, DIMS, NONZERO, REACH = 8192, 2048, 32, 4, 2
+WORDS, MOST_WORDS, SHAPES, DIMS, NONZERO, REACH = 1 << 13, 1 << 16, 2048, 32, 4, 2
+#: Bits of the bitmap that counts different words; places of context vectors gathered before they are added up.
+BITMAP_BITS, GATHERED = 20, 1 << 22
 SAMPLE, HIDDEN, EPOCHS, BATCH, RATE, DECAY = 10_000, 32, 30, 128, 2e-3, 1e-4
 FEATURES = 4 * DIMS + 6
 #: Bytes of text handled at a time, so that the words' vectors stay in a core's cache.
@@ -44,43 +48,68 @@ def index_places(rows: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).random((rows, DIMS)).argsort(axis=1)[:, :NONZERO]
 
 
-PLACES = np.vstack([index_places(WORDS, 11), index_places(SHAPES, 13)])
+def all_places(n_words: int) -> np.ndarray:
+    return np.vstack([index_places(n_words, 11), index_places(SHAPES, 13)])
 
 
-def tokens(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers of each word and of its shape in INDEX, and the document of each word."""
+def vocabulary_rows(docs: DataFrame) -> int:
+    """A power of two that the number of different words does not pass, within WORDS and MOST_WORDS; counted by a bitmap."""
+    size = 1 << BITMAP_BITS
+
+    def run(batches):
+        seen = np.zeros(size, bool)
+        for b in blocks(batches):
+            start, end, _ = words(b)
+            seen[(span_hash(prefix_sums(b.data), start, end) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([seen.astype(np.int32).tobytes()], pa.binary())], ["part"])
+
+    free = size - int((sum_arrays(docs.select("text").mapInArrow(run, "part binary"), size, np.int32) > 0).sum())
+    estimate = size * np.log(size / max(free, 1))
+    return int(min(max(WORDS, 1 << int(np.ceil(np.log2(max(estimate, 1))))), MOST_WORDS))
+
+
+def tokens(block, n_words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers of each word and of its shape among the index vectors, and the document of each word."""
     start, end, first = words(block)
-    word = (span_hash(prefix_sums(block.data), start, end) % np.uint64(WORDS)).astype(np.int64)
+    word = (span_hash(prefix_sums(block.data), start, end) % np.uint64(n_words)).astype(np.int64)
     classes = CLASS[block.data]
     fresh = np.ones(len(classes), bool)
     fresh[1:] = classes[1:] != classes[:-1]
     fresh[start] = True
     place = np.concatenate([[0], np.cumsum(fresh)])
-    shape = (span_hash(prefix_sums(classes[fresh]), place[start], place[end]) % np.uint64(SHAPES)).astype(np.int64) + WORDS
+    shape = (span_hash(prefix_sums(classes[fresh]), place[start], place[end]) % np.uint64(SHAPES)).astype(np.int64) + n_words
     return word, shape, np.repeat(np.arange(len(block)), np.diff(first))
 
 
-def contexts(docs: DataFrame) -> np.ndarray:
+def contexts(docs: DataFrame, n_words: int = WORDS) -> np.ndarray:
     """Unit context vectors of all words and shapes, from all documents."""
-    rows = WORDS + SHAPES
+    rows = n_words + SHAPES
 
     def run(batches):
-        total = np.zeros(rows * DIMS, np.int64)
+        places, total = all_places(n_words), np.zeros(rows * DIMS, np.int64)
+        signs: tuple[list, list] = [], []
+
+        def add() -> None:
+            for sign, found in zip((1, -1), signs, strict=True):
+                if found:
+                    np.add(total, sign * np.bincount(np.concatenate(found), minlength=rows * DIMS), out=total)
+                found.clear()
+
         for b in blocks(batches, BLOCK_BYTES):
-            word, shape, doc = tokens(b)
-            signs: tuple[list, list] = [], []
+            word, shape, doc = tokens(b, n_words)
             for k in range(1, REACH + 1):
                 same = doc[k:] == doc[:-k]
                 for own in (word, shape):
                     left, right = own[:-k][same], own[k:][same]
                     for z in range(NONZERO):
-                        signs[z % 2].extend((left * DIMS + PLACES[right, z], right * DIMS + PLACES[left, z]))
-            plus, minus = (np.bincount(np.concatenate(x), minlength=rows * DIMS) for x in signs)
-            total += plus - minus
+                        signs[z % 2].extend((left * DIMS + places[right, z], right * DIMS + places[left, z]))
+            if sum(map(len, signs[0])) > GATHERED:
+                add()
+        add()
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
     total = sum_arrays(docs.select("text").mapInArrow(run, "part binary"), rows * DIMS).reshape(rows, DIMS).astype(np.float64)
-    for part in (total[:WORDS], total[WORDS:]):
+    for part in (total[:n_words], total[n_words:]):
         size = np.linalg.norm(part, axis=1, keepdims=True)
         part /= np.maximum(size, 1.0)
         part -= part.mean(axis=0)  # what all contexts share says nothing
@@ -88,9 +117,9 @@ def contexts(docs: DataFrame) -> np.ndarray:
     return total.astype(np.float32)
 
 
-def pooled(block, vectors: np.ndarray) -> np.ndarray:
-    """rows x FEATURES."""
-    word, shape, doc = tokens(block)
+def pooled(block, both: np.ndarray) -> np.ndarray:
+    """rows x FEATURES; both: the context vectors and, beside them, their squares."""
+    word, shape, doc = tokens(block, len(both) - SHAPES)
     n = len(block)
     size = np.bincount(doc, minlength=n).astype(np.float64)
     least = np.maximum(size, 1)[:, None]
@@ -103,7 +132,7 @@ def pooled(block, vectors: np.ndarray) -> np.ndarray:
             sums[of[begin]] = np.add.reduceat(x, begin, axis=0)
         return sums
 
-    out, both = [], np.hstack([vectors, vectors * vectors])
+    out = []
     same = doc[1:] == doc[:-1]
     for own in (word, shape):
         x = both[own]
@@ -170,22 +199,23 @@ def classify(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Data
     """(doc_id, score) of every row of docs; labelled has doc_id and label (0 or 1) of the rows to learn from."""
     spark = docs.sparkSession
     name = docs.schema["doc_id"].dataType.simpleString()
-    vectors = spark.sparkContext.broadcast(contexts(docs))  # (WORDS + SHAPES) x DIMS
+    found = contexts(docs, vocabulary_rows(docs))
+    both = spark.sparkContext.broadcast(np.hstack([found, found * found]))  # (MOST_WORDS + SHAPES) x 2 DIMS numbers at most
     known = labelled.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     ids = labelled_sample(known, sample)  # at most ``sample`` rows of two numbers
 
     def features(batches):
         for b in blocks(batches, BLOCK_BYTES):
-            rows = [r.tobytes() for r in pooled(b, vectors.value)]
+            rows = [r.tobytes() for r in pooled(b, both.value)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("label").cast(pa.int32()), pa.array(rows, pa.binary())], ["doc_id", "label", "x"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(features, "doc_id long, label int, x binary")
-    found = rows.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    x = np.frombuffer(b"".join(found["x"].to_pylist()), np.float32).reshape(-1, FEATURES)
-    net = spark.sparkContext.broadcast(fit(x, found["label"].to_numpy()))
+    labelled_rows = rows.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
+    x = np.frombuffer(b"".join(labelled_rows["x"].to_pylist()), np.float32).reshape(-1, FEATURES)
+    net = spark.sparkContext.broadcast(fit(x, labelled_rows["label"].to_numpy()))
 
     def run(batches):
         for b in blocks(batches, BLOCK_BYTES):
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(net.value.score(pooled(b, vectors.value)).astype(np.float64))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(net.value.score(pooled(b, both.value)).astype(np.float64))], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {name}, score double")
