@@ -1,22 +1,26 @@
 """Toxicity: gradient-boosted trees over dense features of a text, calibrated by isotonic regression.
 
 A bounded sample of labelled rows (``SAMPLE`` of each label, those of the smallest hashes of
-doc_id) gives the lexicon: words and word beginnings that stand far more often in toxic than
-in other texts. A row weighs as many labels as it stands for, so that trees and curve learn the
-share of toxic rows among all labels, whatever the input's size. Every text then gets dense features: densities of lexicon words and
+doc_id) is cut in fifths by a hash of doc_id, so that nothing is judged by what was learned from
+it. Four fifths give the lexicon: words and word beginnings that stand far more often in toxic
+than in other texts. Every text then gets dense features: densities of lexicon words and
 beginnings, how near second-person pronouns stand, capitals, punctuation, and rates of
-obfuscated spelling. The trees learn from four fifths of the sample; the isotonic curve, from
-the last fifth.
+obfuscated spelling. The trees learn from the same four fifths, each measured by a lexicon of
+the other three; the isotonic curve, from the last fifth. A row weighs as many labels as it
+stands for, so that trees and curve learn the share of toxic rows among all labels, whatever the
+input's size.
 
 Defined cases: a null or empty text has all features zero and is scored as any other; rows
 that repeat get equal scores; with no labelled rows or one label only, the score is the share
-of label 1 (0 with none).
+of label 1 (0 with none). Where the last fifth lacks a label, the curve takes all rows. doc_id is
+a whole number.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +28,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.llm.arrowtext import blocks, lowered_latin, prefix_sums, span_hash, words
@@ -32,7 +36,7 @@ from lexispark.llm.language_id import LETTER
 from lexispark.llm.shared import labelled_sample
 
 SAMPLE, ENTRIES, LEAST_TOXIC, LEAST_ODDS = 5_000, 1_000, 5, 8.0
-TREES, DEPTH, NEAR = 20, 3, 6
+TREES, DEPTH, NEAR, FOLDS = 20, 3, 6, 5
 #: Lengths in bytes of the word beginnings that the lexicon may hold; 0 stands for whole words.
 KINDS = (0, 4, 5, 6)
 
@@ -58,29 +62,34 @@ def entries(text: bytes) -> set[tuple[int, bytes]]:
     return {(k, w[:k] if k else w) for w in found for k in KINDS if k == 0 or len(w) > k}
 
 
-def lexicon(sample: DataFrame) -> list[tuple[int, bytes]]:
-    """From (text, label): at most ENTRIES entries of each kind, of the highest odds."""
+def entry_counts(sample: DataFrame) -> DataFrame:
+    """(fold, kind, entry, toxic, other): in how many texts of (text, label, fold) each entry stands."""
 
     def run(batches):
         for b in blocks(batches):
             seen, toxic = Counter(), Counter()
-            labels = b.column("label").to_pylist()
+            labels, folds = b.column("label").to_pylist(), b.column("fold").to_pylist()
             for i in range(len(b)):
-                own = entries(b.raw(i))
+                own = [(folds[i], *e) for e in entries(b.raw(i))]
                 seen.update(own)
                 if labels[i]:
                     toxic.update(own)
             keys = list(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.int32()), pa.array([w for _, w in keys], pa.binary()), pa.array([toxic[k] for k in keys], pa.int64()), pa.array([seen[k] - toxic[k] for k in keys], pa.int64())], ["kind", "entry", "toxic", "other"])
+            fold, kind, entry = zip(*keys, strict=True) if keys else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(fold, pa.int32()), pa.array(kind, pa.int32()), pa.array(entry, pa.binary()), pa.array([toxic[k] for k in keys], pa.int64()), pa.array([seen[k] - toxic[k] for k in keys], pa.int64())], ["fold", "kind", "entry", "toxic", "other"])
 
-    n_toxic, n_other = sample.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
-    counted = sample.select("text", "label").mapInArrow(run, "kind int, entry binary, toxic long, other long").groupBy("kind", "entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counted = sample.select("text", "label", "fold").mapInArrow(run, "fold int, kind int, entry binary, toxic long, other long")
+    return counted.groupBy("fold", "kind", "entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+
+
+def lexicon(counted: DataFrame, texts: dict[int, tuple[int, int]], *without: int) -> list[tuple[int, bytes]]:
+    """At most ENTRIES entries of each kind, of the highest odds in the folds but those ``without``; texts: toxic and other ones of each fold."""
+    n_toxic, n_other = (sum(n[k] for fold, n in texts.items() if fold not in without) for k in (0, 1))
+    summed = counted.where(~F.col("fold").isin(*without)).groupBy("kind", "entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = (F.col("toxic") / max(n_toxic, 1)) / ((F.col("other") + 0.5) / (n_other + 1))
-    strong = counted.where(F.col("toxic") >= LEAST_TOXIC).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
-    rows = []
-    for k in KINDS:
-        rows += strong.where(F.col("kind") == k).orderBy(F.desc("odds"), F.desc("toxic"), "entry").limit(ENTRIES).select("kind", "entry").collect()
-    return [(r.kind, bytes(r.entry)) for r in rows]
+    strong = summed.where(F.col("toxic") >= LEAST_TOXIC).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("odds"), F.desc("toxic"), "entry"))
+    return [(r.kind, bytes(r.entry)) for r in strong.withColumn("r", rank).where(F.col("r") <= ENTRIES).orderBy("kind", "r").collect()]
 
 
 def hashes(found: list[bytes]) -> np.ndarray:
@@ -158,18 +167,25 @@ def classify(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Data
     labels = labelled.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     total = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
     stands_for = F.when(F.col("label") == 1, max(1.0, total.get(1, 0) / sample)).otherwise(max(1.0, total.get(0, 0) / sample))
-    ids = labelled_sample(labels, sample, "label").select(F.col("doc_id").alias("__doc"), "label", stands_for.alias("weight")).checkpoint()
-    # At most 2 * sample rows of three numbers.
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__doc")).select("text", "label")
-    rows = measured(docs, lexicon(texts)).checkpoint()
-    known = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("__doc")).dropDuplicates(["__doc"]).drop("doc_id")
-    known = known.withColumn("last", F.expr("pmod(xxhash64(__doc, 5), 5) = 0")).repartition(4, "__doc").checkpoint()
-    n, n_toxic, n_held = known.agg(F.count("*"), F.count_if(F.col("label") == 1), F.count_if(F.col("last"))).first()
+    fold = F.expr(f"cast(pmod(xxhash64(doc_id, 5), {FOLDS}) as int)")
+    ids = labelled_sample(labels, sample, "label").select(F.col("doc_id").alias("__doc"), "label", stands_for.alias("weight"), fold.alias("fold")).checkpoint()
+    # At most 2 * sample rows of a few numbers.
+    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__doc")).dropDuplicates(["__doc"]).select("__doc", "text", "label", "weight", "fold").checkpoint()
+    texts = {r.fold: (r.toxic, r.other) for r in chosen.groupBy("fold").agg(F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("other")).collect()}
+    n, n_toxic = sum(map(sum, texts.values())), sum(t for t, _ in texts.values())
+    counted = entry_counts(chosen).checkpoint()
+    whole = lexicon(counted, texts, 0)
+    rows = measured(docs, whole)
     if n_toxic in (0, n):
         return rows.select("doc_id", F.lit(n_toxic / n if n else 0.0).alias("score"))
+    parts = {k: measured(chosen.where(F.col("fold") == k).withColumnRenamed("__doc", "doc_id"), lexicon(counted, texts, 0, k) if k else whole) for k in range(FOLDS)}
+    all_parts = reduce(DataFrame.unionByName, parts.values())
+    known = all_parts.join(F.broadcast(ids), F.col("doc_id") == F.col("__doc")).drop("doc_id").repartition(4, "__doc").checkpoint()
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="x")
-    learned, held = (assemble.transform(known.where(F.col("last") == x)) for x in (False, True))
+    both = min(texts.get(0, (0, 0))) > 0
+    learned = assemble.transform(known.where("fold > 0") if n_toxic - texts.get(0, (0, 0))[0] > 0 else known)
+    held = assemble.transform(known.where("fold = 0") if both else known)
     trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3).fit(learned)
     raw = lambda df: trees.transform(df).withColumn("raw", vector_to_array("probability")[1])
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="score").fit(raw(held) if n_held else raw(learned))
+    curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="score").fit(raw(held))
     return curve.transform(raw(assemble.transform(rows)).select("doc_id", "raw")).select("doc_id", "score")
