@@ -1,26 +1,33 @@
 """Repeated strings of 100 bytes or more, by prefix-free parsing with sharded suffix sorting.
 
-A rolling hash over 24 bytes is the trigger: in each window of 100 bytes the smallest hash
-marks an anchor, so equal windows have equal anchors at the same place. Consecutive windows
-with one anchor form a phrase, which reaches 99 bytes beyond its last window start. Phrases
-are a parse of the corpus in which no window is lost and none crosses a document, and every
-repeated string lies in phrases of the same anchor.
-
-* The parse is dealt out by anchor and sorted by phrase and place. Equal phrases are one entry
-  of the dictionary: its first place stays, all windows of the others are repeats.
+A rolling hash over 24 bytes, zero modulo ``MODULUS``, is a trigger. The first trigger in a
+window of 100 bytes is its anchor (in the rare window without one, the smallest hash), so equal
+windows have equal anchors at the same place. Consecutive windows with one anchor form a phrase,
+which reaches 99 bytes beyond its last window start. Phrases are a parse of the corpus in which
+no window is lost and none crosses a document, and every repeated string lies in phrases of the
+same anchor.
+
+* Equal phrases are one entry of the dictionary: its first place stays, all windows of the others
+  are repeats. Each task combines its phrases before any is sent: the later places of a phrase are
+  known for repeats at once, and one row for each phrase of some megabytes of text goes on, so a
+  passage that stands everywhere is no burden to one task. These are dealt out by anchor and
+  sorted by phrase and place.
 * Different phrases of one anchor may still share windows. These dictionary entries get their
-  bytes again; their suffixes, cut at 100 bytes, are sorted byte by byte, equal ones by the
-  places of their phrases in the parse: the suffix array of this part of the dictionary,
-  combined with the parse into corpus order. In each run of equal suffixes all but the first
-  are repeats. An anchor with very many different phrases has its suffixes dealt out by their
-  bytes instead, so that no task holds them all.
+  bytes again; their suffixes are sorted byte by byte as far as the rule can tell them apart, 100
+  bytes, equal ones by the places of their phrases in the parse: the suffix array of a shard of the
+  dictionary, combined with the parse into corpus order. In each run of equal suffixes all but
+  the first are repeats. As a phrase reaches 99 bytes beyond its last window, no comparison goes
+  on to the next phrase: of the parse's own suffixes only their order in the corpus matters. An
+  anchor with very many different phrases has its suffixes, combined in each task in the same
+  way, dealt out by their bytes instead, so that no task holds them all.
 * The repeats of a document are merged into runs and cut out.
 
 Nothing compares documents in pairs, and texts only move for documents that need their bytes.
 
 Defined cases: null is the empty text; a text under 100 bytes keeps all; rows that repeat
 doc_id and text are one document and get equal results (with different texts under one doc_id,
-what is found in one is cut from all); a row without doc_id takes no part and keeps all.
+what is found in one is cut from all); a row without doc_id takes no part and keeps all. doc_id
+is a whole number.
 Phrases are told apart by 64-bit hashes together with their anchors' 64 bits.
 """
 
@@ -36,13 +43,15 @@ from pyspark.sql import functions as F
 from lexispark.llm.arrowtext import blocks, mix, powers, prefix_sums, span_hash
 from lexispark.llm.shared import stored
 
-LENGTH, TRIGGER = 100, 24
+LENGTH, TRIGGER, MODULUS = 100, 24, 32
 SPAN = LENGTH - TRIGGER + 1
 #: Bits of a block position inside a sort key; bytes of text handled at a time.
 PLACE_BITS, BLOCK_BYTES = 24, 1 << 18
 #: Windows sorted at a time; different phrases of an anchor beyond which its suffixes are dealt out.
 SORT_WINDOWS, MANY = 60_000, 4_000
 FILTER_BITS = 20
+#: Phrases that a task combines at a time, and those whose suffixes it does.
+COMBINED, SPREAD = 400_000, 2_048
 
 
 def parse(b, begin: int = 0, stop: int | None = None):
@@ -54,9 +63,9 @@ def parse(b, begin: int = 0, stop: int | None = None):
     sums = prefix_sums(data)
     h = mix((sums[TRIGGER:] - sums[:-TRIGGER]) * down[: n - TRIGGER + 1])
     place = np.uint64((1 << PLACE_BITS) - 1)
-    key = (h & ~place) | np.arange(len(h), dtype=np.uint64)
+    key = np.where(h % np.uint64(MODULUS) == 0, np.uint64(0), h & ~place) | np.arange(len(h), dtype=np.uint64)
     width = 1
-    while 2 * width <= SPAN:  # smallest key of each run of SPAN places, the leftmost of equals
+    while 2 * width <= SPAN:  # smallest key of each run of SPAN places: its first trigger, else its smallest hash, the leftmost of equals
         key = np.minimum(key[:-width], key[width:])
         width *= 2
     key = np.minimum(key[: len(key) - (SPAN - width)], key[SPAN - width :])
@@ -84,19 +93,40 @@ def cut_long(b):
         yield type(b)(b.batch, b.first, data, np.array([0, len(data)]), b.null), i
 
 
+def combined(keys: list[np.ndarray], doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of keys, doc and place, without repeated ones; and whether each has the keys of the row before."""
+    order = np.lexsort((place, doc, *keys[::-1]))
+    same = np.zeros(len(order), bool)
+    same[1:] = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in keys])
+    twice = np.zeros(len(order), bool)
+    twice[1:] = same[1:] & (doc[order][1:] == doc[order][:-1]) & (place[order][1:] == place[order][:-1])
+    return order[~twice], same[~twice]
+
+
 def phrases(docs: DataFrame) -> DataFrame:
-    """(anchor, phrase, doc_id, place): place packs the first window start, the window starts and the anchor's place."""
+    """(again, anchor, phrase, doc_id, place): place packs the first window start, the window starts and the anchor's place; again: the task has an earlier place."""
+
+    def rows(held):
+        anchor, phrase, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order, again = combined([anchor, phrase], doc, place)
+        return pa.RecordBatch.from_arrays([pa.array(again), *(pa.array(x[order]) for x in (anchor, phrase, doc, place))], ["again", "anchor", "phrase", "doc_id", "place"])
 
     def run(batches):
+        held, n = [], 0
         for whole in blocks(batches, BLOCK_BYTES):
             ids = whole.column("doc_id").to_numpy()
             for b, offset in cut_long(whole):
                 if (found := parse(b)) is not None:
-                    anchor, phrase, row, low, n, inside = found
-                    place = (low + offset) << 16 | n << 8 | inside
-                    yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(phrase.view(np.int64)), pa.array(ids[row]), pa.array(place)], ["anchor", "phrase", "doc_id", "place"])
+                    anchor, phrase, row, low, width, inside = found
+                    held.append((anchor.view(np.int64), phrase.view(np.int64), ids[row], (low + offset) << 16 | width << 8 | inside))
+                    n += len(anchor)
+            if n > COMBINED:
+                yield rows(held)
+                held, n = [], 0
+        if held:
+            yield rows(held)
 
-    return docs.mapInArrow(run, "anchor long, phrase long, doc_id long, place long")
+    return docs.mapInArrow(run, "again boolean, anchor long, phrase long, doc_id long, place long")
 
 
 def sort_parse(parsed: DataFrame) -> DataFrame:
@@ -105,7 +135,10 @@ def sort_parse(parsed: DataFrame) -> DataFrame:
     def run(batches):
         last, held = None, None  # the row before; the first row of its anchor, while that has one phrase only
         for batch in batches:
-            a, p, d, x = (batch.column(c).to_numpy() for c in ("anchor", "phrase", "doc_id", "place"))
+            known = np.asarray(batch.column("again"))
+            if known.any():
+                yield batch.filter(pa.array(known)).select(["again", "anchor", "doc_id", "place"])
+            a, p, d, x = (batch.column(c).to_numpy()[~known] for c in ("anchor", "phrase", "doc_id", "place"))
             if not len(a):
                 continue
             before = [np.concatenate([[y[0] if last is None else last[k]], y[:-1]]) for k, y in enumerate((a, p, d, x))]
@@ -131,7 +164,8 @@ def sort_parse(parsed: DataFrame) -> DataFrame:
                 i = int(np.flatnonzero(~same_anchor)[-1])
                 held = (a[i], p[i], d[i], x[i])
 
-    ordered = parsed.repartition("anchor").sortWithinPartitions("anchor", "phrase", "doc_id", "place")
+    dealt = parsed.repartition(F.expr("if(again, xxhash64(doc_id, place), anchor)"))
+    ordered = dealt.sortWithinPartitions("again", "anchor", "phrase", "doc_id", "place")
     return ordered.mapInArrow(run, "again boolean, anchor long, doc_id long, place long")
 
 
@@ -232,12 +266,8 @@ def sort_dictionary(contexts: DataFrame) -> DataFrame:
         batch = table.combine_chunks()
         anchor, doc, place = (batch.column(c).to_numpy() for c in ("anchor", "doc_id", "place"))
         owner, inside, start, text = windows_of(anchor, doc, place, batch.column("context").combine_chunks())
-        columns = text.view(">u8").astype(np.uint64).T
-        order = np.lexsort((start, doc[owner], *columns[::-1], inside, anchor[owner]))
-        same = np.zeros(len(order), bool)
-        a, w, k = anchor[owner][order], columns[:, order], inside[order]
-        same[1:] = (a[1:] == a[:-1]) & (k[1:] == k[:-1]) & (w[:, 1:] == w[:, :-1]).all(axis=0)
-        found = order[same]
+        order, again = combined([anchor[owner], inside, *text.view(">u8").astype(np.uint64).T], doc[owner], start)
+        found = order[again]
         found = found[np.lexsort((start[found], doc[owner][found]))]
         return runs(doc[owner][found], start[found])
 
@@ -271,25 +301,32 @@ def deal_suffixes(contexts: DataFrame) -> DataFrame:
 
     def spread(batches):
         for batch in batches:
-            for i in range(0, len(batch), 256):
-                part = batch.slice(i, 256)
+            for i in range(0, len(batch), SPREAD):
+                part = batch.slice(i, SPREAD)
                 anchor, doc, place = (part.column(c).to_numpy() for c in ("anchor", "doc_id", "place"))
                 owner, inside, start, text = windows_of(anchor, doc, place, part.column("context"))
-                flat = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer((np.arange(len(owner) + 1) * LENGTH).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(text[:, :LENGTH]))])
-                yield pa.RecordBatch.from_arrays([flat, pa.array(doc[owner]), pa.array(start)], ["suffix", "doc_id", "start"])
+                order, again = combined([inside, *text.view(">u8").astype(np.uint64).T], doc[owner], start)
+                size = np.where(again, 0, LENGTH)
+                flat = np.ascontiguousarray(text[order[~again], :LENGTH])
+                suffix = pa.Array.from_buffers(pa.binary(), len(order), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([pa.array(again), suffix, pa.array(doc[owner][order]), pa.array(start[order])], ["again", "suffix", "doc_id", "start"])
 
     def run(batches):
         last = None
         for batch in batches:
             if len(batch):
-                suffix = np.array(batch.column("suffix").to_pylist(), object)
+                known, suffix = np.asarray(batch.column("again")), np.array(batch.column("suffix").to_pylist(), object)
                 same = np.concatenate([[last == suffix[0]], suffix[1:] == suffix[:-1]]).astype(bool)
-                last = suffix[-1]
-                start = batch.column("start").to_numpy()[same]
-                yield pa.RecordBatch.from_arrays([pa.array(batch.column("doc_id").to_numpy()[same]), pa.array(start), pa.array(start + LENGTH)], ["doc_id", "begin", "end"])
-
-    dealt = contexts.mapInArrow(spread, "suffix binary, doc_id long, start long").repartition("suffix").sortWithinPartitions("suffix", "doc_id", "start")
-    return dealt.mapInArrow(run, "doc_id long, begin long, end long")
+                doc, start = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy()
+                if not known[-1]:
+                    last = suffix[-1]
+                # A row that repeats the document and place before it is the same window of a row that stands twice.
+                twice = np.concatenate([[False], (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])])
+                same = known | same & ~twice
+                yield pa.RecordBatch.from_arrays([pa.array(doc[same]), pa.array(start[same]), pa.array(start[same] + LENGTH)], ["doc_id", "begin", "end"])
+
+    dealt = contexts.mapInArrow(spread, "again boolean, suffix binary, doc_id long, start long").repartition(F.expr("if(again, xxhash64(doc_id, start), xxhash64(suffix))"))
+    return dealt.sortWithinPartitions("again", "suffix", "doc_id", "start").mapInArrow(run, "doc_id long, begin long, end long")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
