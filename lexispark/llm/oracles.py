@@ -1,6 +1,6 @@
 """DuckDB SQL with the same rows as the queries, where SQL can express them."""
 
-from lexispark.llm.quality_rules import RULES, STOP_WORDS
+from lexispark.llm.quality_rules import STOP_WORDS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -16,7 +16,8 @@ FROM flagged GROUP BY doc_id
 """
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
-_RULE = "NOT base_failed AND " + " AND ".join(r.sql() for r in RULES)
+_RULE = """NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 14 * n_words AND 100 * n_symbols <= 6 * word_chars
+       AND 100 * n_stop_words >= 4 * n_words AND 100 * n_dup_lines <= 30 * n_lines AND 100 * n_loud_words <= 30 * n_words"""
 
 OP1 = rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),

@@ -22,6 +22,15 @@ def quality(text):
     return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(hit), len(w) < 20 or 100 * len(hit) > 30 * len(w)
 
 
+def quality_kept(text, stop_words):
+    n, chars, symbols, dup, _, failed = quality(text)
+    w = WORD.findall(text or "")
+    n_lines = sum(bool(WORD.search(x)) for x in (text or "").split("\n"))
+    stop, loud = sum(x.lower() in stop_words for x in w), sum(x.endswith("!!") for x in w)
+    good = 2 * n <= chars <= 14 * n and 100 * symbols <= 6 * chars and 100 * stop >= 4 * n
+    return not failed and good and 100 * dup <= 30 * n_lines and 100 * loud <= 30 * n
+
+
 def substrings(rows):
     """rows (doc_id, text), one a doc_id."""
     seen, out = set(), {}

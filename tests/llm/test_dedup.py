@@ -17,9 +17,11 @@ def by_id(texts):
     return list(dict(texts).items())
 
 
-@pytest.mark.parametrize("many", [4_000, 2])
-def test_substrings(docs, texts, empty, monkeypatch, many):
+@pytest.mark.parametrize("many,combined", [(4_000, 400_000), (2, 40), (1, 1)])
+def test_substrings(docs, texts, empty, monkeypatch, many, combined):
     monkeypatch.setattr(substring_dedup, "MANY", many)
+    monkeypatch.setattr(substring_dedup, "COMBINED", combined)
+    monkeypatch.setattr(substring_dedup, "SPREAD", 2_048 if many > 1 else 3)
     got = substring_dedup.dedup_substrings(docs).withColumn("sha", F.sha2("kept", 256)).collect()
     want = brute.substrings(by_id(texts))
     assert len(got) == len(texts)
@@ -28,6 +30,21 @@ def test_substrings(docs, texts, empty, monkeypatch, many):
         assert substring_dedup.dedup_substrings(empty).count() == 0
 
 
+@pytest.mark.parametrize("many", [4_000, 1])
+def test_substrings_of_many_copies_and_runs(spark, monkeypatch, many):
+    """Copies in every document, texts without triggers (long runs), one row twice, parts of a long text."""
+    rng = random.Random(9)
+    passage = " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(60))
+    rows = [(i, f"{rng.random()} own {i * 7919} " * rng.randint(1, 9) + (passage[i % 40 :] if i % 2 else passage[: 150 + i])) for i in range(60)]
+    rows += [(100, "z" * 900), (101, "z" * 300 + "yx" * 200 + passage * 2), (102, passage), (102, passage), (3, rows[3][1])]
+    monkeypatch.setattr(substring_dedup, "MANY", many)
+    monkeypatch.setattr(substring_dedup, "PLACE_BITS", 10)
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 500)
+    got = substring_dedup.dedup_substrings(frame(spark, rows)).withColumn("sha", F.sha2("kept", 256)).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in got} == brute.substrings(by_id(rows))
+
+
 def test_substrings_without_ids_keep_all(spark):
     text = "abcdefghij" * 30
     rows = frame(spark, [(None, text), (None, text), (1, text)])

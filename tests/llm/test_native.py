@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexispark.llm import decontamination
 from lexispark.llm.decontamination import find_passages, proximity_matches
-from lexispark.llm.quality_rules import Rule, apply_rules
+from lexispark.llm.quality_rules import STOP_WORDS, Rule, apply_rules
 
 from . import brute
 
@@ -26,6 +26,15 @@ def test_quality_rules(docs, texts, empty):
     assert apply_rules(empty).count() == 0
 
 
+def test_kept_texts(spark, texts):
+    plain = "The reader of the book is in the room and it was not a long way to the door by the window of it all."
+    made = [plain, plain.upper(), plain + " #$%&" * 9, plain.replace("the ", "the!! "), (plain[:60] + "\n") * 3 + plain, plain.replace(" the", " xyz").replace(" of", " q").replace(" is", "").replace(" it", ""), " ".join("of a" for _ in range(20)), "verylongwordindeed " * 30 + plain]
+    rows = [(i, t) for i, t in enumerate(made + [t for _, t in texts])] + [(None, plain)]
+    got = {(r.doc_id, r.kept) for r in apply_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(i, brute.quality_kept(t, STOP_WORDS)) for i, t in rows}
+    assert {(i, t) for i, t in got if i in (0, None)} == {(0, True), (None, True)} and sum(kept for i, kept in got if i is not None and i < 8) < 4
+
+
 def test_other_rules(docs):
     only = (Rule("some_words", "n_words", 100, "one", at_least=True),)
     assert {r.doc_id for r in apply_rules(docs, only, ()).where("not kept").collect()} == {70, 71, 72}
