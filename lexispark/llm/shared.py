@@ -12,8 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch that goes to a task's Python; rows of long texts would fill many times as much.
+BATCH_BYTES = 4 << 20
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Make sure that checkpoint() has a folder: the cluster's; where none is set, one of our own in a single local process only."""
+    """Make sure that checkpoint() has a folder: the cluster's; where none is set, one of our own in a single local process only.
+
+    Arrow batches are bounded to BATCH_BYTES in the session, so that memory follows neither texts' lengths nor counts of rows.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
