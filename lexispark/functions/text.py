@@ -8,8 +8,21 @@ from pyspark.sql import functions as F
 from lexispark.functions import values as V
 
 
+#: Java's classes, borders of words and cases follow Unicode, as the texts have accents.
+UNICODE = "(?U)"
+
+
 def found(text: Column, pattern: str, group: int = 0) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    return F.regexp_extract_all(text, F.lit(UNICODE + pattern), F.lit(group))
+
+
+def holds(text: Column, pattern: str) -> Column:
+    return text.rlike(UNICODE + pattern)
+
+
+def found_where(trigger: str, text: Column, pattern: str, group: int = 0) -> Column:
+    """found(), where the text holds a trigger that every match has; other texts are spared the pattern."""
+    return F.when(text.rlike(trigger), found(text, pattern, group)).otherwise(F.array().cast("array<string>"))
 
 
 def once(value: Column, body) -> Column:
@@ -35,34 +48,35 @@ def tokens(text: Column) -> Column:
 
 
 def dates(text: Column) -> Column:
-    return found(text, V.DATE)
+    return found_where(V.HAS_DATE, text, V.DATE)
 
 
 def money(text: Column) -> Column:
-    return found(text, V.MONEY)
+    return found_where(V.HAS_MONEY, text, V.MONEY)
 
 
 def numbers(text: Column, dates_of: Column) -> Column:
     """Percentages, then numbers that are not one of the dates written without - and /."""
     plain = F.transform(dates_of, lambda d: F.replace(F.replace(d, F.lit("-"), F.lit("")), F.lit("/"), F.lit("")))
-    return F.concat(found(text, V.PERCENTAGE), F.filter(found(text, V.NUMBER), lambda n: ~F.array_contains(plain, n)))
+    others = once(plain, lambda known: F.filter(found(text, V.NUMBER), lambda n: ~F.array_contains(known, n)))
+    return F.when(text.rlike(V.HAS_DIGIT), F.concat(found(text, V.PERCENTAGE), others)).otherwise(F.array().cast("array<string>"))
 
 
 def emails(text: Column) -> Column:
-    return found(text, V.EMAIL)
+    return found_where(V.HAS_EMAIL, text, V.EMAIL)
 
 
 def phones(text: Column) -> Column:
-    return found(text, V.PHONE)
+    return found_where(V.HAS_PHONE, text, V.PHONE)
 
 
 def urls(text: Column) -> Column:
-    return found(text, V.URL)
+    return found_where(V.HAS_URL, text, V.URL)
 
 
 def defined_terms(text: Column) -> Column:
-    terms = F.filter(F.transform(found(text, V.DEFINED_TERM, 1), strip), lambda t: F.length(t) > 2)
-    return F.concat(terms, found(text, V.ABBREVIATION, 1))
+    terms = F.filter(F.transform(found_where(V.HAS_TERM, text, V.DEFINED_TERM, 1), strip), lambda t: F.length(t) > 2)
+    return F.concat(terms, found_where(V.HAS_ABBREVIATION, text, V.ABBREVIATION, 1))
 
 
 def key_nouns(text: Column) -> Column:

@@ -19,7 +19,7 @@ COMMON_NAMES = ("DSL", "Data Science Lab", "People Ops", "Medewerker", "Medewerk
 # Marks of boilerplate.
 BOILERPLATE = ("no part of this document may be reproduced", "copyright", "©", "all rights reserved", "donker curtiusstraat", "postbus", "kvk", "btw", "iban")
 
-# Patterns of facts. All are read by Java's engine; (?i) ignores case.
+# Patterns of facts, read with Unicode classes and borders of words (``text.UNICODE``); (?i) ignores case.
 _NL_MONTH = "januari|februari|maart|april|mei|juni|juli|augustus|september|oktober|november|december"
 _EN_MONTH = "january|february|march|april|may|june|july|august|september|october|november|december"
 _NL_NUMBER = "een|twee|drie|vier|vijf|zes|zeven|acht|negen|tien|elf|twaalf|dertien|veertien|vijftien|twintig|dertig|veertig|vijftig|honderd"
@@ -35,22 +35,29 @@ DATE = (
 MONEY = r"(?i)€\s*[\d.,]+|\$\s*[\d.,]+|\b\d+(?:[.,]\d+)?\s*(?:euro|EUR)\b"
 PERCENTAGE = r"\b\d+(?:[.,]\d+)?%"
 NUMBER = r"\b\d{2,}(?:[.,]\d+)?\b"
-EMAIL = r"[\w.-]+@[\w.-]+\.\w{2,}"
+EMAIL = r"[\p{L}\p{N}_.-]+@[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_]{2,}"
 PHONE = r"\b0\d{1,2}[-\s]?\d{7,8}\b|\b\+\d{1,3}[-\s]?\d{1,4}[-\s]?\d{4,8}\b"
 URL = r"https?://\S+"
-DEFINED_TERM = r"(?i)([A-ZÀ-ɏ][\w\s&\-]{2,30}?)\s+(?:houdt\s+in|betekent|staat\s+voor|is\s+een|refers?\s+to|means?|is\s+defined\s+as)"
+DEFINED_TERM = r"(?i)([A-ZÀ-ɏ][\p{L}\p{N}_\s&\-]{2,30}?)\s+(?:houdt\s+in|betekent|staat\s+voor|is\s+een|refers?\s+to|means?|is\s+defined\s+as)"
 ABBREVIATION = r"\(([A-Z][A-Za-z&]{1,10})\)"
 KEY_NOUN = r"\b([A-ZÀ-ɏ][a-zÀ-ɏ]{2,}(?:\s+[A-ZÀ-ɏ][a-zÀ-ɏ]{2,})*)\b"
 TOKEN = r"[a-zÀ-ɏ0-9]+"
 WORD, PLAIN_NOUN = r"[\p{L}\p{N}_]+", r"^[A-ZÀ-ɏ][a-zÀ-ɏ]{3,}$"
 
+# What a text must hold for a pattern to match at all; the slow patterns run on such texts only.
+HAS_DATE = rf"\d|(?i:\s(?:{_PERIOD})\b)"
+HAS_MONEY, HAS_DIGIT, HAS_EMAIL, HAS_PHONE, HAS_URL, HAS_ABBREVIATION = r"[€$]|\d\s*(?i:eur)", r"\d", "@", r"\d{4}", "://", r"\([A-Z]"
+HAS_TERM = r"(?i)\s(?:houdt\s+in|betekent|staat\s+voor|is\s+een|refers?\s+to|means?|is\s+defined\s+as)"
+
 # Patterns of structural tags.
 BULLET, NUMBERED = r"(?m)^\s*[•\-\*]\s", r"(?m)^\s*[a-z]\)\s|^\s*\d+[\.\)]\s"
 TAG_DATE = rf"(?i)\b\d{{1,2}}[-/]\d{{1,2}}[-/]\d{{2,4}}\b|\b\d{{4}}\b|\b(?:{_NL_MONTH}|{_EN_MONTH})\b"
 TAG_NUMBER = r"€\s*[\d.,]+|\d+(?:[.,]\d+)?%|\b\d{2,}\b"
-TAG_EMAIL, TAG_PHONE = r"[\w.-]+@[\w.-]+\.\w+", r"\b\d{2,3}[-\s]?\d{7,8}\b"
+TAG_EMAIL, TAG_PHONE = r"[\p{L}\p{N}_.-]+@[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_]+", r"\b\d{2,3}[-\s]?\d{7,8}\b"
 TAG_DEFINITION = r"(?i)\bhoudt\s+in\b|\bbetekent\b|\bstaat\s+voor\b|\bwordt\s+bedoeld\b|\bis\s+gedefinieerd\b|\brefers?\s+to\b|\bmeans?\b|\bdefined\s+as\b"
 
+LIST_MARK = r"\s*(?:[•\-\*]|\d+[\.\)]|[a-z][\.\)])"
+
 # Patterns of headings.
 MARKDOWN_HEADING = r"^(#{1,4})\s+(.+)$"
 CHAPTER = r"^\s*(\d{1,2})\.?\s+([A-ZÀ-ɏ].{2,80})$"
@@ -58,7 +65,7 @@ SUBSECTION = r"^\s*(\d{1,2}\.\d{1,2})\s+([A-ZÀ-ɏ].{2,80})$"
 TITLE_LINE = r"^([A-ZÀ-ɏ][A-Za-zÀ-ɏ &\-/()]{4,60})$"
 
 # Thresholds.
-INDEX_MIN_WORDS, MIN_WORDS, MIN_PARAGRAPH, MIN_PAGE = 10, 15, 20, 30
+INDEX_MIN_WORDS, MIN_WORDS, MIN_PARAGRAPH, MIN_PAGE, LEAST_EXCERPT = 10, 15, 20, 30, 80
 PASSAGE, PAIR_PASSAGE, LIST_PASSAGE, HALLUCINATION_PASSAGE, LONG_CONTEXT, LONG_SPAN = 1200, 800, 1500, 600, 4000, 4
 K1, B = 1.5, 0.75
 MIN_KEYWORDS, MIN_MATCH, MIN_CONTEXT = 0.25, 0.3, 30

@@ -27,15 +27,20 @@ TEMPLATES = ("What does the text say about {}?", "Which passage mentions {}?", "
 
 
 def prompt_messages(candidates: DataFrame) -> DataFrame:
-    """(id, role, content): two messages for each candidate (id, type, passage, sources, difficulty)."""
+    """(id, role, content): two messages for each candidate (id, type, passage, sources, difficulty).
+
+    A column chapter is told with the sources; of temporal questions also dates (strings).
+    """
     hint = F.lit(HINTS["default"])
     for name, said in HINTS.items():
         hint = F.when(F.col("type") == name, said).otherwise(hint)
     turns = F.col("type") == "multi_turn_followup"
     form = lambda multi: "{" + ", ".join(f'"{f}": "..."' for f in FIELDS[multi]) + "}"
+    dates = F.when((F.col("type") == "temporal_questions") & (F.size("dates") > 0), F.concat(F.lit("Dates of the documents: "), F.array_join("dates", "; "))) if "dates" in candidates.columns else F.lit(None).cast("string")
+    chapter = F.concat(F.lit("Chapter: "), "chapter") if "chapter" in candidates.columns else F.lit(None).cast("string")
     asked = F.concat_ws(
         "\n", F.concat(F.lit("Type: "), "type"), F.concat(F.lit("Difficulty: "), "difficulty"), F.concat(F.lit("Task: "), hint),
-        F.concat(F.lit("Sources: "), F.array_join("sources", ", ")), F.concat(F.lit("Passage:\n"), "passage"),
+        F.concat(F.lit("Sources: "), F.array_join("sources", ", ")), chapter, dates, F.concat(F.lit("Passage:\n"), "passage"),
         F.concat(F.lit("Answer as JSON: "), F.when(turns, form(True)).otherwise(form(False))),
     )
     both = F.array(F.struct(F.lit("system").alias("role"), F.lit("You write test questions. Use the passage only.").alias("content")), F.struct(F.lit("user").alias("role"), asked.alias("content")))
@@ -53,8 +58,50 @@ def template_questions(candidates: DataFrame) -> DataFrame:
     return rows.withColumn("question", F.replace(chosen, F.lit("{}"), topic)).withColumn("answer", answer).drop("words", "draw")
 
 
+#: Wordings of the other offline generators: facts looked up under other words, facts joined, facts hidden in a passage, and what no text tells.
+PARAPHRASES = ("Put in your own words: {}...", "What is known of this: {}...?", "Say more on: {}...", "Which details go with: {}...?")
+NEEDLES = ("The blue key opens locker 17", "Ferry Aurora sails at noon", "Our lamp costs exactly 88 crowns", "Parcel seven went to Riga", "The old bridge has nine arches")
+UNKNOWABLE = ("How warm is it on Neptune today?", "Who wins the chess title in 2071?", "What did the author dream last night?", "How many coins lay in the fountain in 1790?", "Which colour has the number eleven?")
+NOT_FOUND = "The documents do not say."
+
+
+def _draw(rows: DataFrame, n: int) -> Column:
+    """A number below n from the hash of the row's key."""
+    return F.pmod(F.conv(F.substring(F.md5(F.col("key").cast("string").cast("binary")), 1, 7), 16, 10).cast("long"), F.lit(n)).cast("int")
+
+
+def _choice(rows: DataFrame, texts: tuple[str, ...]) -> Column:
+    return F.element_at(F.array(*(F.lit(t) for t in texts)), _draw(rows, len(texts)) + 1)
+
+
+def paraphrase_questions(candidates: DataFrame) -> DataFrame:
+    """As ``template_questions``, asked by the first 30 characters of the fact in other words."""
+    rows = template_questions(candidates)
+    return rows.withColumn("question", F.replace(_choice(rows, PARAPHRASES), F.lit("{}"), F.left("answer", F.lit(30))))
+
+
+def joined_questions(candidates: DataFrame) -> DataFrame:
+    """How the first eight words of each excerpt of a passage go together."""
+    facts = F.transform(F.split("passage", V.SEPARATOR), lambda p: F.array_join(F.slice(X.words(p), 1, 8), " "))
+    rows = candidates.withColumn("facts", facts)
+    short = F.transform("facts", lambda f: F.concat(F.left(f, F.lit(30)), F.lit("...")))
+    return rows.withColumn("question", F.concat(F.lit("How do these go together: "), F.array_join(short, " and "), F.lit("?"))).withColumn("answer", F.array_join("facts", "; ")).drop("facts")
+
+
+def needle_questions(candidates: DataFrame) -> DataFrame:
+    """A made-up fact is put behind the passage and asked for by its third word."""
+    rows = candidates.withColumn("answer", _choice(candidates, NEEDLES))
+    asked = F.concat(F.lit("What is said of "), F.get(F.split("answer", " "), F.lit(2)), F.lit("?"))
+    return rows.withColumn("passage", F.concat_ws(" ", "passage", "answer")).withColumn("question", asked)
+
+
+def unknowable_questions(candidates: DataFrame) -> DataFrame:
+    """Questions that no document answers."""
+    return candidates.withColumn("question", _choice(candidates, UNKNOWABLE)).withColumn("answer", F.lit(NOT_FOUND))
+
+
 #: Generators by name: a function from candidates to candidates with question and answer.
-GENERATORS: dict[str, Callable[[DataFrame], DataFrame]] = {"template": template_questions}
+GENERATORS: dict[str, Callable[[DataFrame], DataFrame]] = {"template": template_questions, "paraphrase": paraphrase_questions, "joined": joined_questions, "needle": needle_questions, "unknowable": unknowable_questions}
 
 
 def register_generator(name: str, make: Callable[[DataFrame], DataFrame]) -> None:

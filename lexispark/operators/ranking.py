@@ -29,6 +29,15 @@ def build_index(sections: DataFrame) -> SearchIndex:
     return SearchIndex(terms, terms.groupBy("term").agg(F.count("*").alias("df")), stats)
 
 
+def stored_index(sections: DataFrame, folder: str) -> SearchIndex:
+    """The index written once as tables under a folder and read again, for many searches."""
+    made, spark = build_index(sections), sections.sparkSession
+    made.postings.write.mode("overwrite").parquet(f"{folder}/postings")
+    made.stats.write.mode("overwrite").parquet(f"{folder}/stats")
+    postings, stats = (spark.read.parquet(f"{folder}/{name}") for name in ("postings", "stats"))
+    return SearchIndex(postings, postings.groupBy("term").agg(F.count("*").alias("df")), stats)
+
+
 def query_terms(queries: DataFrame) -> DataFrame:
     """(query_id, term, weight) from (query_id, terms); a repeated term weighs double."""
     return queries.select("query_id", F.explode("terms").alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("weight"))

@@ -37,10 +37,14 @@ def plain_sections(documents: DataFrame) -> DataFrame:
 
 
 def numbered(sections: DataFrame) -> DataFrame:
-    """sec_ord in order of pos, and full_text and word count."""
+    """sec_ord in order of pos, parent_sec_ord (of rows with a parent_pos, the last top section before), full_text and word count."""
     text = F.when(F.length("heading") > 0, F.concat_ws("\n", "heading", "content")).otherwise(F.col("content"))
     order = Window.partitionBy("doc_id").orderBy("pos")
-    return sections.withColumn("sec_ord", F.row_number().over(order) - 1).withColumn("full_text", text).withColumn("n_words", X.word_count(F.col("content"))).drop("pos")
+    placed = sections.withColumn("sec_ord", F.row_number().over(order) - 1).withColumn("full_text", text).withColumn("n_words", X.word_count(F.col("content")))
+    if "parent_pos" not in sections.columns:
+        return placed.withColumn("parent_sec_ord", F.lit(None).cast("int")).drop("pos")
+    top = F.last(F.when(F.col("level") == 0, F.col("sec_ord")), ignorenulls=True).over(order)
+    return placed.withColumn("parent_sec_ord", F.when(F.col("parent_pos").isNotNull(), top)).drop("pos", "parent_pos")
 
 
 def markdown_sections(documents: DataFrame) -> DataFrame:
@@ -110,13 +114,28 @@ def all_text(sections: DataFrame) -> DataFrame:
     return owned.groupBy("doc_id", F.col("top").alias("sec_ord")).agg(F.array_join(parts, "\n\n").alias("all_text"))
 
 
+def file_sections(files: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Sections of read files (doc_id, filename, raw_text, doc_type) as ``corpus_view`` has them: source is the file, doc_id the section's own id.
+
+    Markdown is cut at its headings, text at blank lines, pages (doc_id, page_no, text) of files
+    at numbered or title-like headings; JSON files have no sections.
+    """
+    raw = files.select("doc_id", F.col("raw_text").alias("text"), "doc_type")
+    made = markdown_sections(raw.where("doc_type = 'md'")).unionByName(plain_sections(raw.where("doc_type = 'txt'")), allowMissingColumns=True)
+    if pages is not None:
+        made = made.unionByName(paged_sections(pages), allowMissingColumns=True)
+    named = made.join(files.select("doc_id", F.col("filename").alias("source")), "doc_id")
+    key = F.shiftleft(F.col("doc_id").cast("long"), 20) + F.col("sec_ord")
+    return named.select("source", key.alias("doc_id"), "heading", "content", F.col("full_text").alias("text"), "n_words")
+
+
 def tags(sections: DataFrame) -> DataFrame:
     """The six structural flags of each section's text."""
     text = F.col("text")
     wide = lambda mark: F.size(F.filter(F.split(text, "\n"), lambda x: F.length(x) - F.length(F.replace(x, F.lit(mark), F.lit(""))) >= 2)) >= 2
     return sections.withColumns({
-        "has_list": text.rlike(V.BULLET) | text.rlike(V.NUMBERED), "has_dates": text.rlike(V.TAG_DATE), "has_numbers": text.rlike(V.TAG_NUMBER),
-        "has_contact": text.rlike(V.TAG_EMAIL) | text.rlike(V.TAG_PHONE) | text.rlike(V.URL), "has_definition": text.rlike(V.TAG_DEFINITION), "has_table": wide("\t") | wide("|"),
+        "has_list": X.holds(text, V.BULLET) | X.holds(text, V.NUMBERED), "has_dates": X.holds(text, V.TAG_DATE), "has_numbers": X.holds(text, V.TAG_NUMBER),
+        "has_contact": (F.contains(text, F.lit("@")) & X.holds(text, V.TAG_EMAIL)) | X.holds(text, V.TAG_PHONE) | X.holds(text, V.URL), "has_definition": X.holds(text, V.TAG_DEFINITION), "has_table": wide("\t") | wide("|"),
     })
 
 
@@ -125,4 +144,4 @@ def facts(sections: DataFrame) -> DataFrame:
     text = F.col("text")
     some = sections.withColumn("dates", X.dates(text))
     made = some.withColumns({"numbers": X.numbers(text, F.col("dates")), "money": X.money(text), "emails": X.emails(text), "phones": X.phones(text), "urls": X.urls(text), "terms": X.defined_terms(text)})
-    return made.withColumn("entity_count", sum((F.size(c) for c in LISTS[1:]), F.size(LISTS[0])))
+    return made.withColumn("entity_count", sum((F.size(c) for c in LISTS[1:]), F.size(LISTS[0]))).withColumn("has_factual_content", sum((F.size(c) for c in LISTS[1:-1]), F.size(LISTS[0])) > 0)

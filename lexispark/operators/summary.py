@@ -56,3 +56,26 @@ def viewer_filter(questions: DataFrame, qtype: str = "", difficulty: str = "", s
     if search:
         rows = rows.where(F.contains(F.lower(F.concat_ws(" ", "question", "answer", "context", F.col("id").cast("string"))), F.lit(search.lower())))
     return rows
+
+
+def run_totals(documents: DataFrame, sections: DataFrame) -> DataFrame:
+    """(n_documents, n_sections, n_words): one row over documents (doc_id) and sections (n_words)."""
+    counted = sections.agg(F.count("*").alias("n_sections"), F.coalesce(F.sum("n_words"), F.lit(0)).cast("long").alias("n_words"))
+    return documents.agg(F.count_distinct("doc_id").alias("n_documents")).crossJoin(counted)  # one row each
+
+
+def clean_metrics(questions: DataFrame) -> DataFrame:
+    """(n_questions, n_hallucinated, clean_ratio) of questions (hallucination_detected); the ratio is 0 without questions."""
+    n, bad = F.count("*"), F.count_if(F.coalesce("hallucination_detected", F.lit(False)))
+    ratio = F.when(n == 0, 0.0).otherwise(F.round((n - bad) / F.greatest(n, F.lit(1)), 6))
+    return questions.agg(n.alias("n_questions"), bad.alias("n_hallucinated"), ratio.alias("clean_ratio"))
+
+
+def first_seen(questions: DataFrame) -> DataFrame:
+    """(source, first, n): the source documents in the order (ord) in which questions first name them."""
+    return questions.select("ord", F.explode("source_documents").alias("source")).groupBy("source").agg(F.min("ord").alias("first"), F.count("*").alias("n"))
+
+
+def type_counts(questions: DataFrame) -> DataFrame:
+    """(metric, value): a run's count of questions by type, as metric rows."""
+    return questions.groupBy("type").agg(F.count("*").cast("double").alias("value")).select(F.concat(F.lit("count_"), "type").alias("metric"), "value")

@@ -19,6 +19,7 @@ from lexispark.operators import sections as D
 from lexispark.operators.generation import generator, question_ids
 from lexispark.operators.ranking import build_index
 from lexispark.operators.validation import source_ratios, topic_elsewhere, validated
+from lexispark.sources.corpus import text_files
 
 
 @dataclass(frozen=True)
@@ -47,9 +48,9 @@ def type_table(spark: SparkSession, config: RunConfig) -> DataFrame:
     return spark.createDataFrame(rows, "ord int, type string, strategy string, enabled boolean, count int, difficulty string")
 
 
-def prepared(documents: DataFrame) -> DataFrame:
+def prepared(sections: DataFrame) -> DataFrame:
     """Sections with all facts and tags that the strategies read."""
-    return D.facts(D.tags(D.corpus_view(documents))).withColumn("nouns", X.key_nouns(F.col("text")))
+    return D.facts(D.tags(sections)).withColumn("nouns", X.key_nouns(F.col("text")))
 
 
 def over_fetch(strategy: str, count: int) -> int:
@@ -86,23 +87,41 @@ def select(spark: SparkSession, sections: DataFrame, qtype: str, count: int, use
 
 
 def run(documents: DataFrame, config: RunConfig) -> DataFrame:
-    """The accepted questions: id, type, question, answer, context, source_documents, difficulty, match_ratio, answer_grounded."""
-    spark = documents.sparkSession
-    sections = prepared(documents).persist()
+    """``run_sections`` over documents (doc_id, text, source), each one section of its source."""
+    return run_sections(D.corpus_view(documents), config)
+
+
+def run_files(spark: SparkSession, folder: str, config: RunConfig) -> DataFrame:
+    """``run_sections`` over the sections of a folder's markdown and text files, with their dates."""
+    files = text_files(spark, folder)
+    return run_sections(D.file_sections(files), config, files.select(F.col("filename").alias("source"), F.coalesce("year_in_name", "modified").alias("date")))
+
+
+def run_sections(rows: DataFrame, config: RunConfig, dates: DataFrame | None = None) -> DataFrame:
+    """The accepted questions: id, type, question, answer, context, source_documents, difficulty, match_ratio, answer_grounded.
+
+    rows: sections (source, doc_id, heading, content, text, n_words). Generators get, with
+    dates (source, date), the dates of each temporal question's sources as strings.
+    """
+    spark = rows.sparkSession
+    sections = prepared(rows).persist()
     used: set[int] = set()
-    rows, order = [], 0
+    chosen, order = [], 0
     for qtype, c in config.enabled():
         for ids, passage, sources in select(spark, sections, qtype, over_fetch(V.QUESTION_TYPES[qtype], c.count), used, config.seed):
             used |= set(ids)
-            rows.append((order, qtype, c.difficulty, c.count, f"{qtype}:{order}", passage, sources))
+            chosen.append((order, qtype, c.difficulty, c.count, f"{qtype}:{order}", passage, sources))
             order += 1
-    made = spark.createDataFrame(rows, "ord int, type string, difficulty string, wanted int, key string, passage string, source_documents array<string>")
+    made = spark.createDataFrame(chosen, "ord int, type string, difficulty string, wanted int, key string, passage string, source_documents array<string>")
+    if dates is not None:
+        named = made.where("type = 'temporal_questions'").select("ord", F.explode("source_documents").alias("source")).join(dates, "source").groupBy("ord").agg(F.array_sort(F.collect_set(F.concat_ws(": ", "source", "date"))).alias("dates"))
+        made = made.join(named, "ord", "left")
     # Kept, as a generator may be slow or answer anew; the rows are bounded.
     asked = generator(config.generator)(made).withColumn("context", F.col("passage")).persist()
     ratios = source_ratios(asked.select(F.col("ord").alias("context_id"), "context", F.col("source_documents").alias("sources")), sections)
     matched = asked.join(ratios.select(F.col("context_id").alias("ord"), F.col("ratio").alias("match_ratio")), "ord")
     judged = validated(matched.withColumns({"same_document": (F.size("source_documents") < 2) & F.contains("passage", F.lit(V.SEPARATOR))}))
-    if any(r[1] == "hallucination_test" for r in rows):
+    if any(r[1] == "hallucination_test" for r in chosen):
         tests = judged.where("valid and type = 'hallucination_test'").select(F.col("ord").alias("query_id"), "question", "passage")
         known = topic_elsewhere(tests, build_index(sections), sections).where("exists").select(F.col("query_id").alias("ord"))
         judged = judged.join(known, "ord", "left_anti")

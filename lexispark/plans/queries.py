@@ -10,7 +10,7 @@ from lexispark.functions import values as V
 from lexispark.operators import browse, generation, pairs, ranking, selection, summary, validation
 from lexispark.operators import sections as D
 from lexispark.plans.generate import RunConfig, TypeConfig, run, type_table
-from lexispark.sources.corpus import documents
+from lexispark.sources.corpus import documents, work_folder
 
 FOLLOW_UP_COLUMNS = ("q1", "a1", "q2", "a2")
 
@@ -19,6 +19,10 @@ def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.corpus_view(documents(spark, sf_dir))
 
 
+def _index(spark: SparkSession, sf_dir: str) -> ranking.SearchIndex:
+    return ranking.stored_index(_sections(spark, sf_dir), work_folder(spark, "index"))
+
+
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections with facts and tags; nouns in the form that every engine reads alike."""
     return D.facts(D.tags(_sections(spark, sf_dir))).withColumn("nouns", X.plain_nouns(F.col("text")))
@@ -47,16 +51,16 @@ def key_nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = ranking.build_index(_sections(spark, sf_dir)).postings.groupBy("term").agg(F.sum("tf").alias("tf"))
+    terms = _index(spark, sf_dir).postings.groupBy("term").agg(F.sum("tf").alias("tf"))
     return terms.orderBy(F.desc("tf"), "term").limit(20)
 
 
 def term_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.build_index(_sections(spark, sf_dir)).terms
+    return _index(spark, sf_dir).terms
 
 
 def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.build_index(_sections(spark, sf_dir)).stats.select("n_docs", F.round("avg_dl", 6).alias("avg_dl"))
+    return _index(spark, sf_dir).stats.select("n_docs", F.round("avg_dl", 6).alias("avg_dl"))
 
 
 def _item_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,18 +69,18 @@ def _item_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ranking.search(ranking.build_index(_sections(spark, sf_dir)), _item_queries(spark, sf_dir), 10)
+    found = ranking.search(_index(spark, sf_dir), _item_queries(spark, sf_dir), 10)
     return found.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
 
 
 def bm25_repeated_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     doubled = _item_queries(spark, sf_dir).select("query_id", F.concat("terms", F.slice("terms", 1, 1)).alias("terms"))
-    found = ranking.search(ranking.build_index(_sections(spark, sf_dir)), doubled, 5)
+    found = ranking.search(_index(spark, sf_dir), doubled, 5)
     return found.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
 
 
 def bm25_source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ranking.search(ranking.build_index(_sections(spark, sf_dir)), _item_queries(spark, sf_dir), None, "src3")
+    found = ranking.search(_index(spark, sf_dir), _item_queries(spark, sf_dir), None, "src3")
     return found.select("query_id", "doc_id", "score")
 
 
@@ -181,7 +185,7 @@ def best_matching_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hallucination_topic_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _sections(spark, sf_dir)
     asked = _benchmark(spark, sf_dir).select(F.col("item_id").alias("query_id"), F.col("text").alias("question"), F.lit("").alias("passage"))
-    return validation.topic_elsewhere(asked, ranking.build_index(rows), rows).withColumnRenamed("query_id", "item_id")
+    return validation.topic_elsewhere(asked, _index(spark, sf_dir), rows).withColumnRenamed("query_id", "item_id")
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +28,8 @@ SAMPLES = (
 def text_files(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
     """(doc_id, doc_ord, filename, raw_text, doc_type, modified, year_in_name) of a folder's text, markdown and JSON files.
 
-    Suffixes count in any case; other files are left out. Bytes that are no UTF-8 are dropped.
+    Suffixes count in any case; other files are left out. Bytes that are no UTF-8 are dropped;
+    a file that is UTF-8 keeps all its characters.
     PDF files need a parser and are read by ``pdf_pages``.
     """
     plain = lambda c: F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))  # noqa: E731  Spark gives file names as parts of URLs
@@ -70,5 +75,19 @@ def test_set(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TEST_SET).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where a small input has fewer parts than there are cores; larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for tables that queries keep: under spark.checkpoint.dir, a temporary one in a single local process only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{shared}/{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"lexispark-{name}-")
