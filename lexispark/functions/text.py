@@ -22,7 +22,7 @@ def holds(text: Column, pattern: str) -> Column:
 
 def found_where(trigger: str, text: Column, pattern: str, group: int = 0) -> Column:
     """found(), where the text holds a trigger that every match has; other texts are spared the pattern."""
-    return F.when(text.rlike(trigger), found(text, pattern, group)).otherwise(F.array().cast("array<string>"))
+    return F.when(holds(text, trigger), found(text, pattern, group)).otherwise(F.array().cast("array<string>"))
 
 
 def once(value: Column, body) -> Column:
@@ -59,7 +59,7 @@ def numbers(text: Column, dates_of: Column) -> Column:
     """Percentages, then numbers that are not one of the dates written without - and /."""
     plain = F.transform(dates_of, lambda d: F.replace(F.replace(d, F.lit("-"), F.lit("")), F.lit("/"), F.lit("")))
     others = once(plain, lambda known: F.filter(found(text, V.NUMBER), lambda n: ~F.array_contains(known, n)))
-    return F.when(text.rlike(V.HAS_DIGIT), F.concat(found(text, V.PERCENTAGE), others)).otherwise(F.array().cast("array<string>"))
+    return F.when(holds(text, V.HAS_DIGIT), F.concat(found(text, V.PERCENTAGE), others)).otherwise(F.array().cast("array<string>"))
 
 
 def emails(text: Column) -> Column:

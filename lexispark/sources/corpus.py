@@ -33,7 +33,10 @@ def text_files(spark: SparkSession, folder: str, recursive: bool = True) -> Data
     PDF files need a parser and are read by ``pdf_pages``.
     """
     plain = lambda c: F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))  # noqa: E731  Spark gives file names as parts of URLs
-    raw = spark.read.text(folder, wholetext=True, recursiveFileLookup=recursive).select(plain("_metadata.file_path").alias("path"), plain("_metadata.file_name").alias("filename"), F.regexp_replace("value", "�", "").alias("raw_text"), F.date_format("_metadata.file_modification_time", "yyyy-MM-dd").alias("modified"))
+    text = F.col("content").cast("string")
+    clean = F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder)
+    raw = read.select(plain("_metadata.file_path").alias("path"), plain("_metadata.file_name").alias("filename"), clean.alias("raw_text"), F.date_format("_metadata.file_modification_time", "yyyy-MM-dd").alias("modified"))
     suffix = F.lower(F.substring_index("filename", ".", -1))
     rows = raw.withColumn("doc_type", suffix).where(suffix.isin(*SUFFIXES[:3]))
     # The rank needs an order over all paths; only paths move, the texts join on them.

@@ -13,13 +13,20 @@ def test_set_name(corpus: str, at: datetime.datetime) -> str:
 
 
 def write_test_set(questions: DataFrame, summary: DataFrame, folder: str, corpus: str, at: datetime.datetime | None = None) -> str:
-    """One JSON object with metadata, summary and questions, written by Spark under {folder}/{corpus}."""
+    """One JSON file with metadata, summary and questions under {folder}/{corpus}: Spark writes its only part, which is then renamed."""
     at = at or datetime.datetime.now()
     path = f"{folder}/{corpus.replace(' ', '_')}/{test_set_name(corpus, at)}"
     listed = questions.agg(F.array_sort(F.collect_list(F.struct(*questions.columns))).alias("questions"))
     meta = F.struct(F.lit(at.timestamp()).alias("created_at"), F.lit(corpus).alias("corpus")).alias("metadata")
     whole = listed.crossJoin(summary.select(F.struct(*summary.columns).alias("summary"))).select(meta, "summary", "questions")  # one row each
-    whole.coalesce(1).write.mode("overwrite").json(path)
+    whole.coalesce(1).write.mode("overwrite").json(f"{path}.parts")
+    hadoop = questions.sparkSession._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    files = target.getFileSystem(questions.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    part = next(f.getPath() for f in files.listStatus(hadoop.Path(f"{path}.parts")) if f.getPath().getName().startswith("part-"))
+    files.delete(target, True)
+    files.rename(part, target)
+    files.delete(hadoop.Path(f"{path}.parts"), True)
     return path
 
 
