@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lexispark.llm.arrowtext import blocks
 
 #: Bytes that are merged directly; tokens beside a seam that the first window holds; entries kept in each dictionary.
-LEAF, SEAM, KEPT = 12, 2, 100_000
+LEAF, SEAM, KEPT = 12, 2, 200_000
 #: Pieces of a text that are handled at a time.
 RUN = 200_000
 
