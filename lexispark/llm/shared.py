@@ -49,17 +49,20 @@ def fold(modulus: int) -> Column:
 
 
 def sum_arrays(parts: DataFrame, length: int, dtype=np.int64, ways: int = 16) -> np.ndarray:
-    """The sum of arrays of whole numbers of fixed length, one row ``part binary`` each; in two levels, so that the driver gets one."""
+    """The sum (of 64 bits) of arrays of whole numbers of fixed length, one row ``part binary`` each; in two levels, so that the driver gets one."""
 
-    def run(batches):
-        total = np.zeros(length, dtype)
-        for batch in batches:
-            for x in batch.column(0):
-                total += np.frombuffer(x.as_py(), dtype)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+    def summing(kind):
+        def run(batches):
+            total = np.zeros(length, np.int64)
+            for batch in batches:
+                for x in batch.column(0):
+                    total += np.frombuffer(x.as_py(), kind)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
-    some = parts.repartition(ways).mapInArrow(run, "part binary")
-    return np.frombuffer(some.repartition(1).mapInArrow(run, "part binary").first()[0], dtype)
+        return run
+
+    some = parts.repartition(ways).mapInArrow(summing(dtype), "part binary")
+    return np.frombuffer(some.repartition(1).mapInArrow(summing(np.int64), "part binary").first()[0], np.int64)
 
 
 def labelled_sample(labelled: DataFrame, size: int, *strata: str) -> DataFrame:
