@@ -62,7 +62,7 @@ post AS (SELECT source, doc_id, term, count(*) AS tf FROM (SELECT source, doc_id
 df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
 st AS (SELECT count(*) AS n_docs, avg(dl) AS avg_dl FROM len)"""
 
-ITEM_TERMS = f"item AS (SELECT item_id AS query_id, list_slice(list_filter(list_distinct_ordered, lambda x: true), 1, 3) AS terms FROM (SELECT item_id, list_reduce(list_concat([[]::VARCHAR[]], list_transform({TOKENS}, lambda x: [x])), lambda acc, x: CASE WHEN list_contains(acc, x[1]) THEN acc ELSE list_concat(acc, x) END) AS list_distinct_ordered FROM (SELECT item_id, coalesce(text, '') AS t FROM benchmark)))"
+ITEM_TERMS = f"item AS (SELECT item_id AS query_id, list_distinct_ordered AS terms FROM (SELECT item_id, list_reduce(list_concat([[]::VARCHAR[]], list_transform({TOKENS}, lambda x: [x])), lambda acc, x: CASE WHEN list_contains(acc, x[1]) THEN acc ELSE list_concat(acc, x) END) AS list_distinct_ordered FROM (SELECT item_id, coalesce(text, '') AS t FROM benchmark)))"
 
 
 def bm25(terms: str, k: int | None, where: str = "") -> str:

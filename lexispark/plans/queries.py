@@ -64,8 +64,8 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _item_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first three distinct search terms of each benchmark item."""
-    return _benchmark(spark, sf_dir).select(F.col("item_id").alias("query_id"), F.slice(F.array_distinct(X.tokens(F.col("text"))), 1, 3).alias("terms"))
+    """The distinct search terms of each whole benchmark item, in their order."""
+    return _benchmark(spark, sf_dir).select(F.col("item_id").alias("query_id"), F.array_distinct(X.tokens(F.coalesce("text", F.lit("")))).alias("terms"))
 
 
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
