@@ -14,6 +14,9 @@ from lexispark.functions import values as V
 
 _n = F.size
 
+#: Rows of one source that are put in order together.
+STRETCH = 100_000
+
 #: Strategy: score, whether only positive scores count, whether boilerplate is left out.
 SCORES: dict[str, tuple] = {
     "direct": (lambda: 2 * _n("numbers") + 3 * _n("money") + 2 * _n("dates") + 2 * _n("emails") + 3 * _n("phones") + F.col("has_list").cast("int"), True, False),
@@ -67,6 +70,25 @@ def top_lists(sections: DataFrame, k: int = 5, used: DataFrame | None = None, fl
     return ranked(first, k, "fill", F.desc("n_words"), "source", "doc_id").withColumn("passage", X.truncated(F.col("text"), V.LIST_PASSAGE))
 
 
+def positions(rows: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """rows (source, doc_id, others) with pos, a row's place in its source by doc_id from 0, and n, the rows of the source.
+
+    doc_id is a whole number. A large source is dealt over many tasks: ids are cut into stretches
+    of equal width, as many as fit ``stretch`` rows each, and a row's place is its place in the
+    stretch and the rows of the stretches before.
+    """
+    bounds = rows.agg(F.min("doc_id").cast("double").alias("__low"), F.max("doc_id").cast("double").alias("__high"), F.count("*").alias("__rows"))
+    width = F.greatest(F.ceil((F.col("__high") - F.col("__low") + 1) / F.ceil(F.col("__rows") / stretch)), F.lit(1))
+    cut = rows.join(F.broadcast(bounds)).withColumn("__cut", F.floor((F.col("doc_id").cast("double") - F.col("__low")) / width)).drop("__low", "__high", "__rows")  # one row of bounds
+    before, whole = Window.partitionBy("source").orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("source")
+    sizes = cut.groupBy("source", "__cut").agg(F.count("*").alias("__n"))
+    starts = sizes.select(F.col("source").alias("__source"), F.col("__cut").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"), F.sum("__n").over(whole).alias("n"))
+    own = Window.partitionBy("source", "__cut").orderBy("doc_id")
+    placed = cut.withColumn("__place", F.row_number().over(own) - 1)
+    known = F.col("source").eqNullSafe(F.col("__source")) & F.col("__cut").eqNullSafe(F.col("__of"))
+    return placed.join(starts, known).withColumn("pos", F.col("__start") + F.col("__place")).drop("__cut", "__place", "__start", "__source", "__of")
+
+
 def long_spans(sections: DataFrame, size: int = V.LONG_CONTEXT, span: int = V.LONG_SPAN) -> DataFrame:
     """Runs of neighbouring sections of one document: (source, start_idx, n_included, total_chars, first_doc_id).
 
@@ -74,15 +96,14 @@ def long_spans(sections: DataFrame, size: int = V.LONG_CONTEXT, span: int = V.LO
     up to ``size`` characters (separators count two) and need two. For each start only the
     first document counts.
     """
-    own = Window.partitionBy("source").orderBy("doc_id")
-    placed = sections.select("source", "doc_id", F.length("text").alias("len"), (F.row_number().over(own) - 1).alias("pos"), F.count("*").over(Window.partitionBy("source")).alias("n"))
+    placed = positions(sections.select("source", "doc_id", F.length("text").alias("len")))
     width = F.least(F.lit(span), F.col("n"))
     runs = placed.where("n >= 3").withColumn("start_idx", (F.floor(F.col("pos") / width) * width).cast("int")).where(F.col("start_idx") < F.col("n") - 2)
     upto = Window.partitionBy("source", "start_idx").orderBy("pos")
     summed = runs.withColumn("total", F.sum(F.col("len") + 2).over(upto) - 2).where((F.col("total") <= size) | (F.col("pos") == F.col("start_idx")))
     made = summed.groupBy("source", "start_idx").agg(F.count("*").alias("n_included"), F.max("total").alias("total_chars"), F.min("doc_id").alias("first_doc_id")).where("n_included >= 2")
-    first = F.row_number().over(Window.partitionBy("start_idx").orderBy("source"))
-    return made.withColumn("r", first).where("r = 1").drop("r")
+    first = made.groupBy("start_idx").agg(F.min(F.struct("source", "n_included", "total_chars", "first_doc_id")).alias("x"))
+    return first.select("x.source", "start_idx", "x.n_included", "x.total_chars", "x.first_doc_id")
 
 
 def hallucination_topics(sections: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:

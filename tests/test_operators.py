@@ -126,6 +126,17 @@ def test_pairs_of_all_sources_meet_the_cap(spark):
         assert len({p["source_a"] for p in want}) == min(count, 5)
 
 
+def test_positions_over_stretches(spark):
+    ids = [(None if i % 7 == 0 else "ab"[i % 3 > 0], i * i * (-1) ** i) for i in range(60)] + [("c", 2**62), ("c", -(2**62))]
+    rows = spark.createDataFrame(ids, "source string, doc_id long")
+    for stretch in (4, 1_000):
+        got = {(r.source, r.doc_id): (r.pos, r.n) for r in selection.positions(rows, stretch).collect()}
+        for source in (None, "a", "b", "c"):
+            own = sorted(d for s, d in ids if s == source)
+            assert [got[source, d] for d in own] == [(i, len(own)) for i in range(len(own))]
+    assert selection.positions(rows.limit(0)).count() == 0
+
+
 def test_long_context_holds_all_sections_of_a_span(spark):
     texts = [" ".join(random.Random(i).choices([f"word{j}" for j in range(90)], k=40 + 150 * (i % 5 == 3))) for i in range(14)]
     docs = spark.createDataFrame([(i, t, "en", "ab"[i > 8], 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
