@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of an Arrow batch that goes to a task's Python; rows of long texts would fill many times as much.
 BATCH_BYTES = 4 << 20
+#: Pieces that summed arrays are cut into.
+SLICES = 256
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -48,21 +50,39 @@ def fold(modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def sum_arrays(parts: DataFrame, length: int, dtype=np.int64, ways: int = 16) -> np.ndarray:
-    """The sum (of 64 bits) of arrays of whole numbers of fixed length, one row ``part binary`` each; in two levels, so that the driver gets one."""
+def sum_arrays(parts: DataFrame, length: int, dtype=np.int64) -> np.ndarray:
+    """The sum (of 64 bits) of arrays of whole numbers of fixed length, one row ``part binary`` each.
 
-    def summing(kind):
-        def run(batches):
-            total = np.zeros(length, np.int64)
-            for batch in batches:
-                for x in batch.column(0):
-                    total += np.frombuffer(x.as_py(), kind)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
-
-        return run
-
-    some = parts.repartition(ways).mapInArrow(summing(dtype), "part binary")
-    return np.frombuffer(some.repartition(1).mapInArrow(summing(np.int64), "part binary").first()[0], np.int64)
+    Arrays are cut into SLICES pieces, each summed on its own: a task reads its pieces only,
+    however many arrays there are, and the driver gets each piece once.
+    """
+    size = -(-length // SLICES)
+
+    def cut(batches):
+        for batch in batches:
+            for x in batch.column(0):
+                whole = np.frombuffer(x.as_py(), dtype)
+                pieces = [whole[i : i + size].tobytes() for i in range(0, length, size)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], ["place", "part"])
+
+    def add(batches):
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for place, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                piece = np.frombuffer(x.as_py(), dtype)
+                if place in totals:
+                    totals[place] += piece
+                else:
+                    totals[place] = piece.astype(np.int64)
+        for place, total in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["place", "part"])
+
+    pieces = parts.mapInArrow(cut, "place int, part binary").repartition("place").mapInArrow(add, "place int, part binary")
+    out = np.zeros(length, np.int64)
+    for row in pieces.collect():
+        total = np.frombuffer(row.part, np.int64)
+        out[row.place * size : row.place * size + len(total)] = total
+    return out
 
 
 def labelled_sample(labelled: DataFrame, size: int, *strata: str) -> DataFrame:
