@@ -34,6 +34,8 @@ from lexispark.llm.shared import labelled_sample, sum_arrays
 DIMS, PER_LANG, CENTROIDS, ROUNDS = 4096, 600, 4, 12
 SPREADS, LEAST_SPREAD, FARTHEST, SHARPNESS = 6.0, 0.03, 0.97, 12.0
 UNKNOWN = "und"
+#: Bytes and rows of text that are counted at a time; each row's counts take 8 * DIMS bytes.
+BLOCK_BYTES, BLOCK_ROWS = 1 << 18, 64
 #: Bins of a distance from 0 to 1 (a cosine of counts is never negative); length classes of texts, powers of two.
 BINS, LENGTHS = 1_000, 15
 
@@ -100,7 +102,7 @@ def learn(training: DataFrame) -> LanguageModel:
 
     def frequencies(batches):
         total, n = np.zeros(DIMS + 1, np.int64), 0
-        for b in blocks(batches, max_rows=256):
+        for b in blocks(batches, BLOCK_BYTES, max_rows=BLOCK_ROWS):
             total[:DIMS] += (counts(b) > 0).sum(axis=0)
             n += len(b)
         total[DIMS] = n
@@ -113,7 +115,7 @@ def learn(training: DataFrame) -> LanguageModel:
     sample = training.join(F.broadcast(ids), "doc_id", "left_semi")
 
     def vectorise(batches):
-        for b in blocks(batches, max_rows=256):
+        for b in blocks(batches, BLOCK_BYTES, max_rows=BLOCK_ROWS):
             rows = [x.tobytes() for x in vectors(b, idf)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("lang"), pa.array(rows, pa.binary())], ["doc_id", "lang", "vector"])
 
@@ -139,7 +141,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def run(batches):
         own = sent.value
         languages = np.array([*own.languages, UNKNOWN], object)
-        for b in blocks(batches, max_rows=256):
+        for b in blocks(batches, BLOCK_BYTES, max_rows=BLOCK_ROWS):
             n = len(b)
             best, share, near = np.full(n, len(languages) - 1), np.zeros(n), np.zeros(n)
             if known:
