@@ -50,6 +50,11 @@ class TreeCodec:
         self.known: dict[str, tuple[str, bytes]] = {}
         self.older: dict[str, tuple[str, bytes]] = {}
 
+    def forget(self) -> None:
+        """Drop what was kept, so that a worker that Spark uses again holds no memory for it."""
+        for kept in (self.small, self.pairs, self.known, self.older):
+            kept.clear()
+
     def merge(self, data: bytes) -> tuple[int, ...]:
         """Merges of lowest rank first, the leftmost of equals; for short windows."""
         if (found := self.small.get(data)) is not None:
@@ -203,6 +208,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for b in blocks(batches):
             ids = [np.array(own.encode(b.raw(i).decode()), np.int32) for i in range(len(b))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "token_ids"])
+        own.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {name}, token_ids array<int>")
 
@@ -236,6 +242,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
                 lists.append(kept)
             columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())]
             yield pa.RecordBatch.from_arrays([*columns, *[pa.array(lists, pa.list_(pa.int32()))] * keep_ids], names)
+        own.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {name}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids)
 
