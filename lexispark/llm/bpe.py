@@ -45,6 +45,7 @@ class TreeCodec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pieces = ranks, regex.compile(pattern)
         self.tokens = {i: t for t, i in ranks.items()}
+        self.none = max(self.tokens, default=0) + 1  # stands for no rank
         self.small: dict[bytes, tuple[int, ...]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[str, bytes]] = {}
@@ -60,15 +61,16 @@ class TreeCodec:
         if (found := self.small.get(data)) is not None:
             return found
         ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
+        none = self.none
+        pairs = [ranks.get(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs and (best := min(pairs)) < none:
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]  # only the pairs beside the merged part change
+            if at < len(pairs):
+                pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
+            if at:
+                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
         found = tuple(ranks[p] for p in parts)
         if len(self.small) >= KEPT:
             self.small.clear()
