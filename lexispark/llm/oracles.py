@@ -63,8 +63,44 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _clusters(rounds: int) -> str:
+    """The rounds one after the other: ``a`` assigns each vector, ``c`` moves the centroids, floors of sums that may be negative."""
+    step = """a{i} AS MATERIALIZED (SELECT row, arg_min(k, (d, k)) AS k, min(d) AS d FROM (SELECT row, c.k, list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - c.v[i]) * (v.v[i] - c.v[i]))) AS d FROM v, c{i} c) GROUP BY row)"""
+    move = """m{i} AS MATERIALIZED (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY p) AS v FROM (SELECT k, p, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (SELECT k, unnest(v) AS x, unnest(range(64)) AS p FROM a{i} JOIN v USING (row)) GROUP BY k, p) GROUP BY k),
+c{j} AS MATERIALIZED (SELECT k, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (k))"""
+    parts = [step.format(i=0)]
+    for i in range(rounds):
+        parts += [move.format(i=i, j=i + 1), step.format(i=i + 1)]
+    return ",\n".join(parts)
+
+
+OP11 = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS k, v FROM v QUALIFY k < 8),
+{_clusters(10)},
+t AS (SELECT k, sum(d) AS cluster_inertia, (SELECT sum(d) FROM a10) AS inertia FROM a10 GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(cluster_inertia AS BIGINT) AS cluster_inertia, CAST(inertia AS BIGINT) AS inertia,
+       sha256(array_to_string(c10.v, ',')) AS centroid_sha256
+FROM a10 JOIN v USING (row) JOIN t USING (k) JOIN c10 USING (k)
+"""
+
+OP12 = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND {_FINITE}),
+s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s) WHERE rank <= 5
+"""
+
 ORACLES = {
     "op1_quality_rules": OP1,
     "op5_decontamination": OP5,
     "op9_line_dedup": OP9,
+    "op11_centroid_clustering": OP11,
+    "op12_topk_search": OP12,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm.bpe import round_trip
+from lexispark.llm.centroid_clustering import ball_kmeans
 from lexispark.llm.decontamination import find_passages
 from lexispark.llm.jaccard_join import join_documents
 from lexispark.llm.language_id import identify
@@ -16,6 +17,7 @@ from lexispark.llm.quality_rules import apply_rules
 from lexispark.llm.shared import fold, table
 from lexispark.llm.substring_dedup import dedup_substrings
 from lexispark.llm.token_counts import count_tokens
+from lexispark.llm.topk_search import build_shards, top_by_product
 from lexispark.llm.toxicity import classify as classify_toxicity
 
 
@@ -76,4 +78,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_bpe, op5_decontamination, op6_jaccard_join, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity)}
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+
+
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ball_kmeans(embeddings(spark, sf_dir), k=8, rounds=10, width=64, scale=1024, salt="3:")
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = embeddings(spark, sf_dir)
+    return top_by_product(build_shards(vectors, 256), vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_bpe, op5_decontamination, op6_jaccard_join, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity, op11_centroid_clustering, op12_topk_search)}
