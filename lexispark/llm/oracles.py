@@ -97,10 +97,28 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS
 FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s) WHERE rank <= 5
 """
 
+OP13 = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, range(1, 4) r(size))),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+k AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+s AS (SELECT k.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score FROM k
+  JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(w[1:k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE size = 3) GROUP BY ALL),
+d AS (SELECT m.* FROM m LEFT JOIN i USING (lang, phrase) WHERE coalesce(100 * i.a < 50 * m.a, true)),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM o JOIN t USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_quality_rules": OP1,
     "op5_decontamination": OP5,
     "op9_line_dedup": OP9,
     "op11_centroid_clustering": OP11,
     "op12_topk_search": OP12,
+    "op13_collocations": OP13,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lexispark.llm.bpe import round_trip
 from lexispark.llm.centroid_clustering import ball_kmeans
+from lexispark.llm.collocations import collocations
 from lexispark.llm.decontamination import find_passages
 from lexispark.llm.jaccard_join import join_documents
 from lexispark.llm.language_id import identify
@@ -93,4 +94,8 @@ def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_by_product(build_shards(vectors, 256), vectors.where("vec_id % 50 = 0"), k=5, scale=256)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_bpe, op5_decontamination, op6_jaccard_join, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity, op11_centroid_clustering, op12_topk_search)}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"), longest=3, least=10, top=2000, percent=50)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_bpe, op5_decontamination, op6_jaccard_join, op7_quality_classifier, op8_token_counts, op9_line_dedup, op10_toxicity, op11_centroid_clustering, op12_topk_search, op13_collocations)}
