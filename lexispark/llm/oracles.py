@@ -99,14 +99,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id
 
 OP13 = rf"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
-g AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, range(1, 4) r(size))),
+w AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+u AS (SELECT lang, id, unnest(w) AS x, unnest(range(len(w))) AS i FROM w),
+n AS (SELECT lang, x, lead(x) OVER p AS y, lead(x, 2) OVER p AS z FROM u WINDOW p AS (PARTITION BY id ORDER BY i)),
+g AS (SELECT lang, 1 AS size, x AS phrase FROM n UNION ALL SELECT lang, 2, x || ' ' || y FROM n WHERE y IS NOT NULL UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM n WHERE z IS NOT NULL),
 f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
 t AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
 c AS MATERIALIZED (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
 k AS (SELECT *, unnest(range(1, size)) AS k FROM c),
-s AS (SELECT k.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score FROM k
-  JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(w[1:k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+h AS MATERIALIZED (SELECT k.*, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:size], ' ') AS tail FROM k),
+hl AS MATERIALIZED (SELECT h.*, f.f AS l FROM h JOIN f ON f.lang = h.lang AND f.phrase = h.head),
+s AS (SELECT hl.*, f.f AS r, (1000000::HUGEINT * a * a) // (l::HUGEINT * f.f) AS score FROM hl JOIN f ON f.lang = hl.lang AND f.phrase = hl.tail),
 m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 i AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE size = 3) GROUP BY ALL),
 d AS (SELECT m.* FROM m LEFT JOIN i USING (lang, phrase) WHERE coalesce(100 * i.a < 50 * m.a, true)),
