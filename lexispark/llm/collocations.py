@@ -33,7 +33,7 @@ from lexispark.llm.arrowtext import LOWER, blocks, buffers, mix, prefix_sums, sp
 from lexispark.llm.shared import ready, stored
 
 #: Bytes of a shard; bitmap bytes that are extended at once; rows of a batch that goes out.
-SHARD, GROUP, ROWS = 4 << 20, 1 << 16, 1 << 15
+SHARD, GROUP, ROWS = 1 << 20, 1 << 14, 1 << 14
 #: Bits of the table of frequent phrases, as a power of two: 16 MB.
 TABLE = 27
 #: What a byte is: of a word, between words (space, tab), between pieces.
