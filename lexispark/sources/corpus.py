@@ -94,3 +94,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{shared}/{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"lexispark-{name}-")
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in a new work folder: computed once, and read again if a task is lost."""
+    path = f"{work_folder(df.sparkSession, name)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

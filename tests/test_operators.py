@@ -176,3 +176,44 @@ def test_source_ratios_read_sources_as_one_text(spark):
         want[i] = round(sum(any(p in whole.get(s, "") for s in sources) for p in parts) / max(len(parts), 1), 6)
     got = validation.source_ratios(spark.createDataFrame(asked, "context_id int, context string, sources array<string>"), spark.createDataFrame(rows, "source string, doc_id long, text string")).collect()
     assert {r.context_id: r.ratio for r in got} == want and want[1] == want[7] == 1.0 and want[3] == 0.0
+
+
+def all_pairs(rows, within, k):
+    """rows: (source, doc_id, heading, names)."""
+    want = []
+    for a, b in itertools.permutations(rows, 2):
+        fits = a[0] == b[0] and a[1] < b[1] and a[2] != b[2] if within else a[0] < b[0]
+        if fits and (n := len(set(a[3]) & set(b[3]))):
+            want.append((-n, a[0], a[1], b[0], b[1]))
+    return [(s, a, t, b, -n) for n, s, a, t, b in sorted(want)[:k]]
+
+
+def test_pairs_with_names_in_every_section(spark, monkeypatch):
+    """Lists of frequent names meet block by block, in rounds until no block can beat the k-th pair."""
+    monkeypatch.setattr(pairs, "BLOCK", 16), monkeypatch.setattr(pairs, "FIRST", 2)
+    expanded = []
+    monkeypatch.setattr(pairs, "_expanded", lambda chosen, *rest, f=pairs._expanded: expanded.append(chosen.count()) or f(chosen, *rest))
+    rng = random.Random(8)
+    one = [(f"s{i % 3}", i, f"h{i % 4}", ["Common"]) for i in range(400)]
+    some = [(f"s{i % 3}", i, f"h{i % 4}", ["Common", "Often"][: 1 + (i % 5 == 0)] + rng.sample([f"Wide{j}" for j in range(6)], 3) + [f"Rare{i // 2}"] * (i > 390)) for i in range(400)]
+    hot = [("hot" if i % 3 else f"s{i}", i, f"h{i % 2}", [f"Name{j}" for j in range(5) if (i >> j) & 1]) for i in range(1, 300)]
+    for rows in (one, some, hot):
+        frame = sections(spark, [(s, i, h, "t", 20, names, []) for s, i, h, names in rows])
+        for within in (True, False):
+            expanded.clear()
+            got = pairs.top_pairs(frame, 7, within).orderBy("rank").collect()
+            assert [(r.source_a, r.doc_a, r.source_b, r.doc_b, r.n_shared) for r in got] == all_pairs(rows, within, 7)
+            assert rows is not one or sum(expanded) < 40  # of some hundreds
+    assert pairs.top_pairs(sections(spark, [("a", 1, "h", "t", 20, ["Name"], [])]), 3).collect() == []
+
+
+def test_numbering(spark):
+    from lexispark.operators.numbering import numbered, numbered_within
+
+    rows = spark.createDataFrame([(f"p{(i * 37) % 101:03d}", "ab"[i % 7 > 0]) for i in range(101)], "path string, g string").repartition(5)
+    assert [r.path for r in numbered(rows, "path").orderBy("ord").collect()] == [f"p{i:03d}" for i in range(101)]
+    got = numbered_within(rows, ["g"], F.desc("path"), name="at").collect()
+    for g in "ab":
+        own = sorted((r for r in got if r.g == g), key=lambda r: r.path, reverse=True)
+        assert [r["at"] for r in own] == list(range(len(own))) and {r.n for r in own} == {len(own)}
+    assert numbered(rows.limit(0), "path").count() == 0
