@@ -7,73 +7,112 @@ from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
 from lexispark.functions import values as V
+from lexispark.operators.numbering import numbered_within
 from lexispark.operators.ranking import SearchIndex, search
+from lexispark.sources.corpus import kept
 
 
-def context_matches(contexts: DataFrame, documents: DataFrame, least: float = V.MIN_MATCH) -> DataFrame:
-    """(context_id, doc_id, ratio) of contexts (context_id, context) that documents (doc_id, text) hold to ``least`` or more.
+def held_parts(words: DataFrame, parts: DataFrame, by: list[str], match: list[str]) -> DataFrame:
+    """Distinct (by, context_id, pos) of the parts of one to four words that texts hold as substrings.
 
-    The two middle words of a four-word chunk stand whole in a document that has the chunk, so
-    candidates come from an equi-join on word pairs, each pair once a document; the ratio itself
-    is taken on the whole texts. Contexts under four words are compared by containment alone.
+    words has the columns ``by`` and w, the words of a normalised text; parts, a stored table, has
+    context_id, pos, p (words) and those columns ``match`` of ``by`` that must agree. A part may begin and
+    end inside a word, but its inner words stand whole, so it is looked up by these in
+    the words' places, and the words before and after decide: no text moves. Parts of one or two
+    words have no inner word and are looked up by up to three letters. Spark broadcasts the parts
+    where their table is small enough.
     """
-    asked = contexts.select("context_id", X.normalised(F.col("context")).alias("c")).withColumn("chunks", X.chunks(F.col("c")))
-    texts = documents.select("doc_id", X.normalised(F.col("text")).alias("d"))
-    inner = asked.select("context_id", F.explode("chunks").alias("chunk")).select("context_id", F.expr("array_join(slice(split(chunk, ' '), 2, 2), ' ')").alias("pair")).distinct()
-    wanted = inner.select("pair").distinct()
-    met = texts.select("doc_id", F.explode(X.word_pairs(F.col("d"))).alias("pair")).join(wanted, "pair", "left_semi").join(inner, "pair")
-    short = asked.where(F.size("chunks") == 0).where("c <> ''").select("context_id", F.col("c").alias("w"))
-    whole = texts.join(F.broadcast(short), F.contains(F.col("d"), F.col("w"))).select("doc_id", "context_id")
-    near = met.select("doc_id", "context_id").unionByName(whole).distinct()
-    rows = near.join(asked, "context_id").join(texts, "doc_id")
-    ratio = F.round(X.match_ratio(F.col("chunks"), F.col("c"), F.col("d")), 6)
-    return rows.select("context_id", "doc_id", ratio.alias("ratio")).where(F.col("ratio") >= least)
+    near = lambda w: F.transform(w, lambda x, i: F.struct(F.get(w, i - 1).alias("before"), x.alias("word"), F.get(w, i + 1).alias("after"), F.get(w, i + 2).alias("end")))
+    spots = words.select(*by, F.explode(X.once(F.col("w"), near)).alias("s")).select(*by, "s.*")
+    letters = lambda x: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1))), lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.substring(x, i, n)))))
+    starts = lambda x: F.array_distinct(F.array(*(F.left(x, F.lit(n)) for n in (1, 2, 3))))
+    first, second, last = F.get("p", F.lit(0)), F.get("p", F.lit(1)), F.element_at("p", -1)
+    # Words of a part: how its key is made, the keys of a place, and what else must hold.
+    kinds = {
+        4: (F.concat_ws(" ", second, F.get("p", F.lit(2))), spots.withColumn("key", F.concat_ws(" ", "word", "after")), F.endswith("before", first) & F.startswith("end", last)),
+        3: (second, spots.withColumn("key", F.col("word")), F.endswith("before", first) & F.startswith("after", last)),
+        2: (F.left(last, F.lit(3)), spots.withColumn("key", F.explode(starts(F.col("after")))), F.endswith("word", first) & F.startswith("after", last)),
+        1: (F.left(first, F.lit(3)), spots.select(*by, "word").distinct().withColumn("key", F.explode(letters(F.col("word")))), F.contains("word", first)),
+    }
+    sizes = {r.n for r in parts.select(F.size("p").alias("n")).distinct().collect()}  # at most four
+    found = None
+    for n, (key, places, good) in kinds.items():
+        if n in sizes or (found is None and n == 1):
+            met = places.join(parts.where(F.size("p") == n).select("context_id", "pos", "p", *match, key.alias("key")), [*match, "key"]).where(good)
+            one = met.select(*by, "context_id", "pos").distinct()
+            found = one if found is None else found.unionByName(one)
+    return found
+
+
+def words_of(text: Column) -> Column:
+    """The words of a text's normal form."""
+    return F.array_remove(F.split(X.normalised(text), " "), "")
+
+
+def parts_of(contexts: DataFrame, *carried: str) -> tuple[DataFrame, DataFrame]:
+    """(context_id, n, carried) and a stored table (context_id, pos, p, carried) of the chunks of contexts, or of the whole of those under four words."""
+    w = contexts.select("context_id", *carried, X.normalised(F.col("context")).alias("c")).withColumn("chunks", X.chunks(F.col("c")))
+    texts = F.when(F.size("chunks") > 0, F.col("chunks")).when(F.col("c") != "", F.array("c")).otherwise(F.array().cast("array<string>"))
+    cut = kept(w.select("context_id", *carried, texts.alias("parts")), "contexts")
+    listed = cut.select("context_id", *carried, F.posexplode("parts").alias("pos", "part")).withColumn("p", F.split("part", " ")).drop("part")
+    return cut.select("context_id", F.size("parts").alias("n"), *carried), listed
+
+
+def context_matches(contexts: DataFrame, documents: DataFrame, least: float = V.MIN_MATCH) -> DataFrame:
+    """(context_id, doc_id, ratio) of contexts (context_id, context) that documents (doc_id, text) hold to ``least`` or more."""
+    sizes, listed = parts_of(contexts)
+    found = held_parts(documents.select("doc_id", words_of(F.col("text")).alias("w")), kept(listed, "parts"), ["doc_id"], [])
+    counted = found.groupBy("doc_id", "context_id").agg(F.count("*").alias("held")).join(sizes, "context_id")
+    return counted.select("context_id", "doc_id", F.round(F.col("held") / F.col("n"), 6).alias("ratio")).where(F.col("ratio") >= least)
+
+
+def borders(words: DataFrame) -> DataFrame:
+    """(source, w): the last three words before and the first three from each section of a source on; words has source, doc_id and w, not empty."""
+    ends = words.select("source", "doc_id", F.slice("w", F.lit(1), F.lit(3)).alias("head"), F.expr("slice(w, -least(3, size(w)), 3)").alias("tail"))
+    placed = numbered_within(ends.where("source is not null"), ["source"], "doc_id")
+    # A section has a word at least, so three of them reach across a border.
+    tails = placed.select("source", F.explode(F.array(*(F.col("ord") + i for i in (1, 2, 3)))).alias("border"), "ord", F.col("tail").alias("w"))
+    heads = placed.select("source", F.explode(F.array(*(F.col("ord") - i for i in (0, 1, 2)))).alias("border"), "ord", F.col("head").alias("w"))
+    around = tails.unionByName(heads).groupBy("source", "border").agg(F.array_sort(F.collect_list(F.struct("ord", "w"))).alias("x"))
+    side = lambda before: F.flatten(F.transform(F.filter("x", lambda x: (x["ord"] < F.col("border")) == F.lit(before)), lambda x: x["w"]))
+    both = around.select("source", side(True).alias("t"), side(False).alias("h")).where("size(t) > 0 and size(h) > 0")
+    return both.select("source", F.concat(F.expr("slice(t, -least(3, size(t)), 3)"), F.slice("h", F.lit(1), F.lit(3))).alias("w"))
 
 
 def source_ratios(contexts: DataFrame, sections: DataFrame) -> DataFrame:
     """(context_id, ratio): the share of a context's chunks that the texts of its sources hold, 0 if none.
 
-    contexts, a bounded table, has context_id, context and sources; sections has source, doc_id and
-    text. The texts of a source count as one, in the order of doc_id: each is read with the three
-    words before it. Chunks meet texts by their two middle words, as in ``context_matches``;
-    contexts under four words are compared as they are.
+    contexts has context_id, context and sources; sections has source, doc_id and text. The texts
+    of a source count as one, in the order of doc_id: chunks that cross from one section to the next
+    are found in the words around each border.
     """
-    asked = contexts.select("context_id", "sources", X.normalised(F.col("context")).alias("c")).withColumn("chunks", X.chunks(F.col("c")))
-    parts = asked.withColumn("parts", F.when(F.size("chunks") > 0, F.col("chunks")).when(F.col("c") != "", F.array("c")).otherwise(F.array().cast("array<string>")))
-    listed = parts.select("context_id", "sources", F.size("parts").alias("n"), F.posexplode("parts").alias("pos", "chunk"))
-    wanted = listed.select("context_id", "pos", "chunk", F.explode(F.array_distinct("sources")).alias("source"), F.expr("if(size(split(chunk, ' ')) < 4, '', array_join(slice(split(chunk, ' '), 2, 2), ' '))").alias("pair"))
+    sizes, listed = parts_of(contexts, "sources")
+    wanted = kept(listed.withColumn("source", F.explode(F.array_distinct("sources"))).drop("sources"), "parts")
     named = wanted.select("source").distinct()
-    own = sections.join(F.broadcast(named), "source", "left_semi").select("source", "doc_id", X.normalised(F.col("text")).alias("d")).where("d <> ''")
-    last = own.select("source", "doc_id", F.expr("slice(split(d, ' '), -least(3, size(split(d, ' '))), 3)").alias("w"))
-    before = F.flatten(F.collect_list("w").over(Window.partitionBy("source").orderBy("doc_id").rowsBetween(-3, -1)))
-    led = last.select("source", "doc_id", before.alias("w")).withColumn("led", F.array_join(F.expr("slice(w, -least(3, greatest(size(w), 1)), 3)"), " ")).drop("w")
-    texts = own.join(led, ["source", "doc_id"]).select("source", "doc_id", X.strip(F.concat_ws(" ", "led", "d")).alias("d"))
-    # A bounded number of contexts has a bounded number of chunks.
-    met = texts.select("source", "doc_id", F.explode(F.concat(X.word_pairs(F.col("d")), F.array(F.lit("")))).alias("pair")).join(F.broadcast(wanted), ["source", "pair"])
-    near = met.groupBy("source", "doc_id").agg(F.collect_set(F.struct("context_id", "pos", "chunk")).alias("near"))
-    held = near.join(texts, ["source", "doc_id"]).select(F.explode(F.filter("near", lambda x: F.contains("d", x["chunk"]))).alias("x")).select("x.context_id", "x.pos").distinct()
-    counted = held.groupBy("context_id").agg(F.count("*").alias("held"))
-    size = listed.select("context_id", "n").distinct()
+    words = sections.join(named, "source", "left_semi").select("source", "doc_id", words_of(F.col("text")).alias("w")).where("size(w) > 0")
+    found = held_parts(words.select("source", "w").unionByName(borders(words)), wanted, ["source"], ["source"])
+    counted = found.select("context_id", "pos").distinct().groupBy("context_id").agg(F.count("*").alias("held"))
     ratio = F.round(F.coalesce(F.col("held") / F.col("n"), F.lit(0.0)), 6)
-    return asked.select("context_id").join(size, "context_id", "left").join(counted, "context_id", "left").select("context_id", ratio.alias("ratio"))
+    return sizes.join(counted, "context_id", "left").select("context_id", ratio.alias("ratio"))
 
 
 def best_matching(excerpts: DataFrame, documents: DataFrame) -> DataFrame:
     """(item_id, source, score): for each excerpt (item_id, text, sources) the source whose text has most of its long words.
 
-    documents has source and texts of its sections; ties go to the first source named.
+    documents has source and texts of its sections; ties go to the first source named. Work
+    starts from sources with a hit, however many an excerpt names.
     """
     words = F.array_distinct(F.filter(F.split(X.normalised(F.col("text")), " "), lambda w: F.length(w) >= 4))
-    asked = excerpts.select("item_id", words.alias("words"), F.posexplode("sources").alias("pos", "source"))
-    long = asked.select("item_id", "pos", "source", F.size("words").alias("n"), F.explode("words").alias("word"))
+    asked = excerpts.select("item_id", "sources", words.alias("words"))
+    long = asked.select("item_id", F.explode("words").alias("word"))
     # A word has no spaces, so a text holds it where one of its own words does; four letters of it find those words.
-    wanted = long.select("word").distinct().withColumn("start", F.left("word", F.lit(4)))
-    own = F.array_distinct(F.filter(F.split(X.normalised(F.col("text")), " "), lambda w: F.length(w) >= 4))
-    terms = documents.select("source", F.explode(own).alias("term")).distinct()
+    wanted = kept(long.select("word").distinct().withColumn("start", F.left("word", F.lit(4))), "words")
+    terms = documents.select("source", F.explode(words).alias("term")).distinct()
     starts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("term") - 3), lambda i: F.substring(F.col("term"), i, F.lit(4))))
     found = terms.withColumn("start", F.explode(starts)).join(wanted, "start").where(F.contains("term", F.col("word"))).select("source", "word").distinct()
-    hits = long.join(found, ["source", "word"]).groupBy("item_id", "pos", "source", "n").agg(F.count("*").alias("hits"))
-    best = hits.withColumn("score", F.round(F.col("hits") / F.col("n"), 6)).withColumn("r", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "pos")))
+    hits = long.join(found, "word").groupBy("item_id", "source").agg(F.count("*").alias("hits"))
+    rated = hits.join(asked, "item_id").withColumn("pos", F.array_position("sources", F.col("source"))).where("pos > 0")
+    best = rated.withColumn("score", F.round(F.col("hits") / F.size("words"), 6)).withColumn("r", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "pos")))
     return best.where("r = 1").select("item_id", "source", "score")
 
 

@@ -217,3 +217,42 @@ def test_numbering(spark):
         own = sorted((r for r in got if r.g == g), key=lambda r: r.path, reverse=True)
         assert [r["at"] for r in own] == list(range(len(own))) and {r.n for r in own} == {len(own)}
     assert numbered(rows.limit(0), "path").count() == 0
+
+
+def test_parts_inside_words(spark):
+    """Parts of one to four words are found wherever the plain text contains them, over borders of sections too."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abé", k=rng.randint(1, 5)))
+    texts = [(i, " ".join(word() for _ in range(rng.choice([0, 1, 2, 3, 25])))) for i in range(40)]
+    asked = []
+    for i in range(80):
+        t = " ".join(x for _, x in texts if x)
+        start, n = rng.randrange(len(t) - 40), rng.randint(1, 30)
+        asked.append((i, t[start : start + n].strip() if i % 3 else " ".join(word() for _ in range(rng.randint(1, 4)))))
+    asked += [(90, ""), (91, "a"), (92, None), (93, "é a")]
+
+    def ratio(c, d):
+        w = c.split()
+        parts = [" ".join(w[k : k + 4]) for k in range(0, len(w) - 3, 2)] or [" ".join(w)] * bool(w)
+        return round(sum(p in d for p in parts) / max(len(parts), 1), 6)
+
+    contexts = spark.createDataFrame(asked, "context_id long, context string")
+    got = {(r.context_id, r.doc_id): r.ratio for r in validation.context_matches(contexts, spark.createDataFrame(texts, "doc_id long, text string"), 0.3).collect()}
+    assert got == {(i, d): r for i, c in asked for d, t in texts if (r := ratio(c or "", t)) >= 0.3} and len(got) > 100
+    rows = spark.createDataFrame([("xy"[d % 3 == 0], d, t) for d, t in texts], "source string, doc_id long, text string")
+    whole = {s: " ".join(t for d, t in texts if t and "xy"[d % 3 == 0] == s) for s in "xy"}
+    named = contexts.withColumn("sources", F.array(F.lit("x"), F.lit("none")))
+    got = {r.context_id: r.ratio for r in validation.source_ratios(named, rows).collect()}
+    assert got == {i: ratio(c or "", whole["x"]) for i, c in asked}
+
+
+def test_no_text_moves_for_context_matches(spark):
+    docs = spark.createDataFrame([(1, "one two three four five")], "doc_id long, text string")
+    plan = validation.context_matches(spark.createDataFrame([(1, "one two three four")], "context_id long, context string"), docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2  # the texts are read once and joined with nothing but parts
+
+
+def test_best_source_of_excerpts(spark):
+    docs = spark.createDataFrame([("a", "wooden bridges over rivers"), ("b", "iron bridges"), ("c", None)], "source string, text string")
+    asked = spark.createDataFrame([(1, "Bridge of iron", ["a", "b"]), (2, "rivers, bridges", ["b", "a"]), (3, "bridges", ["b", "a"]), (4, "nothing here at all", ["a"]), (5, "iron", ["a"]), (6, "ab", ["a", "b"])], "item_id long, text string, sources array<string>")
+    assert sorted(map(tuple, validation.best_matching(asked, docs).collect())) == [(1, "b", 1.0), (2, "a", 1.0), (3, "b", 1.0)]
