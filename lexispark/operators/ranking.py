@@ -1,14 +1,28 @@
-"""An inverted index as tables, and BM25 search over it for many queries at once."""
+"""An inverted index as tables, and BM25 search over it for many queries at once.
+
+A stored index also keeps its postings in blocks: sections are numbered by (source, doc_id), and
+the postings of a term in SPAN neighbouring sections are one row with the largest part that
+the term can add to a score there. For a query these bounds are summed up for each run of sections; the best
+runs are scored first, and then only those whose bound reaches the k-th best score. Nothing that
+can be among the k best is left, so the result equals that of all postings.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
 from lexispark.functions import values as V
+from lexispark.operators.numbering import numbered
+from lexispark.sources.corpus import corpus_key, kept, work_folder
+
+#: Sections of a run; runs that are scored to get a first k-th best.
+SPAN, FIRST = 64, 8
 
 
 @dataclass
@@ -18,6 +32,12 @@ class SearchIndex:
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
+    make_blocks: Callable[[], DataFrame] | None = None
+
+    @cached_property
+    def blocks(self) -> DataFrame | None:
+        """(term, run, most, sources, held) of a stored index, made and stored for the first search."""
+        return self.make_blocks and self.make_blocks()
 
 
 def build_index(sections: DataFrame) -> SearchIndex:
@@ -29,13 +49,46 @@ def build_index(sections: DataFrame) -> SearchIndex:
     return SearchIndex(terms, terms.groupBy("term").agg(F.count("*").alias("df")), stats)
 
 
+def gain(tf: Column, dl: Column) -> Column:
+    """What a term adds to a score, without its weight."""
+    return tf * (V.K1 + 1) / (tf + V.K1 * (1 - V.B + V.B * dl / F.col("avg_dl")))
+
+
 def stored_index(sections: DataFrame, folder: str) -> SearchIndex:
     """The index written once as tables under a folder and read again, for many searches."""
     made, spark = build_index(sections), sections.sparkSession
-    made.postings.write.mode("overwrite").parquet(f"{folder}/postings")
-    made.stats.write.mode("overwrite").parquet(f"{folder}/stats")
-    postings, stats = (spark.read.parquet(f"{folder}/{name}") for name in ("postings", "stats"))
-    return SearchIndex(postings, postings.groupBy("term").agg(F.count("*").alias("df")), stats)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    postings, stats = written(made.postings, "postings"), written(made.stats, "stats")
+    terms = written(postings.groupBy("term").agg(F.count("*").alias("df")), "terms")
+    return SearchIndex(postings, terms, stats, lambda: written(_blocks(postings, stats), "blocks"))
+
+
+def _blocks(postings: DataFrame, stats: DataFrame) -> DataFrame:
+    places = numbered(postings.select("source", "doc_id").distinct(), "source", "doc_id", name="place")
+    known = postings["source"].eqNullSafe(F.col("of")) & postings["doc_id"].eqNullSafe(F.col("id"))
+    placed = postings.join(places.select(F.col("source").alias("of"), F.col("doc_id").alias("id"), F.floor(F.col("place") / SPAN).alias("run")), known)
+    rated = placed.join(F.broadcast(stats))  # one row of statistics
+    # A run has at most SPAN sections, so a block is small.
+    held = F.collect_list(F.struct("source", "doc_id", "tf", "dl"))
+    blocks = rated.groupBy("term", "run").agg(F.max(gain(F.col("tf"), F.col("dl"))).alias("most"), F.collect_set("source").alias("sources"), held.alias("held"))
+    return blocks.sortWithinPartitions("term", "run")
+
+
+_indexes: dict[tuple, SearchIndex] = {}
+
+
+def corpus_index(spark: SparkSession, path: str, sections) -> SearchIndex:
+    """The stored index of the corpus in the files of ``path``: built from ``sections()`` at first, and again when the files have changed."""
+    key = (spark.sparkContext.applicationId, *corpus_key(spark, path))
+    if key not in _indexes:
+        for old in [k for k in _indexes if k[:2] == key[:2]]:
+            del _indexes[old]
+        _indexes[key] = stored_index(sections(), work_folder(spark, "index"))
+    return _indexes[key]
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -43,16 +96,50 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", F.explode("terms").alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("weight"))
 
 
+def _asked(index: SearchIndex, queries: DataFrame) -> DataFrame:
+    """(query_id, term, avg_dl, w): the terms that the index has, with their weight in scores."""
+    rows = query_terms(queries).join(index.terms, "term").join(F.broadcast(index.stats))  # one row of statistics
+    idf = F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
+    return rows.select("query_id", "term", "avg_dl", (F.col("weight") * idf).alias("w"))
+
+
+def _scored(posted: DataFrame) -> DataFrame:
+    part = F.col("w") * gain(F.col("tf"), F.col("dl"))
+    return posted.groupBy("query_id", "source", "doc_id").agg(F.round(F.sum(part), 6).alias("score")).where("score > 0")
+
+
+def _ranked(scored: DataFrame, k: int | None) -> DataFrame:
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "source", "doc_id")))
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
+
+
 def search(index: SearchIndex, queries: DataFrame, k: int | None = 10, source: str | None = None) -> DataFrame:
     """(query_id, rank, source, doc_id, score) of the k best sections of each query; all with k None.
 
     A source filter narrows the sections, not the statistics, as document frequencies are the corpus's.
     """
-    asked = query_terms(queries).join(index.terms, "term")
+    if k is not None and index.blocks is not None:
+        return search_blocks(index, queries, k, source)
     posted = index.postings if source is None else index.postings.where(F.col("source") == source)
-    rows = posted.join(asked, "term").join(F.broadcast(index.stats))  # one row of statistics
-    idf = F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    part = F.col("weight") * idf * F.col("tf") * (V.K1 + 1) / (F.col("tf") + V.K1 * (1 - V.B + V.B * F.col("dl") / F.col("avg_dl")))
-    scored = rows.groupBy("query_id", "source", "doc_id").agg(F.round(F.sum(part), 6).alias("score")).where("score > 0")
-    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "source", "doc_id")))
-    return ranked if k is None else ranked.where(F.col("rank") <= k)
+    return _ranked(_scored(posted.join(_asked(index, queries), "term")), k)
+
+
+def search_blocks(index: SearchIndex, queries: DataFrame, k: int, source: str | None = None) -> DataFrame:
+    """As ``search``, from the runs of sections that can hold one of the k best; runs are read by term and number."""
+    asked = kept(_asked(index, queries), "asked")
+    blocks = index.blocks if source is None else index.blocks.where(F.array_contains("sources", source))
+    bounds = kept(blocks.select("term", "run", "most").join(asked, "term").groupBy("query_id", "run").agg(F.sum(F.col("w") * F.col("most")).alias("bound")), "bounds")
+    first = bounds.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("bound"), "run"))).where(F.col("n") <= FIRST)
+
+    def scores(runs: DataFrame) -> DataFrame:
+        # The terms of chosen runs are few; where their table is small, Spark broadcasts it to the blocks.
+        wanted = kept(asked.join(runs.select("query_id", "run"), "query_id"), "wanted")
+        rows = blocks.select("term", "run", "held").join(wanted, ["term", "run"]).select("query_id", "avg_dl", "w", F.explode("held").alias("x")).select("query_id", "avg_dl", "w", "x.*")
+        return _scored(rows if source is None else rows.where(F.col("source") == source))
+
+    best = kept(_ranked(scores(first), k).drop("rank"), "best")
+    ranked = _ranked(best, k)
+    # Scores are rounded to 6 digits; a bound that is as near as that still counts.
+    least = ranked.where(F.col("rank") == k).select("query_id", (F.col("score") - 2e-6).alias("least"))
+    rest = bounds.join(first.select("query_id", "run"), ["query_id", "run"], "left_anti").join(least, "query_id", "left").where("least is null or bound >= least")
+    return _ranked(best.unionByName(scores(rest)), k)

@@ -10,7 +10,7 @@ from lexispark.functions import values as V
 from lexispark.operators import browse, generation, pairs, ranking, selection, summary, validation
 from lexispark.operators import sections as D
 from lexispark.plans.generate import RunConfig, TypeConfig, run, type_table
-from lexispark.sources.corpus import documents, work_folder
+from lexispark.sources.corpus import documents
 
 FOLLOW_UP_COLUMNS = ("q1", "a1", "q2", "a2")
 
@@ -20,7 +20,8 @@ def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, sf_dir: str) -> ranking.SearchIndex:
-    return ranking.stored_index(_sections(spark, sf_dir), work_folder(spark, "index"))
+    """Stored once a session for all searches of a corpus."""
+    return ranking.corpus_index(spark, f"{sf_dir}/documents.parquet", lambda: _sections(spark, sf_dir))
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,10 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_folder(df.sparkSession, name)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def corpus_key(spark: SparkSession, path: str) -> tuple:
+    """What tells a stored corpus from another or a later one: its path, and the number and latest change of its files."""
+    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("at"))
+    row = files.agg(F.count_distinct("path").alias("n"), F.max("at").alias("at"), F.count("*").alias("rows")).first()
+    return path, row.n, row["at"], row.rows

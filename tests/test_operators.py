@@ -256,3 +256,35 @@ def test_best_source_of_excerpts(spark):
     docs = spark.createDataFrame([("a", "wooden bridges over rivers"), ("b", "iron bridges"), ("c", None)], "source string, text string")
     asked = spark.createDataFrame([(1, "Bridge of iron", ["a", "b"]), (2, "rivers, bridges", ["b", "a"]), (3, "bridges", ["b", "a"]), (4, "nothing here at all", ["a"]), (5, "iron", ["a"]), (6, "ab", ["a", "b"])], "item_id long, text string, sources array<string>")
     assert sorted(map(tuple, validation.best_matching(asked, docs).collect())) == [(1, "b", 1.0), (2, "a", 1.0), (3, "b", 1.0)]
+
+
+def test_search_skips_runs_of_sections(spark, monkeypatch, tmp_path):
+    """The same rows as from all postings, from a part of the blocks."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices([f"word{j}" for j in range(30)], k=20) + rng.choices([f"rare{j}" for j in range(60)], k=rng.choice([0, 0, 0, 1, 6]))) for _ in range(600)]
+    rows = [(f"s{i % 3}" if i % 50 else None, i if i % 31 else -i, "", t, len(t.split()), [], []) for i, t in enumerate(texts)] + [("s1", 1000, "", "the and or to for on with at by from", 10, [], [])]
+    asked = [(q, rng.sample([f"word{j}" for j in range(30)], 1) + rng.sample([f"rare{j}" for j in range(60)], 2)) for q in range(6)] + [(6, ["none"]), (7, ["rare1", "rare1"]), (8, [])]
+    queries = spark.createDataFrame(asked, "query_id long, terms array<string>")
+    index = ranking.stored_index(sections(spark, rows), str(tmp_path))
+    plain = ranking.SearchIndex(index.postings, index.terms, index.stats)
+    read = []
+    monkeypatch.setattr(ranking, "SPAN", 8), monkeypatch.setattr(ranking, "FIRST", 2)
+    monkeypatch.setattr(ranking, "kept", lambda df, name, f=ranking.kept: (out := f(df, name), read.append(index.blocks.join(out, ["term", "run"]).count() if name == "wanted" else 0))[0])
+    for k, source in ((3, None), (4, "s1"), (1000, None)):
+        read.clear()
+        columns = ("query_id", "rank", "source", "doc_id", "score")
+        got, want = (sorted(map(tuple, ranking.search(i, queries, k, source).select(*columns).collect()), key=str) for i in (index, plain))
+        assert got == want and got
+        if k == 3:
+            blocks = index.blocks.join(ranking.query_terms(queries), "term").count()
+            assert 0 < sum(read) < 0.7 * blocks, (read, blocks)
+
+
+def test_index_is_stored_once(spark, tmp_path):
+    path, made = str(tmp_path / "docs"), []
+    frame = sections(spark, [("s", 1, "", "one two three four five six seven eight nine ten", 10, [], [])])
+    frame.write.parquet(path)
+    build = lambda: made.append(1) or frame
+    assert ranking.corpus_index(spark, path, build) is ranking.corpus_index(spark, path, build) and len(made) == 1
+    frame.write.mode("append").parquet(path)
+    assert ranking.corpus_index(spark, path, build).stats.first().n_docs == 1 and len(made) == 2
