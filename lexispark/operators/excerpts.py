@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import difflib
 import re
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +12,8 @@ from lexispark.functions import text as X
 from lexispark.functions import values as V
 
 PASSAGES = "array<struct<passage: string, source_documents: array<string>, chapter: string>>"
+#: Least characters of a common run.
+SEED = 20
 LIST_MARK = re.compile(V.LIST_MARK)
 
 
@@ -76,21 +77,51 @@ def paragraph_around(text: str, start: int, end: int, reach: int = 500) -> str:
     return text[start:end].strip()
 
 
-def anchored(excerpt: str, text: str, least: int = 20) -> str | None:
-    """The part of a text that an excerpt was copied from: from its first to its last common run of ``least`` characters, grown to paragraphs."""
-    runs = [b for b in difflib.SequenceMatcher(None, excerpt, text, autojunk=False).get_matching_blocks() if b.size >= least]
-    if not runs:
-        return None
-    start, end = min(b.b for b in runs), max(b.b + b.size for b in runs)
-    return paragraph_around(text, start, end) if end - start >= 30 else None
+def seeds(text: str) -> np.ndarray:
+    """64-bit hashes of the SEED characters from each place of a text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(codes) - SEED + 1
+    hashes = np.zeros(max(n, 0), np.uint64)
+    for i in range(SEED if n > 0 else 0):
+        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + n] + np.uint64(1)
+    return hashes ^ (hashes >> np.uint64(29))
 
 
-def anchored_excerpts(excerpts: DataFrame) -> DataFrame:
-    """(item_id, doc_id, found) for excerpts with the region of a document each (item_id, doc_id, excerpt, region)."""
+def common_runs(a: str, b: str) -> list[tuple[int, int, int]]:
+    """(start in a, start in b, length) of the longest common runs of SEED characters or more of two texts."""
+    first, second = seeds(a), seeds(b)
+    order = np.argsort(second, kind="stable")
+    low, high = (np.searchsorted(second[order], first, side) for side in ("left", "right"))
+    at = np.repeat(np.arange(len(first)), high - low)
+    to = order[np.arange(len(at)) - np.repeat(np.cumsum(high - low) - high, high - low)]
+    place = np.lexsort((at, to - at))
+    at, shift = at[place], (to - at)[place]
+    start = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(shift) != 0))) if len(at) else place
+    size = np.diff(np.append(start, len(at))) + SEED - 1
+    return list(zip(at[start].tolist(), (at + shift)[start].tolist(), size.tolist(), strict=True))
 
-    def run(frames):
-        for f in frames:
-            found = [anchored(e or "", r or "") for e, r in zip(f["excerpt"], f["region"], strict=True)]
-            yield pd.DataFrame({"item_id": f["item_id"], "doc_id": f["doc_id"], "found": found})
 
-    return excerpts.select("item_id", "doc_id", "excerpt", "region").mapInPandas(run, "item_id long, doc_id long, found string")
+def blocks(runs: list[tuple[int, int, int]], low: int, high: int, start: int, end: int) -> list[tuple[int, int, int]]:
+    """The matching blocks of SEED characters or more of a[low:high] and b[start:end], given all common runs.
+
+    The longest of them (the first in a, then in b), and the same of what lies before and behind it in both.
+    """
+    found, open_ = [], [(low, high, start, end)]
+    while open_:
+        low, high, start, end = open_.pop()
+        best = (0, 0, 0)
+        for a, b, n in runs:
+            cut = max(low - a, start - b, 0)
+            best = max(best, (min(n, high - a, end - b) - cut, -(a + cut), -(b + cut)))
+        n, a, b = best[0], -best[1], -best[2]
+        if n >= SEED:
+            found.append((a, b, n))
+            open_ += [(low, a, start, b), (a + n, high, b + n, end)]
+    return found
+
+
+def anchored(excerpt: str, text: str, least: int = 30) -> str | None:
+    """The part of a text that an excerpt was copied from: from its first to its last matching block of SEED characters, grown to paragraphs."""
+    found = blocks(common_runs(excerpt, text), 0, len(excerpt), 0, len(text))
+    start, end = (min(b for _, b, _ in found), max(b + n for _, b, n in found)) if found else (0, 0)
+    return paragraph_around(text, start, end) if end - start >= least else None

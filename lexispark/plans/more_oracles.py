@@ -112,5 +112,12 @@ SELECT doc_id, 'paraphrase' AS generator, replace({chosen(PARAPHRASES)}, '{{}}',
 SELECT doc_id, 'joined', 'How do these go together: ' || left(x, 30) || '...?', x FROM (SELECT doc_id, array_to_string(list_slice(regexp_extract_all(passage, '\\S+'), 1, 8), ' ') AS x FROM g) UNION ALL
 SELECT doc_id, 'needle', 'What is said of ' || string_split(n, ' ')[3] || '?', n FROM (SELECT doc_id, {chosen(NEEDLES)} AS n FROM g) UNION ALL
 SELECT doc_id, 'unknowable', {chosen(UNKNOWABLE)}, {quoted(NOT_FOUND)} FROM g""",
+    "excerpt_regions": f"""WITH d AS (SELECT source, doc_id, lower(text) AS low, length(text) AS size FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, list_distinct(list_filter(string_split({normalised("coalesce(text, '')")}, ' '), lambda x: length(x) >= 4)) AS words FROM benchmark),
+p AS (SELECT item_id, words, doc_id, low, size, unnest(range(0, greatest(size - 800, 0) + 1, 200)) AS b FROM i JOIN d ON source = 'src' || item_id % 20 OR source = 'src3'),
+h AS (SELECT item_id, doc_id, size, len(words) AS n, b, len(list_filter(words, lambda x: contains(substring(low, b + 1, 800), x))) AS hits FROM p),
+t AS (SELECT *, CASE WHEN n = 0 THEN 0 ELSE (b + least(b + 800, size)) // 2 END AS mid FROM h QUALIFY row_number() OVER (PARTITION BY item_id, doc_id ORDER BY hits DESC, b) = 1),
+e AS (SELECT *, least(greatest(mid - 2000, 0) + 4000, size) AS region_end FROM t)
+SELECT item_id, doc_id, b AS best_start, round(hits / greatest(n, 1), 6) AS score, greatest(region_end - 4000, 0) AS region_start, region_end FROM e""",
     "sample_corpus": "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(quoted(x) for x in r) + ")" for r in SAMPLES) + ") v(title, content, type)",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
 from lexispark.functions import values as V
-from lexispark.operators import browse, excerpts, generation, selection, summary, validation
+from lexispark.operators import browse, excerpts, generation, grounding, selection, summary, validation
 from lexispark.operators import sections as D
 from lexispark.plans import queries as Q
 from lexispark.sources.corpus import documents, sample_documents
@@ -171,9 +171,29 @@ def sample_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anchored_excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's characters 40 to 120, as if copied with a changed end, found again in its first 2,000."""
-    rows = documents(spark, sf_dir).where("length(text) > 200").select(F.col("doc_id").alias("item_id"), "doc_id", F.concat(F.substring("text", 41, 80), F.lit(" ### end")).alias("excerpt"), F.left("text", F.lit(2000)).alias("region"))
-    return excerpts.anchored_excerpts(rows).select("doc_id", F.length("found").cast("long").alias("n_chars"), F.md5(F.col("found").cast("binary")).alias("digest"))
+    """Two parts of each whole text, copied with other words between, found again in it."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    part = lambda share: F.substring(F.col("text"), F.floor(F.length("text") * share).cast("int") + 1, F.lit(300))
+    copied = docs.select(F.col("doc_id").alias("item_id"), "doc_id", F.concat(part(0.25), F.lit(" ### other words ### "), part(0.5)).alias("excerpt"))
+    found = grounding.anchored_excerpts(copied, docs)
+    return found.select("doc_id", "start", "end", F.length("found").cast("long").alias("n_chars"), digest("found").alias("digest"))
+
+
+def _sourced_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Each benchmark item with all documents of two sources."""
+    docs = documents(spark, sf_dir).select("source", "doc_id", "text")
+    named = F.explode(F.array_distinct(F.array(F.concat(F.lit("src"), F.pmod("item_id", F.lit(20)).cast("string")), F.lit("src3"))))
+    items = Q._benchmark(spark, sf_dir).select("item_id", "text", named.alias("source"))
+    return items.join(docs.select("source", "doc_id"), "source").select("item_id", "doc_id", "text"), docs.select("doc_id", "text")
+
+
+def excerpt_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grounding.excerpt_regions(*_sourced_items(spark, sf_dir))
+
+
+def grounded_excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = grounding.grounded_excerpts(*_sourced_items(spark, sf_dir))
+    return found.where("found is not null").select("item_id", "doc_id", "score", "start", "end", digest("found").alias("digest"))
 
 
 MORE_QUERIES = {
@@ -181,6 +201,6 @@ MORE_QUERIES = {
     for f in (
         planted_facts, planted_tags, planted_lists_topk, key_noun_phrases, markdown_parse, paged_parse, section_all_text, text_slices, truncate_sentence, names_and_titles, named_passages,
         question_sources, source_match_ratio, context_rows, run_totals, clean_metrics, first_seen_sources, type_count_metrics, least_used_source, timing_stats, answer_code, fetch_document,
-        offline_generators, sample_corpus, anchored_excerpts,
+        offline_generators, sample_corpus, anchored_excerpts, excerpt_regions, grounded_excerpts,
     )
 }

@@ -1,13 +1,15 @@
 """Runs over files, sinks, Unicode facts, parents of sections, and excerpts tied back to texts."""
 
 import datetime
+import difflib
 import json
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
-from lexispark.operators import excerpts, generation, summary
+from lexispark.operators import excerpts, generation, grounding, summary
 from lexispark.operators import sections as D
 from lexispark.plans.generate import RunConfig, TypeConfig, run_files
 from lexispark.sources import corpus, sinks
@@ -107,3 +109,78 @@ def test_loose_context_rows_and_joined_questions(spark):
     assert sorted(map(tuple, excerpts.context_rows(rows).collect())) == [("f", "c", "text"), ("unknown", "t", "x")]
     made = generation.generator("joined")(spark.createDataFrame([(1, "a b c d e f g h i\n\n---\n\nj k")], "key int, passage string")).first()
     assert made.answer == "a b c d e f g h; j k" and made.question == "How do these go together: a b c d e f g h... and j k...?"
+
+
+def plainly_anchored(excerpt: str, text: str) -> tuple:
+    """By the standard library's matcher."""
+    found = [b for b in difflib.SequenceMatcher(None, excerpt, text, autojunk=False).get_matching_blocks() if b.size >= 20]
+    if not found or max(b.b + b.size for b in found) - min(b.b for b in found) < 30:
+        return None, None, None
+    start, end = min(b.b for b in found), max(b.b + b.size for b in found)
+    return start, end, excerpts.paragraph_around(text, start, end)
+
+
+def test_excerpts_are_anchored_in_whole_texts(spark, monkeypatch):
+    rng = random.Random(6)
+    some = ["tower", "brick", "été", "small door", "on its north side,", "🙂", "they say", "built of", "ab ab ab ab ab ab ab ab ab ab"]
+    text = lambda n: " ".join(rng.choices(some, k=n)).replace("side,", rng.choice(["side,\n\n", "side\n", "side"]))
+    docs = [(i, text(rng.randint(5, 120))) for i in range(14)] + [(20, None), (21, ""), (22, "short")]
+    asked = []
+    for i in range(60):
+        own = docs[i % 14][1]
+        at, cut = rng.randrange(len(own)), rng.randint(5, 90)
+        asked.append((i, i % 14, own[at : at + cut] + rng.choice(["", " new words ", "x"]) + own[at + cut + rng.randint(0, 9) :][: rng.randint(0, 90)] + text(rng.randint(0, 3))))
+    asked += [(90, 20, "some text that is long enough to be a seed"), (91, 21, "the same text, that is long enough"), (92, 0, None), (93, 1, ""), (94, 22, "short"), (95, 99, "no such document, whatever it is")]
+    monkeypatch.setattr(grounding, "CHUNK", 1 << 20)
+    frame, texts = spark.createDataFrame(asked, "item_id long, doc_id long, excerpt string").repartition(3), spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    got = {r.item_id: (r.start, r.end, r.found) for r in grounding.anchored_excerpts(frame, texts).collect()}
+    known = dict(docs)
+    want = {i: plainly_anchored(e or "", known[d] or "") for i, d, e in asked if d in known}
+    assert got == want and sum(x[0] is not None for x in want.values()) > 30
+    for i, d, e in asked[:60]:
+        assert excerpts.anchored(e, known[d]) == want[i][2]
+    regions = spark.createDataFrame([(i, d, 30, 150) for i, d, _ in asked], "item_id long, doc_id long, region_start long, region_end long")
+    got = {r.item_id: (r.start, r.end, r.found) for r in grounding.anchored_excerpts(frame, texts, regions).collect()}
+    inside = {i: plainly_anchored(e, known[d][30:150]) for i, d, e in asked[:60]}
+    assert {i: got[i] for i in inside} == {i: (None if s is None else s + 30, None if s is None else t + 30, f) for i, (s, t, f) in inside.items()}
+
+
+def test_seeds_of_long_texts_meet_over_chunks(spark):
+    long = "".join(random.Random(1).choices("abcdefgh \n", k=3_000))
+    before, grounding.CHUNK = grounding.CHUNK, 700
+    try:
+        rows = [r for b in (excerpts.seeds(long[i : i + 700 + 19]) for i in range(0, len(long), 700)) for r in b.tolist()]
+    finally:
+        grounding.CHUNK = before
+    assert rows == excerpts.seeds(long).tolist() and len(rows) == 2_981
+
+
+def plain_region(hint: str, text: str) -> tuple:
+    words = {w for w in re.sub(r"\W", " ", hint.lower()).split() if len(w) >= 4}
+    best, middle, at = -1.0, 0, 0
+    for start in range(0, max(1, len(text) - 799), 200) if words else ():
+        end = min(start + 800, len(text))
+        score = sum(w in text[start:end].lower() for w in words) / len(words)
+        if score > best:
+            best, middle, at = score, (start + end) // 2, start
+    end = min(len(text), max(0, middle - 2000) + 4000)
+    return at, round(max(best, 0.0), 6), max(0, end - 4000), end
+
+
+def test_regions_of_excerpts(spark):
+    rng = random.Random(3)
+    words = [f"word{i}" for i in range(40)] + ["Straße", "İstanbul", "été", "ab", "swordfish", "word1word1"]
+    docs = [(i, rng.choice([" ", "\n"]).join(rng.choices(words, k=n))) for i, n in enumerate((3, 90, 150, 400, 1500, 2000))] + [(10, ""), (11, None)]
+    asked = [(k, d, " ".join(rng.choices([*words, "none at all"], k=5))) for k in range(6) for d, _ in docs] + [(9, 3, "a b c"), (10, 4, None), (11, 1, "sword fish")]
+    got = {(r.item_id, r.doc_id): tuple(r)[2:] for r in grounding.excerpt_regions(spark.createDataFrame(asked, "item_id long, doc_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    known = dict(docs)
+    assert got == {(k, d): plain_region(t or "", known[d]) for k, d, t in asked if known[d] is not None}
+
+
+def test_grounded_excerpts(spark):
+    copied = "The tower was built of brick and has a small door on its north side, they say."
+    rng = random.Random(8)
+    noise = lambda n: " ".join(f"noise{rng.randint(0, 99)}" for _ in range(n))
+    docs = spark.createDataFrame([(1, f"{noise(900)}\n\n{copied.replace('brick', 'stone')}\n\n{noise(900)}"), (2, noise(50))], "doc_id long, text string")
+    got = {r.doc_id: (r.score, r.found) for r in grounding.grounded_excerpts(spark.createDataFrame([(7, 1, copied), (7, 2, copied)], "item_id long, doc_id long, text string"), docs).collect()}
+    assert got == {1: (0.875, copied.replace("brick", "stone")), 2: (0.0, None)}
