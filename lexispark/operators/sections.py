@@ -7,6 +7,8 @@ is a document, a row is a section.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,20 +49,26 @@ def numbered(sections: DataFrame) -> DataFrame:
     return placed.withColumn("parent_sec_ord", F.when(F.col("parent_pos").isNotNull(), top)).drop("pos", "parent_pos")
 
 
+@F.udtf(returnType="pos int, level int, heading string, content string, char_start int, char_end int", useArrow=True)
+class MarkdownCut:
+    """The sections of a markdown text with their exact places, or one row without a place where it has no heading; the white space behind a heading's marks may hold line ends."""
+
+    def eval(self, text: str):
+        found = list(re.finditer(V.MARKDOWN_HEADING, text or "", re.MULTILINE))
+        for i, m in enumerate(found):
+            end = found[i + 1].start() if i + 1 < len(found) else len(text)
+            yield i, len(m[1]) - 1, m[2].strip(), text[m.end() : end].strip(), m.start(), end
+        if not found:
+            yield None, None, None, None, None, None
+
+
 def markdown_sections(documents: DataFrame) -> DataFrame:
-    """Sections of markdown texts; what stands before the first heading is dropped; a text without headings is plain."""
-    lines = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    upto = Window.partitionBy("doc_id").orderBy("pos")
-    mark = lines.withColumn("char_start", F.sum(F.length("line") + 1).over(upto) - F.length("line") - 1).withColumn("is_heading", F.col("line").rlike(V.MARKDOWN_HEADING))
-    grouped = mark.withColumn("n", F.count_if("is_heading").over(upto)).where("n > 0").groupBy("doc_id", "n")
-    cut = grouped.agg(
-        F.min("pos").alias("pos"), F.min_by("line", "pos").alias("head"), F.min("char_start").alias("char_start"), F.max(F.col("char_start") + F.length("line")).alias("char_end"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("is_heading"), F.struct("pos", "line")))), lambda x: x["line"]), "\n").alias("body"),
-    )
-    heading = X.strip(F.regexp_extract("head", V.MARKDOWN_HEADING, 2))
-    level = F.length(F.regexp_extract("head", V.MARKDOWN_HEADING, 1)) - 1
-    made = numbered(cut.select("doc_id", "pos", heading.alias("heading"), X.strip("body").alias("content"), "char_start", "char_end", level.alias("level")))
-    plain = documents.join(made.select("doc_id").distinct(), "doc_id", "left_anti")
+    """Sections of markdown texts; what stands before the first heading is dropped; a text without headings is plain.
+
+    A section goes from its heading's first mark to the next one's.
+    """
+    cut = documents.select("doc_id", "text").lateralJoin(MarkdownCut(F.col("text").outer()))
+    made, plain = numbered(cut.where("pos is not null").drop("text")), cut.where("pos is null").select("doc_id", "text")
     return made.unionByName(plain_sections(plain), allowMissingColumns=True)
 
 

@@ -67,10 +67,11 @@ l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_words DESC, do
 SELECT row_number() OVER (ORDER BY own > greatest(1, ceil(25 / n)), n_words DESC, source, doc_id) AS rank, source, doc_id, n_words, length({truncated('t', V.LIST_PASSAGE)}) AS passage_len FROM l ORDER BY rank LIMIT 25""",
     "key_noun_phrases": f"WITH {BASE}, {_NOUNS} SELECT s.doc_id, count(p) AS n_nouns, md5(coalesce(string_agg(p, '|' ORDER BY p), '')) AS nouns FROM s LEFT JOIN kept USING (doc_id) GROUP BY s.doc_id",
     "markdown_parse": rf"""WITH {_LINES_OF},
-ln AS (SELECT doc_id, i, CASE WHEN doc_id % 2 = 0 AND i % 4 = 0 THEN '# ' || x WHEN doc_id % 2 = 0 AND i % 4 = 2 THEN '## ' || x ELSE x END AS line FROM ln0),
+ln AS (SELECT doc_id, i, CASE WHEN doc_id % 2 = 0 AND i % 8 = 4 THEN '# ' || chr(10) || x WHEN doc_id % 2 = 0 AND i % 4 = 0 THEN '# ' || x WHEN doc_id % 2 = 0 AND i % 4 = 2 THEN '## ' || x ELSE x END AS line FROM ln0),
 placed AS (SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) - length(line) - 1 AS b, regexp_matches(line, {quoted(V.MARKDOWN_HEADING)}) AS h FROM ln),
 sec AS (SELECT *, count_if(h) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM placed),
-md AS (SELECT doc_id, n, min(i) AS pos, min_by(line, i) AS head, min(b) AS char_start, max(b + length(line)) AS char_end, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT h), '') AS body FROM sec WHERE n > 0 GROUP BY ALL),
+md0 AS (SELECT doc_id, n, min(i) AS pos, min_by(line, i) AS head, min(b) AS char_start, max(b + length(line)) AS stop, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT h), '') AS body FROM sec WHERE n > 0 GROUP BY ALL),
+md AS (SELECT *, coalesce(lead(char_start) OVER (PARTITION BY doc_id ORDER BY n), stop) AS char_end FROM md0),
 t AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM ln GROUP BY doc_id HAVING doc_id NOT IN (SELECT doc_id FROM md)),
 p AS (SELECT doc_id, unnest(parts) AS raw, unnest(range(len(parts))) AS pos FROM (SELECT doc_id, regexp_split_to_array(text, '\n\s*\n') AS parts FROM t)),
 q AS (SELECT doc_id, pos, {strip('raw')} AS part FROM p),
@@ -105,7 +106,7 @@ SELECT b.item_id, round(coalesce(held / len(parts), 0), 6) AS ratio FROM b LEFT
     "type_count_metrics": f"WITH {JUDGED} SELECT 'count_' || type AS metric, CAST(count(*) AS DOUBLE) AS value FROM a GROUP BY type",
     "least_used_source": "SELECT source, count_if(doc_id % 11 = 0) AS n_used FROM documents GROUP BY source ORDER BY n_used, source LIMIT 1",
     "timing_stats": "SELECT count(value) AS n, " + ", ".join(f"round({f}(value), 4) AS {c}" for c, f in _MEASURES.items()) + " FROM events",
-    "answer_code": r"SELECT item_id AS row_id, 'print(' || item_id || ');x = 1' AS blocks, left(regexp_replace(text, '[\n()`]', ' ', 'g'), 30) AS final_answer FROM benchmark",
+    "answer_code": r"SELECT item_id AS row_id, 'print(' || item_id || ');x = 1' AS blocks, regexp_replace(regexp_replace(text, '[\n()`]', ' ', 'g'), '^\s+|\s+$', '', 'g') AS final_answer FROM benchmark",
     "fetch_document": "SELECT doc_id, source, md5(text) AS digest FROM documents WHERE doc_id = 5",
     "offline_generators": f"""WITH {TEMPLATE}
 SELECT doc_id, 'paraphrase' AS generator, replace({chosen(PARAPHRASES)}, '{{}}', left(answer, 30)) AS question, answer FROM g UNION ALL

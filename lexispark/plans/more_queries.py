@@ -55,9 +55,9 @@ def _marked_lines(spark: SparkSession, sf_dir: str, mark) -> DataFrame:
 
 
 def markdown_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of every second document become headings of two levels."""
+    """Lines of every second document become headings of two levels, some with the marks on a line of their own."""
     even = F.pmod("doc_id", F.lit(2)) == 0
-    mark = lambda x, i: F.when(even & (i % 4 == 0), F.concat(F.lit("# "), x)).when(even & (i % 4 == 2), F.concat(F.lit("## "), x)).otherwise(x)
+    mark = lambda x, i: F.when(even & (i % 8 == 4), F.concat(F.lit("# \n"), x)).when(even & (i % 4 == 0), F.concat(F.lit("# "), x)).when(even & (i % 4 == 2), F.concat(F.lit("## "), x)).otherwise(x)
     made = D.markdown_sections(_marked_lines(spark, sf_dir, mark))
     return made.select("doc_id", F.col("sec_ord").cast("long").alias("sec_ord"), "heading", F.col("level").cast("long").alias("level"), digest("content").alias("content"), F.col("char_start").cast("long").alias("char_start"), F.col("char_end").cast("long").alias("char_end"))
 
@@ -150,7 +150,7 @@ def timing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def answer_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items as a model may write them around code and a final answer."""
-    item = F.left(F.regexp_replace("text", r"[\n()`]", " "), F.lit(30))
+    item = X.strip(F.regexp_replace("text", r"[\n()`]", " "))
     raw = F.concat(F.lit("Look:\n```repl\nprint("), F.col("item_id").cast("string"), F.lit(")\n```\nand\n```repl\nx = 1\n```\nFINAL("), item, F.lit(")"))
     found = browse.code_blocks(Q._benchmark(spark, sf_dir).select(F.col("item_id").alias("row_id"), raw.alias("raw")))
     return found.select("row_id", F.array_join("blocks", ";").alias("blocks"), F.col("final").alias("final_answer"))

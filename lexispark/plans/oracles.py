@@ -202,7 +202,7 @@ t3 AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY
 y AS (SELECT DISTINCT item_id FROM t3 JOIN q1 USING (item_id) JOIN s USING (doc_id) WHERE score >= {V.TOPIC_SCORE} AND len(list_filter(topic, lambda w: contains(lower(t), w))) >= 2)
 SELECT item_id, item_id IN (SELECT item_id FROM y) AS exists FROM benchmark""",
     "validation_reasons": f"WITH {JUDGED} SELECT type, reason, count(*) AS n FROM j GROUP BY ALL",
-    "llm_json_parse": f"SELECT item_id AS row_id, {strip('text')} AS question, {strip('left(text, 40)')} AS answer FROM benchmark WHERE item_id % 6 < 4",
+    "llm_json_parse": f"SELECT item_id AS row_id, {strip('reverse(text)')} AS question, {strip('text')} AS answer FROM benchmark WHERE item_id % 6 < 4",
     "prompt_messages": f"""WITH {TEMPLATE} SELECT 'q' || doc_id AS id, 'user' AS role, md5({_USER}) AS digest FROM g UNION ALL SELECT 'q' || doc_id, 'system', md5('You write test questions. Use the passage only.') FROM g""",
     "summary_metrics": f"WITH {JUDGED}, m AS (SELECT {', '.join(f'CAST({v} AS DOUBLE) AS {k}' for k, v in _METRICS.items())} FROM a) UNPIVOT m ON COLUMNS(*) INTO NAME metric VALUE value",
     "difficulty_distribution": distribution("difficulty"),

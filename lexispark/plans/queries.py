@@ -206,7 +206,7 @@ def validation_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers as a model may write them, made from benchmark items in six forms."""
-    items = _benchmark(spark, sf_dir).select("item_id", F.to_json(F.struct(F.col("text").alias("question"), F.left("text", F.lit(40)).alias("answer"))).alias("j"))
+    items = _benchmark(spark, sf_dir).select("item_id", F.to_json(F.struct(F.reverse("text").alias("question"), F.col("text").alias("answer"))).alias("j"))
     form = F.pmod("item_id", F.lit(6))
     raw = F.when(form == 0, F.col("j")).when(form == 1, F.concat(F.lit("```json\n"), "j", F.lit("\n```"))).when(form == 2, F.concat(F.lit("Here it is: "), "j", F.lit(" as asked."))).when(form == 3, F.concat(F.lit("["), "j", F.lit("]"))).when(form == 4, "no answer").otherwise("")
     return generation.parsed_answers(items.select(F.col("item_id").alias("row_id"), raw.alias("raw")))

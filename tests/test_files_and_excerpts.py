@@ -6,6 +6,7 @@ import json
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
@@ -184,3 +185,27 @@ def test_grounded_excerpts(spark):
     docs = spark.createDataFrame([(1, f"{noise(900)}\n\n{copied.replace('brick', 'stone')}\n\n{noise(900)}"), (2, noise(50))], "doc_id long, text string")
     got = {r.doc_id: (r.score, r.found) for r in grounding.grounded_excerpts(spark.createDataFrame([(7, 1, copied), (7, 2, copied)], "item_id long, doc_id long, text string"), docs).collect()}
     assert got == {1: (0.875, copied.replace("brick", "stone")), 2: (0.0, None)}
+
+
+def test_repeated_and_failed_writes(spark, tmp_path):
+    """A file is whole after a second write of the run, and stays as it was when a write fails."""
+    rows = [(i, f"v2_x_{i}", "é 🙂" if i % 3 else None) for i in range(300)]
+    questions = spark.createDataFrame(rows, "ord int, id string, question string").repartition(7)
+    totals, at = spark.createDataFrame([(300, None)], "n_questions int, other string"), datetime.datetime(2024, 5, 12, 9, 30)
+    for _ in range(2):
+        path = sinks.write_test_set(questions, totals, str(tmp_path), "c", at, "r1")
+        whole = json.load(open(path, encoding="utf-8"))
+        assert [q["ord"] for q in whole["questions"]] == list(range(300)) and whole["questions"][1]["question"] == "é 🙂" and whole["summary"] == {"n_questions": 300, "other": None}
+    broken = questions.withColumn("question", F.when(F.col("ord") == 299, F.raise_error(F.lit("broken"))).otherwise(F.col("question")))
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_test_set(broken, totals, str(tmp_path), "c", at, "r2")
+    assert json.load(open(path, encoding="utf-8")) == whole
+    assert [f.name for f in (tmp_path / "c").iterdir()] == ["v2_c_12_05_24_T09_30.json"]
+    empty = json.load(open(sinks.write_test_set(questions.limit(0), totals, str(tmp_path), "e", at, "r3"), encoding="utf-8"))
+    assert empty["questions"] == []
+
+
+def test_metrics_of_a_repeated_run_count_once(spark, tmp_path):
+    for run, value in (("a", 1.0), ("b", 2.0), ("a", 3.0)):
+        sinks.append_run_metrics(spark.createDataFrame([("m", value)], "metric string, value double"), run, str(tmp_path / "m"))
+    assert {(r.run_id, r.value) for r in spark.read.parquet(str(tmp_path / "m")).collect()} == {("a", 3.0), ("b", 2.0)}

@@ -1,5 +1,7 @@
 """Segmentation of plain, markdown and paged texts."""
 
+import re
+
 from lexispark.operators import sections as D
 
 
@@ -30,3 +32,16 @@ def test_paged(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert D.plain_sections(docs).count() == 0 and D.markdown_sections(docs).count() == 0
+
+
+def test_markdown_headings_cross_line_ends(spark):
+    texts = ["# \nTitle\nbody", "lost\n# A\nx\n##\n\nB b \ny\n#no\n##### five\n", "#  ", "plain text that is long enough to stay", None, "", "a\n#\n", "# é\u2028x\r\ny", "### Last"]
+    rows = D.markdown_sections(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    want = []
+    for i, t in enumerate(texts):
+        found = list(re.finditer(r"^(#{1,4})\s+(.+)$", t or "", re.MULTILINE))
+        for k, m in enumerate(found):
+            end = found[k + 1].start() if k + 1 < len(found) else len(t)
+            want.append((i, k, m[2].strip(), len(m[1]) - 1, t[m.end() : end].strip(), m.start(), end))
+    assert sorted((r.doc_id, r.sec_ord, r.heading, r.level, r.content, r.char_start, r.char_end) for r in rows if r.doc_id != 3) == want
+    assert [(r.heading, r.content) for r in rows if r.doc_id == 3] == [(texts[3], texts[3])] and want[0][2] == "Title"
