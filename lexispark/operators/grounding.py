@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
 from lexispark.operators.excerpts import SEED, blocks, paragraph_around, seeds
-from lexispark.sources.corpus import kept
+from lexispark.sources.work import kept
 
 #: Characters that are hashed together; bits (a power of two) of the table of excerpts' seeds; rows of a batch that goes out.
 CHUNK, TABLE, ROWS = 1 << 20, 23, 1 << 15

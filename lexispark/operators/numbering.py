@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispark.sources.corpus import kept
+from lexispark.sources.work import kept
 
 
 def numbered(rows: DataFrame, *order: Column | str, name: str = "ord") -> DataFrame:

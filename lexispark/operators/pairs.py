@@ -14,6 +14,7 @@ stands in every section, a few pairs of blocks decide. The result is the exact t
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lexispark.functions import values as V
 from lexispark.operators.numbering import numbered_within
-from lexispark.sources.corpus import kept
+from lexispark.sources.work import kept
 
 #: A name in more sections than this is frequent; sections of a block at least, blocks of a list at most.
 RARE, BLOCK, MOST_BLOCKS = 8, 256, 2048
@@ -193,17 +194,49 @@ def top_pairs_by_source(sections: DataFrame, k: int, sources: int, used: Iterabl
 
 
 def deciding_pairs(sections: DataFrame, count: int, used: Iterable, within: bool) -> tuple[list, int | None]:
-    """The pairs in order that decide ``capped``, and inside sources the number of sources with a pair; both bounded by count.
+    """The pairs in order that decide ``capped``, and inside sources the number of sources with a pair.
 
-    The first round ends at the latest with the best pair of the ``count``-th source, and takes
-    from a source what ``prefix_bound`` of the cap reaches; the second takes from all in order.
+    Twice what is wanted is fetched at first, and more only while a choice hangs on pairs behind
+    what is known. The first round inside sources is decided when each of the leading ``count``
+    sources has reached its cap or has no more pairs, as it ends with the best pair of the last of them; the
+    second when what it takes are leading pairs of all.
     """
-    found = top_pairs(sections, prefix_bound(count, len(used)), within, used).drop("rank")
-    if not within:
-        return found.orderBy(*_order()).collect(), None
-    n = linked_sources(sections, used)
-    own = top_pairs_by_source(sections, prefix_bound(source_cap(count, n), len(used)), count, used)
-    return found.unionByName(own).distinct().orderBy(*_order()).collect(), n
+    own, first, n = [], [], None
+    if within:
+        n = linked_sources(sections, used)
+        cap = source_cap(count, n)
+        m = 2 * cap
+        while True:
+            own = _collected(top_pairs_by_source(sections, m, count, used))
+            first, _ = _accepted(own, count, set(used), cap, [])
+            known, got = Counter(p["source_a"] for p in own), Counter(p["source_a"] for p in first)
+            if all(known[s] < m or got[s] >= cap for s in known):
+                break
+            m *= 4
+    k = 2 * count
+    while True:
+        every = _collected(top_pairs(sections, k, within, used).drop("rank"))
+        found = sorted({tuple(p): p for p in own + every}.values(), key=lambda p: (-p["n_shared"], p["source_a"], p["doc_a"], p["source_b"], p["doc_b"]))
+        taken, leading = capped(found, count, used, within, n), {tuple(p) for p in every}
+        if len(every) < k or (len(taken) >= count and all(p in first or tuple(p) in leading for p in taken)):
+            return found, n
+        k *= 4
+
+
+def _collected(pairs: DataFrame) -> list:
+    """The rows of a bounded table of pairs."""
+    return pairs.select("doc_a", "doc_b", "source_a", "source_b", "n_shared").orderBy(*_order()).collect()
+
+
+def _accepted(pairs: list, count: int, used: set, cap: int, taken: list) -> tuple[list, set]:
+    """One round over pairs in order: those taken, up to count of all and cap of a source, and the used sections after it."""
+    taken, seen = list(taken), Counter()
+    for p in pairs:
+        if len(taken) < count and p not in taken and seen[p["source_a"]] < cap and not {p["doc_a"], p["doc_b"]} <= used:
+            seen[p["source_a"]] += 1
+            used |= {p["doc_a"], p["doc_b"]}
+            taken.append(p)
+    return taken, used
 
 
 def source_cap(count: int, n_sources: int) -> int:
@@ -218,20 +251,7 @@ def capped(pairs: Iterable, count: int, used: set, per_source: bool, n_sources:
     all pairs, of the list where ``n_sources`` is not given.
     """
     pairs, used, taken = list(pairs), set(used), []
-    cap = source_cap(count, len({p["source_a"] for p in pairs}) if n_sources is None else n_sources) if per_source else count
-    seen: dict = {}
-    for last in ((False, True) if per_source else (True,)):
-        for p in pairs:
-            if len(taken) >= count or p in taken or (p["doc_a"] in used and p["doc_b"] in used):
-                continue
-            if not last and seen.get(p["source_a"], 0) >= cap:
-                continue
-            seen[p["source_a"]] = seen.get(p["source_a"], 0) + 1
-            used |= {p["doc_a"], p["doc_b"]}
-            taken.append(p)
-    return taken
-
-
-def prefix_bound(count: int, n_used: int) -> int:
-    """How many leading pairs decide the first ``count`` accepted ones: each skipped pair has two used ends, not both used before."""
-    return count + 2 * count * n_used + count * (2 * count - 1)
+    if per_source:
+        cap = source_cap(count, len({p["source_a"] for p in pairs}) if n_sources is None else n_sources)
+        taken, used = _accepted(pairs, count, used, cap, taken)
+    return _accepted(pairs, count, used, count, taken)[0]

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from lexispark.functions import text as X
 from lexispark.functions import values as V
 from lexispark.operators.numbering import numbered
-from lexispark.sources.corpus import corpus_key, kept, work_folder
+from lexispark.sources.corpus import corpus_key
+from lexispark.sources.work import kept, work_folder
 
 #: Sections of a run; runs that are scored to get a first k-th best.
 SPAN, FIRST = 64, 8

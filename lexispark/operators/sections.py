@@ -126,15 +126,17 @@ def file_sections(files: DataFrame, pages: DataFrame | None = None) -> DataFrame
     """Sections of read files (doc_id, filename, raw_text, doc_type) as ``corpus_view`` has them: source is the file, doc_id the section's own id.
 
     Markdown is cut at its headings, text at blank lines, pages (doc_id, page_no, text) of files
-    at numbered or title-like headings; JSON files have no sections.
+    at numbered or title-like headings; JSON files have no sections. all_text is a section's text
+    with those of its subsections, is_top whether it is none itself.
     """
     raw = files.select("doc_id", F.col("raw_text").alias("text"), "doc_type")
     made = markdown_sections(raw.where("doc_type = 'md'")).unionByName(plain_sections(raw.where("doc_type = 'txt'")), allowMissingColumns=True)
     if pages is not None:
         made = made.unionByName(paged_sections(pages), allowMissingColumns=True)
-    named = made.join(files.select("doc_id", F.col("filename").alias("source")), "doc_id")
-    key = F.shiftleft(F.col("doc_id").cast("long"), 20) + F.col("sec_ord")
-    return named.select("source", key.alias("doc_id"), "heading", "content", F.col("full_text").alias("text"), "n_words")
+    whole = all_text(made).withColumn("is_top", F.lit(True))
+    told = made.join(whole, ["doc_id", "sec_ord"], "left").join(files.select("doc_id", F.col("filename").alias("source")), "doc_id")
+    key = F.when(F.col("sec_ord") < 1 << 20, F.shiftleft(F.col("doc_id").cast("long"), 20) + F.col("sec_ord")).otherwise(F.raise_error(F.lit("a file of over a million sections")))
+    return told.select("source", key.alias("doc_id"), "heading", "content", F.col("full_text").alias("text"), "n_words", F.coalesce("all_text", "full_text").alias("all_text"), F.coalesce("is_top", F.lit(False)).alias("is_top"))
 
 
 def tags(sections: DataFrame) -> DataFrame:

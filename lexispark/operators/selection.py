@@ -59,15 +59,27 @@ def top_passages(strategy: str, sections: DataFrame, k: int = 5, used: DataFrame
     return best.withColumn("passage", X.truncated(F.col("text"), size)).select("rank", "source", "doc_id", "score", "passage")
 
 
+def whole_text(sections: DataFrame) -> Column:
+    """A section's text with those of its subsections, where the table knows them."""
+    return F.col("all_text" if "all_text" in sections.columns else "text")
+
+
+def top_sections(sections: DataFrame) -> DataFrame:
+    """The sections that are no subsections, with the whole text of each."""
+    return sections.where("is_top").withColumn("text", whole_text(sections)) if "is_top" in sections.columns else sections
+
+
 def top_lists(sections: DataFrame, k: int = 5, used: DataFrame | None = None, flag: Column | str = "has_list") -> DataFrame:
-    """Sections with lists, longest first, at most ceil(k / documents) of a document before the rest fill up."""
+    """Sections with lists, longest first with their subsections, at most ceil(k / documents) of a document before the rest fill up."""
     rows = eligible(sections, used).where(flag)
+    if "all_text" in sections.columns:
+        rows = rows.withColumn("n_words", X.word_count(F.col("all_text")))
     n = rows.agg(F.count_distinct("source")).first()[0]
     cap = max(1, -(-k // max(1, n)))
     own = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n_words"), "doc_id"))
     # Only the first k of each document can be among the k.
     first = rows.withColumn("own_rank", own).where(F.col("own_rank") <= k).withColumn("fill", (F.col("own_rank") > cap).cast("int"))
-    return ranked(first, k, "fill", F.desc("n_words"), "source", "doc_id").withColumn("passage", X.truncated(F.col("text"), V.LIST_PASSAGE))
+    return ranked(first, k, "fill", F.desc("n_words"), "source", "doc_id").withColumn("passage", X.truncated(whole_text(rows), V.LIST_PASSAGE))
 
 
 def positions(rows: DataFrame, stretch: int = STRETCH) -> DataFrame:
@@ -92,11 +104,11 @@ def positions(rows: DataFrame, stretch: int = STRETCH) -> DataFrame:
 def long_spans(sections: DataFrame, size: int = V.LONG_CONTEXT, span: int = V.LONG_SPAN) -> DataFrame:
     """Runs of neighbouring sections of one document: (source, start_idx, n_included, total_chars, first_doc_id).
 
-    Documents of three sections or more; runs begin every ``span`` sections, take whole sections
+    Of top sections with their subsections. Documents of three or more; runs begin every ``span`` sections, take whole sections
     up to ``size`` characters (separators count two) and need two. For each start only the
     first document counts.
     """
-    placed = positions(sections.select("source", "doc_id", F.length("text").alias("len")))
+    placed = positions(top_sections(sections).select("source", "doc_id", F.length("text").alias("len")))
     width = F.least(F.lit(span), F.col("n"))
     runs = placed.where("n >= 3").withColumn("start_idx", (F.floor(F.col("pos") / width) * width).cast("int")).where(F.col("start_idx") < F.col("n") - 2)
     upto = Window.partitionBy("source", "start_idx").orderBy("pos")

@@ -9,7 +9,7 @@ from lexispark.functions import text as X
 from lexispark.functions import values as V
 from lexispark.operators.numbering import numbered_within
 from lexispark.operators.ranking import SearchIndex, search
-from lexispark.sources.corpus import kept
+from lexispark.sources.work import kept
 
 
 def held_parts(words: DataFrame, parts: DataFrame, by: list[str], match: list[str]) -> DataFrame:

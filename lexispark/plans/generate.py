@@ -6,6 +6,7 @@ for), kept on the driver and joined as an anti join; all scoring stays in Spark.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,7 +20,7 @@ from lexispark.operators import sections as D
 from lexispark.operators.generation import generator, question_ids
 from lexispark.operators.ranking import build_index
 from lexispark.operators.validation import source_ratios, topic_elsewhere, validated
-from lexispark.sources.corpus import text_files
+from lexispark.sources.corpus import folder_documents
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,7 @@ def select(spark: SparkSession, sections: DataFrame, qtype: str, count: int, use
         return [((p["doc_a"], p["doc_b"]), V.SEPARATOR.join(text[p[k]][0] for k in ("doc_a", "doc_b")), list(dict.fromkeys(text[p[k]][1] for k in ("doc_a", "doc_b")))) for p in taken]
     if strategy == "long_context":
         spans = S.long_spans(sections).orderBy("start_idx").limit(count)
-        rows = sections.select("source", "doc_id", "text").join(F.broadcast(spans.drop("start_idx")), "source").where("doc_id >= first_doc_id")  # at most count spans
+        rows = S.top_sections(sections).select("source", "doc_id", "text").join(F.broadcast(spans.drop("start_idx")), "source").where("doc_id >= first_doc_id")  # at most count spans
         place = F.row_number().over(Window.partitionBy("source", "first_doc_id").orderBy("doc_id"))
         parts = rows.withColumn("place", place).where(F.col("place") <= V.LONG_SPAN).where("place <= n_included")
         passage = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), "\n\n")
@@ -91,10 +92,10 @@ def run(documents: DataFrame, config: RunConfig) -> DataFrame:
     return run_sections(D.corpus_view(documents), config)
 
 
-def run_files(spark: SparkSession, folder: str, config: RunConfig) -> DataFrame:
-    """``run_sections`` over the sections of a folder's markdown and text files, with their dates."""
-    files = text_files(spark, folder)
-    return run_sections(D.file_sections(files), config, files.select(F.col("filename").alias("source"), F.coalesce("year_in_name", "modified").alias("date")))
+def run_files(spark: SparkSession, folder: str, config: RunConfig, parse: Callable[[bytes], list[str]] | None = None) -> DataFrame:
+    """``run_sections`` over the sections of a folder's markdown, text and PDF files (``parse`` as in ``folder_documents``), with their dates."""
+    files, pages = folder_documents(spark, folder, parse)
+    return run_sections(D.file_sections(files, pages), config, files.select(F.col("filename").alias("source"), F.coalesce("year_in_name", "modified").alias("date")))
 
 
 def run_sections(rows: DataFrame, config: RunConfig, dates: DataFrame | None = None) -> DataFrame:

@@ -209,3 +209,38 @@ def test_metrics_of_a_repeated_run_count_once(spark, tmp_path):
     for run, value in (("a", 1.0), ("b", 2.0), ("a", 3.0)):
         sinks.append_run_metrics(spark.createDataFrame([("m", value)], "metric string, value double"), run, str(tmp_path / "m"))
     assert {(r.run_id, r.value) for r in spark.read.parquet(str(tmp_path / "m")).collect()} == {("a", 3.0), ("b", 2.0)}
+
+
+def pages_of(data: bytes) -> list[str]:
+    """Stands in for a PDF library: pages are cut at form feeds."""
+    if data.startswith(b"broken"):
+        raise ValueError("no pages")
+    return data.decode().split("\f")
+
+
+def test_pages_of_a_folder_go_through_as_sections(spark, tmp_path):
+    rng = random.Random(5)
+    body = lambda n=30: " ".join(rng.sample([f"word{i}x" for i in range(60)], n))
+    chapters = [f"{i}. Chapter of {'abcd'[i - 1]} matters\n{body()} costs {100 + i} in all\n{i}.1 Part of it\n- {body(8)}\n- {body(8)}" for i in range(1, 5)]
+    (tmp_path / "m.pdf").write_text("\f".join(chapters))
+    (tmp_path / "a.PDF").write_text("broken")
+    (tmp_path / "z.txt").write_text("\n\n".join(f"Start of part {i}\n{body()}" for i in range(4)))
+    files, pages = corpus.folder_documents(spark, str(tmp_path), pages_of)
+    rows = files.orderBy("doc_ord").collect()
+    assert [(r.doc_id, r.filename, r.doc_type) for r in rows] == [(1, "m.pdf", "pdf"), (2, "z.txt", "txt")] and rows[0].raw_text == "\n".join(chapters)
+    assert sorted((r.doc_id, r.page_no, r.text) for r in pages.collect()) == [(1, i + 1, c) for i, c in enumerate(chapters)]
+    made = D.file_sections(files, pages)
+    tops = {r.heading: r.all_text for r in made.where("is_top and source = 'm.pdf'").collect()}
+    assert len(tops) == 4 and all("Part of it\n- " in t for t in tops.values()) and made.where("not is_top").count() == 4
+    asked = run_files(spark, str(tmp_path), RunConfig({"direct_lookup": TypeConfig(True, 2), "lists_extraction": TypeConfig(True, 2), "long_context_synthesis": TypeConfig(True, 1)}), pages_of).collect()
+    assert {r.type for r in asked} == {"direct_lookup", "lists_extraction", "long_context_synthesis"}
+    assert "m.pdf" in {s for r in asked for s in r.source_documents}
+    long = next(r for r in asked if r.type == "long_context_synthesis" and r.source_documents == ["m.pdf"])
+    assert long.context == "\n\n".join(tops[h] for h in sorted(tops))
+
+
+def test_folders_without_a_pdf_library_leave_pdf_files_out(spark, tmp_path):
+    (tmp_path / "m.pdf").write_text("x")
+    (tmp_path / "b.md").write_text("# A\nb")
+    files, pages = corpus.folder_documents(spark, str(tmp_path))
+    assert [r.filename for r in files.collect()] == ["b.md"] and pages is None

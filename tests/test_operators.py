@@ -288,3 +288,19 @@ def test_index_is_stored_once(spark, tmp_path):
     assert ranking.corpus_index(spark, path, build) is ranking.corpus_index(spark, path, build) and len(made) == 1
     frame.write.mode("append").parquet(path)
     assert ranking.corpus_index(spark, path, build).stats.first().n_docs == 1 and len(made) == 2
+
+
+def test_chosen_pairs_are_those_of_all_pairs(spark, monkeypatch):
+    """However few pairs are fetched at first; a group of copies makes many that are skipped."""
+    fetched = []
+    monkeypatch.setattr(pairs, "_collected", lambda p, f=pairs._collected: fetched.append(rows := f(p)) or rows)
+    rng = random.Random(12)
+    rows = [(f"s{i % 4}", i, f"h{i}", [f"Copy{j}" for j in range(6)] if i < 16 else rng.sample([f"Name{j}" for j in range(14)], 4)) for i in range(60)]
+    frame = sections(spark, [(s, i, h, "t", 20, names, []) for s, i, h, names in rows])
+    for within, count, used in ((False, 3, set()), (False, 9, {0, 1, 2}), (True, 5, set()), (True, 12, {0, 4, 8})):
+        fetched.clear()
+        every = [{"source_a": s, "doc_a": a, "source_b": t, "doc_b": b} for s, a, t, b, _ in all_pairs(rows, within, 10**6) if not {a, b} <= used]
+        found, n = pairs.deciding_pairs(frame, count, used, within)
+        taken = pairs.capped(found, count, used, within, n)
+        assert [(p["doc_a"], p["doc_b"]) for p in taken] == [(p["doc_a"], p["doc_b"]) for p in pairs.capped(every, count, used, within)]
+        assert max(map(len, fetched)) < len(every) / 2
