@@ -18,17 +18,32 @@ def arriving(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def refresh_index(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Each batch's postings go to {out}/postings/batch=N, written once a batch also when it is repeated."""
+    """Each batch's postings and the doc_ids it brought go to {out}/postings/batch=N and {out}/versions/batch=N, written once a batch also when it is repeated.
+
+    A document that comes again replaces what was known of it; one whose text is null or too
+    short for the index is taken out. Of several rows of a doc_id in a batch the one of the
+    greatest text counts, as a batch has no order.
+    """
 
     def add(batch: DataFrame, n: int) -> None:
-        build_index(corpus_view(batch)).postings.write.mode("overwrite").parquet(f"{out}/postings/batch={n}")
+        newest = batch.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("text", "lang", "source", "n_chars")).alias("x")).select("doc_id", "x.*")
+        # The postings come first: a version without them would hide the ones before.
+        build_index(corpus_view(newest)).postings.write.mode("overwrite").parquet(f"{out}/postings/batch={n}")
+        newest.select("doc_id").write.mode("overwrite").parquet(f"{out}/versions/batch={n}")
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def current_postings(spark: SparkSession, out: str) -> DataFrame:
+    """The postings (source, doc_id, dl, term, tf) of each document's last version; those of earlier ones are retracted by the join."""
+    last = spark.read.schema("doc_id long, batch long").parquet(f"{out}/versions").groupBy("doc_id").agg(F.max("batch").alias("batch"))
+    kinds = "source string, doc_id long, dl int, term string, tf long, batch long"
+    return spark.read.schema(kinds).parquet(f"{out}/postings").join(last, ["doc_id", "batch"]).drop("batch")
+
+
 def term_frequencies(spark: SparkSession, out: str) -> DataFrame:
-    """(term, df) over all batches so far."""
-    return spark.read.parquet(f"{out}/postings").groupBy("term").agg(F.count("*").alias("df"))
+    """(term, df) over the documents as they are now."""
+    return current_postings(spark, out).groupBy("term").agg(F.count("*").alias("df"))
 
 
 def fact_counts(stream: DataFrame) -> DataFrame:

@@ -304,3 +304,19 @@ def test_chosen_pairs_are_those_of_all_pairs(spark, monkeypatch):
         taken = pairs.capped(found, count, used, within, n)
         assert [(p["doc_a"], p["doc_b"]) for p in taken] == [(p["doc_a"], p["doc_b"]) for p in pairs.capped(every, count, used, within)]
         assert max(map(len, fetched)) < len(every) / 2
+
+
+def test_changed_documents_count_once(spark, tmp_path):
+    from lexispark.streaming import index_refresh
+
+    words = "one two three four five six seven eight nine ten"
+    batches = [
+        [(1, f"{words} apple", "en", "s", 1), (2, f"{words} apple", "en", "s", 1), (3, f"{words} pear", "en", "s", 1)],
+        [(1, f"{words} apple", "en", "s", 1), (2, f"{words} plum", "en", "t", 1), (4, f"{words} apple", "en", "s", 1), (4, f"{words} plum", "en", "s", 1)],
+        [(3, None, "en", "s", 1), (5, "short", "en", "s", 1)],
+    ]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, index_refresh.SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
+        index_refresh.refresh_index(index_refresh.arriving(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
+        found = {r.term: r.df for r in index_refresh.term_frequencies(spark, str(tmp_path / "out")).collect()}
+        assert {t: found.get(t, 0) for t in ("apple", "plum", "pear", "seven")} == [{"apple": 2, "plum": 0, "pear": 1, "seven": 3}, {"apple": 1, "plum": 2, "pear": 1, "seven": 4}, {"apple": 1, "plum": 2, "pear": 0, "seven": 3}][n]
