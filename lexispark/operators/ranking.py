@@ -1,24 +1,24 @@
 """An inverted index as tables, and BM25 search over it for many queries at once.
 
-A stored index also keeps its postings in blocks: sections are numbered by (source, doc_id), and
-the postings of a term in SPAN neighbouring sections are one row with the largest part that
-the term can add to a score there. For a query these bounds are summed up for each run of sections; the best
+A stored index keeps its postings in blocks: sections are dealt to runs of about SPAN by a hash, and
+the postings of a term in a run are one row. A small table has the largest part that the term can
+add to a score there. For a query these bounds are summed up for each run; the best
 runs are scored first, and then only those whose bound reaches the k-th best score. Nothing that
 can be among the k best is left, so the result equals that of all postings.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
 from lexispark.functions import values as V
-from lexispark.operators.numbering import numbered
 from lexispark.sources.corpus import corpus_key
 from lexispark.sources.work import kept, work_folder
 
@@ -28,17 +28,16 @@ SPAN, FIRST = 64, 8
 
 @dataclass
 class SearchIndex:
-    """postings (source, doc_id, term, tf, dl), terms (term, df) and one row of n_docs and avg_dl."""
+    """postings (source, doc_id, term, tf, dl), terms (term, df) and one row of n_docs and avg_dl.
+
+    A stored index also has blocks (term, run, sources, held) and bounds (term, run, sources, most).
+    """
 
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
-    make_blocks: Callable[[], DataFrame] | None = None
-
-    @cached_property
-    def blocks(self) -> DataFrame | None:
-        """(term, run, most, sources, held) of a stored index, made and stored for the first search."""
-        return self.make_blocks and self.make_blocks()
+    blocks: DataFrame | None = None
+    bounds: DataFrame | None = None
 
 
 def build_index(sections: DataFrame) -> SearchIndex:
@@ -56,27 +55,45 @@ def gain(tf: Column, dl: Column) -> Column:
 
 
 def stored_index(sections: DataFrame, folder: str) -> SearchIndex:
-    """The index written once as tables under a folder and read again, for many searches."""
-    made, spark = build_index(sections), sections.sparkSession
+    """The index written once as tables under a folder and read again, for many searches.
+
+    Terms are counted in the task that reads their section, so postings move once, to their blocks.
+    """
+    spark = sections.sparkSession
 
     def written(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    postings, stats = written(made.postings, "postings"), written(made.stats, "stats")
-    terms = written(postings.groupBy("term").agg(F.count("*").alias("df")), "terms")
-    return SearchIndex(postings, terms, stats, lambda: written(_blocks(postings, stats), "blocks"))
-
-
-def _blocks(postings: DataFrame, stats: DataFrame) -> DataFrame:
-    places = numbered(postings.select("source", "doc_id").distinct(), "source", "doc_id", name="place")
-    known = postings["source"].eqNullSafe(F.col("of")) & postings["doc_id"].eqNullSafe(F.col("id"))
-    placed = postings.join(places.select(F.col("source").alias("of"), F.col("doc_id").alias("id"), F.floor(F.col("place") / SPAN).alias("run")), known)
-    rated = placed.join(F.broadcast(stats))  # one row of statistics
-    # A run has at most SPAN sections, so a block is small.
+    runs = max(1, -(-sections.count() // SPAN))
+    read = sections.where(F.col("n_words") >= V.INDEX_MIN_WORDS).select("source", "doc_id", F.pmod(F.xxhash64("source", "doc_id"), F.lit(runs)).alias("run"), X.tokens(F.col("text")).alias("tokens"))
+    kinds = dict(read.dtypes)
+    counted = read.mapInArrow(_term_counts, f"source {kinds['source']}, doc_id {kinds['doc_id']}, run long, dl int, term string, tf long")
+    # A section without terms counts as one, too; it has a row without a term.
     held = F.collect_list(F.struct("source", "doc_id", "tf", "dl"))
-    blocks = rated.groupBy("term", "run").agg(F.max(gain(F.col("tf"), F.col("dl"))).alias("most"), F.collect_set("source").alias("sources"), held.alias("held"))
-    return blocks.sortWithinPartitions("term", "run")
+    blocks = written(counted.groupBy("term", "run").agg(F.collect_set("source").alias("sources"), held.alias("held")), "blocks")
+    sizes = blocks.select("term", F.size("held").cast("long").alias("n"), F.aggregate("held", F.lit(0).cast("long"), lambda acc, x: acc + x["tf"]).alias("length"))
+    terms = written(sizes.where("term is not null").groupBy("term").agg(F.sum("n").alias("df")), "terms")
+    stats = written(sizes.agg(F.sum(F.when(F.col("term").isNull(), F.col("n"))).alias("n_docs"), F.sum(F.when(F.col("term").isNotNull(), F.col("length"))).alias("length")).select(F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"), (F.coalesce("length", F.lit(0)) / F.nullif("n_docs", F.lit(0))).alias("avg_dl")), "stats")
+    good = blocks.where("term is not null")
+    bound = F.array_max(F.transform("held", lambda x: gain(x["tf"], x["dl"])))
+    most = written(good.join(F.broadcast(stats)).select("term", "run", "sources", bound.alias("most")), "bounds")  # one row of statistics
+    postings = good.select("term", F.explode("held").alias("x")).select("x.source", "x.doc_id", "x.dl", "term", "x.tf")
+    return SearchIndex(postings, terms, stats, good, most)
+
+
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a section's terms with their counts, and one without a term (tf 0) for the section itself."""
+    for batch in batches:
+        rows, sizes, terms, counts = [], [], [], []
+        for i, tokens in enumerate(batch.column("tokens").to_pylist()):
+            found = Counter(tokens)
+            rows += [i] * (len(found) + 1)
+            sizes += [len(tokens)] * (len(found) + 1)
+            terms += [None, *found]
+            counts += [0, *found.values()]
+        keys = [batch.column(c).take(pa.array(rows, pa.int32())) for c in ("source", "doc_id", "run")]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(sizes, pa.int32()), pa.array(terms, pa.string()), pa.array(counts, pa.int64())], ["source", "doc_id", "run", "dl", "term", "tf"])
 
 
 _indexes: dict[tuple, SearchIndex] = {}
@@ -128,8 +145,8 @@ def search(index: SearchIndex, queries: DataFrame, k: int | None = 10, source: s
 def search_blocks(index: SearchIndex, queries: DataFrame, k: int, source: str | None = None) -> DataFrame:
     """As ``search``, from the runs of sections that can hold one of the k best; runs are read by term and number."""
     asked = kept(_asked(index, queries), "asked")
-    blocks = index.blocks if source is None else index.blocks.where(F.array_contains("sources", source))
-    bounds = kept(blocks.select("term", "run", "most").join(asked, "term").groupBy("query_id", "run").agg(F.sum(F.col("w") * F.col("most")).alias("bound")), "bounds")
+    blocks, most = (t if source is None else t.where(F.array_contains("sources", source)) for t in (index.blocks, index.bounds))
+    bounds = kept(most.select("term", "run", "most").join(asked, "term").groupBy("query_id", "run").agg(F.sum(F.col("w") * F.col("most")).alias("bound")), "bounds")
     first = bounds.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("bound"), "run"))).where(F.col("n") <= FIRST)
 
     def scores(runs: DataFrame) -> DataFrame:
