@@ -77,28 +77,39 @@ def paragraph_around(text: str, start: int, end: int, reach: int = 500) -> str:
     return text[start:end].strip()
 
 
-def seeds(text: str) -> np.ndarray:
-    """64-bit hashes of the SEED characters from each place of a text."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = len(codes) - SEED + 1
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def seeds(text: str, width: int = SEED) -> np.ndarray:
+    """64-bit hashes of the ``width`` characters from each place of a text."""
+    codes = code_points(text).astype(np.uint64)
+    n = len(codes) - width + 1
     hashes = np.zeros(max(n, 0), np.uint64)
-    for i in range(SEED if n > 0 else 0):
+    for i in range(width if n > 0 else 0):
         hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + n] + np.uint64(1)
     return hashes ^ (hashes >> np.uint64(29))
 
 
-def common_runs(a: str, b: str) -> list[tuple[int, int, int]]:
-    """(start in a, start in b, length) of the longest common runs of SEED characters or more of two texts."""
+def common_runs(a: str, b: str, shifts: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start in a, start in b, length) of the longest common runs of SEED characters or more of two texts, with one of the ``shifts`` between them."""
+    first, second, found = code_points(a), code_points(b), []
+    for shift in np.unique(shifts).tolist():
+        low, high = max(0, -shift), min(len(first), len(second) - shift)
+        if high - low >= SEED:
+            edge = np.flatnonzero(np.diff(np.concatenate([[False], first[low:high] == second[low + shift : high + shift], [False]]).astype(np.int8)))
+            start, end = edge[::2], edge[1::2]
+            found += [(low + i, low + i + shift, j - i) for i, j in zip(start.tolist(), end.tolist(), strict=True) if j - i >= SEED]
+    return found
+
+
+def common_shifts(a: str, b: str) -> np.ndarray:
+    """The shifts between two texts at which they have SEED characters in common."""
     first, second = seeds(a), seeds(b)
     order = np.argsort(second, kind="stable")
     low, high = (np.searchsorted(second[order], first, side) for side in ("left", "right"))
     at = np.repeat(np.arange(len(first)), high - low)
-    to = order[np.arange(len(at)) - np.repeat(np.cumsum(high - low) - high, high - low)]
-    place = np.lexsort((at, to - at))
-    at, shift = at[place], (to - at)[place]
-    start = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(shift) != 0))) if len(at) else place
-    size = np.diff(np.append(start, len(at))) + SEED - 1
-    return list(zip(at[start].tolist(), (at + shift)[start].tolist(), size.tolist(), strict=True))
+    return np.unique(order[np.arange(len(at)) - np.repeat(np.cumsum(high - low) - high, high - low)] - at)
 
 
 def blocks(runs: list[tuple[int, int, int]], low: int, high: int, start: int, end: int) -> list[tuple[int, int, int]]:
@@ -122,6 +133,6 @@ def blocks(runs: list[tuple[int, int, int]], low: int, high: int, start: int, en
 
 def anchored(excerpt: str, text: str, least: int = 30) -> str | None:
     """The part of a text that an excerpt was copied from: from its first to its last matching block of SEED characters, grown to paragraphs."""
-    found = blocks(common_runs(excerpt, text), 0, len(excerpt), 0, len(text))
+    found = blocks(common_runs(excerpt, text, common_shifts(excerpt, text)), 0, len(excerpt), 0, len(text))
     start, end = (min(b for _, b, _ in found), max(b + n for _, b, n in found)) if found else (0, 0)
     return paragraph_around(text, start, end) if end - start >= least else None

@@ -68,8 +68,9 @@ def context_matches(contexts: DataFrame, documents: DataFrame, least: float = V.
 
 def borders(words: DataFrame) -> DataFrame:
     """(source, w): the last three words before and the first three from each section of a source on; words has source, doc_id and w, not empty."""
-    ends = words.select("source", "doc_id", F.slice("w", F.lit(1), F.lit(3)).alias("head"), F.expr("slice(w, -least(3, size(w)), 3)").alias("tail"))
-    placed = numbered_within(ends.where("source is not null"), ["source"], "doc_id")
+    # Few words of each section, found once.
+    ends = words.where("source is not null").select("source", "doc_id", F.slice("w", F.lit(1), F.lit(3)).alias("head"), F.expr("slice(w, -least(3, size(w)), 3)").alias("tail"))
+    placed = numbered_within(kept(ends, "ends"), ["source"], "doc_id")
     # A section has a word at least, so three of them reach across a border.
     tails = placed.select("source", F.explode(F.array(*(F.col("ord") + i for i in (1, 2, 3)))).alias("border"), "ord", F.col("tail").alias("w"))
     heads = placed.select("source", F.explode(F.array(*(F.col("ord") - i for i in (0, 1, 2)))).alias("border"), "ord", F.col("head").alias("w"))
