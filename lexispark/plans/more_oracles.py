@@ -120,5 +120,5 @@ h AS (SELECT item_id, doc_id, size, len(words) AS n, b, len(list_filter(words, l
 t AS (SELECT *, CASE WHEN n = 0 THEN 0 ELSE (b + least(b + 800, size)) // 2 END AS mid FROM h QUALIFY row_number() OVER (PARTITION BY item_id, doc_id ORDER BY hits DESC, b) = 1),
 e AS (SELECT *, least(greatest(mid - 2000, 0) + 4000, size) AS region_end FROM t)
 SELECT item_id, doc_id, b AS best_start, round(hits / greatest(n, 1), 6) AS score, greatest(region_end - 4000, 0) AS region_start, region_end FROM e""",
-    "sample_corpus": "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(quoted(x) for x in r) + ")" for r in SAMPLES) + ") v(title, content, type)",
+    "sample_corpus": "SELECT title, md5(content) AS content, type FROM (SELECT 'doc_' || doc_id AS title, text AS content, lang AS type FROM documents WHERE text IS NOT NULL UNION ALL SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(quoted(x) for x in r) + ")" for r in SAMPLES) + ") v(title, content, type))",
 }

@@ -167,7 +167,9 @@ def offline_generators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_documents(spark)
+    """The corpus's texts with the sample documents put to them."""
+    texts = documents(spark, sf_dir).where("text is not null").select(F.concat(F.lit("doc_"), "doc_id").alias("title"), F.col("text").alias("content"), F.col("lang").alias("type"))
+    return sample_documents(spark).unionByName(texts).select("title", digest("content").alias("content"), "type")
 
 
 def anchored_excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
