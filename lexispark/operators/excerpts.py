@@ -12,8 +12,8 @@ from lexispark.functions import text as X
 from lexispark.functions import values as V
 
 PASSAGES = "array<struct<passage: string, source_documents: array<string>, chapter: string>>"
-#: Least characters of a common run.
-SEED = 20
+#: Least characters of a common run; places of a text that are hashed together.
+SEED, CHUNK = 20, 1 << 20
 LIST_MARK = re.compile(V.LIST_MARK)
 
 
@@ -81,12 +81,12 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def seeds(text: str, width: int = SEED) -> np.ndarray:
-    """64-bit hashes of the ``width`` characters from each place of a text."""
+def seeds(text: str) -> np.ndarray:
+    """64-bit hashes of the SEED characters from each place of a text."""
     codes = code_points(text).astype(np.uint64)
-    n = len(codes) - width + 1
+    n = len(codes) - SEED + 1
     hashes = np.zeros(max(n, 0), np.uint64)
-    for i in range(width if n > 0 else 0):
+    for i in range(SEED if n > 0 else 0):
         hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + n] + np.uint64(1)
     return hashes ^ (hashes >> np.uint64(29))
 
@@ -104,12 +104,22 @@ def common_runs(a: str, b: str, shifts: np.ndarray) -> list[tuple[int, int, int]
 
 
 def common_shifts(a: str, b: str) -> np.ndarray:
-    """The shifts between two texts at which they have SEED characters in common."""
-    first, second = seeds(a), seeds(b)
-    order = np.argsort(second, kind="stable")
-    low, high = (np.searchsorted(second[order], first, side) for side in ("left", "right"))
-    at = np.repeat(np.arange(len(first)), high - low)
-    return np.unique(order[np.arange(len(at)) - np.repeat(np.cumsum(high - low) - high, high - low)] - at)
+    """The shifts from a to b at which they have SEED characters in common; b may be long, and pairs of equal seeds many."""
+    first = seeds(a)
+    order = np.argsort(first, kind="stable")
+    known, found = first[order], [np.zeros(0, np.int64)]
+    for start in range(0, len(b) if len(first) else 0, CHUNK):
+        hashes = seeds(b[start : start + CHUNK + SEED - 1])
+        low = np.searchsorted(known, hashes, "left")
+        n = np.searchsorted(known, hashes, "right") - low
+        hits = np.flatnonzero(n)
+        group = np.cumsum(n[hits]) // CHUNK
+        for g in np.unique(group):
+            at = hits[group == g]
+            many = n[at]
+            mine = order[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - low[at], many)]
+            found.append(np.unique(np.repeat(at, many) + start - mine))
+    return np.unique(np.concatenate(found))
 
 
 def blocks(runs: list[tuple[int, int, int]], low: int, high: int, start: int, end: int) -> list[tuple[int, int, int]]:

@@ -1,31 +1,22 @@
 """Excerpts found again in whole documents: the region that speaks of an excerpt, and the part it was copied from.
 
-Both start from places in texts that tasks give out once, so that no text is scanned for each
-excerpt and no excerpt is compared with a text character by character.
+Both start from places in texts: of words, and of hashed seeds of characters. No excerpt is compared
+with all of a text character by character.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
-from lexispark.operators.excerpts import SEED, blocks, common_runs, paragraph_around, seeds
+from lexispark.operators.excerpts import blocks, common_runs, common_shifts, paragraph_around
 from lexispark.sources.work import kept
 
-#: Characters that are hashed together; bits (a power of two) of the table of excerpts' seeds; rows of a batch that goes out.
-CHUNK, TABLE, ROWS = 1 << 20, 27, 1 << 15
-#: Characters of a seed, and places from one to the next in an excerpt: a run of SEED characters holds one whole.
-WIDTH = 10
-STRIDE = SEED - WIDTH + 1
-
-
 def words_with_places(documents: DataFrame) -> DataFrame:
     """(doc_id, word, at): the distinct words of four characters or more of each text in small letters, and where they begin."""
 
@@ -79,60 +70,18 @@ def excerpt_regions(excerpts: DataFrame, documents: DataFrame, window: int = 800
     return rows.select("item_id", "doc_id", start.cast("long").alias("best_start"), score.alias("score"), F.greatest(end - region, F.lit(0)).cast("long").alias("region_start"), end.cast("long").alias("region_end"))
 
 
-def _bit(hashes: np.ndarray, doc) -> np.ndarray:
-    own = np.uint64((zlib.crc32(str(doc).encode()) * 0x9E3779B97F4A7C15) % (1 << 64))
-    mixed = (hashes ^ own) * np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed >> np.uint64(64 - TABLE)).astype(np.int64)
-
-
-def _seed_rows(rows: DataFrame, text: str, keys: list[str], stride: int, table=None) -> DataFrame:
-    """(keys, at, seed, bit): places of a text, ``stride`` apart, and the hash of the characters from there; with a (broadcast) table, marked ones only. keys end with doc_id."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs = batch.column("doc_id").to_pylist()
-            for i, value in enumerate(batch.column(text).to_pylist()):
-                for start in range(0, len(value or ""), CHUNK - CHUNK % stride):
-                    hashes = seeds(value[start : start + CHUNK - CHUNK % stride + WIDTH - 1], WIDTH)
-                    at = np.arange(0, len(hashes), stride)
-                    bits = _bit(hashes[at], docs[i])
-                    if table is not None:
-                        good = np.flatnonzero(table.value[bits >> 3] >> (bits & 7).astype(np.uint8) & 1)
-                        at, bits = at[good], bits[good]
-                    for j in range(0, len(at), ROWS):
-                        part = at[j : j + ROWS]
-                        own = [batch.column(k).take(pa.array(np.full(len(part), i))) for k in keys]
-                        yield pa.RecordBatch.from_arrays([*own, pa.array(part + start, pa.int64()), pa.array(hashes[part].view(np.int64)), pa.array(bits[j : j + ROWS])], [*keys, "at", "seed", "bit"])
-
-    kinds = dict(rows.dtypes)
-    return rows.select(*keys, text).mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", at long, seed long, bit long")
-
-
-def seed_shifts(excerpts: DataFrame, documents: DataFrame) -> DataFrame:
-    """(item_id, doc_id, shifts): how far behind its place in an excerpt (item_id, doc_id, excerpt) a seed stands in the text.
-
-    An excerpt has a seed at every STRIDE-th place, a text at each. Seeds of a text that no excerpt of it
-    has are left out by a bit table of fixed size before the rest are joined.
-    """
-    mine = kept(_seed_rows(excerpts, "excerpt", ["item_id", "doc_id"], STRIDE), "excerpt-seeds")
-    table = np.zeros(1 << (TABLE - 3), np.uint8)
-    for row in mine.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bits")).collect():
-        table[(row.part - 1) * 4096 : row.part * 4096] = np.frombuffer(row.bits, np.uint8)
-    shared = documents.sparkSession.sparkContext.broadcast(table)
-    met = _seed_rows(documents, "text", ["doc_id"], 1, shared).select("doc_id", F.col("at").alias("b"), "seed").join(mine.select("item_id", "doc_id", F.col("at").alias("a"), "seed"), ["doc_id", "seed"])
-    return met.groupBy("item_id", "doc_id").agg(F.collect_set(F.col("b") - F.col("a")).alias("shifts"))
-
-
 def anchored_excerpts(excerpts: DataFrame, documents: DataFrame, regions: DataFrame | None = None, least: int = 30) -> DataFrame:
     """(item_id, doc_id, start, end, found): the part of a whole text that an excerpt (item_id, doc_id, excerpt) was copied from.
 
     From the first to the last of the matching blocks of SEED characters or more, ``least`` characters
-    at least, and ``found`` grown to paragraphs; null without such a part. Matching blocks are
+    at least, and ``found`` grown to paragraphs; null without such a part. Excerpts meet their texts
+    once, by doc_id; hashed seeds of both give the shifts between them, along which runs are
+    compared. Matching blocks are
     the longest common run, then those of what lies before and behind it in both. With regions
     (item_id, doc_id, region_start, region_end), only these parts of the texts count. An item_id names one
     excerpt of a document, a doc_id one text; nulls hold nothing.
     """
-    rows = excerpts.select("item_id", "doc_id", "excerpt").join(seed_shifts(excerpts, documents), ["item_id", "doc_id"], "left")
+    rows = excerpts.select("item_id", "doc_id", "excerpt")
     if regions is not None:
         rows = rows.join(regions.select("item_id", "doc_id", "region_start", "region_end"), ["item_id", "doc_id"], "left")
     else:
@@ -142,10 +91,10 @@ def anchored_excerpts(excerpts: DataFrame, documents: DataFrame, regions: DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for r in batch.select(["excerpt", "shifts", "region_start", "region_end", "text"]).to_pylist():
+            for r in batch.select(["excerpt", "region_start", "region_end", "text"]).to_pylist():
                 text, copied, low = r["text"] or "", r["excerpt"] or "", r["region_start"] or 0
                 high = len(text) if r["region_end"] is None else r["region_end"]
-                found = blocks(common_runs(copied, text, np.array(r["shifts"] or [], np.int64)), 0, len(copied), low, high)
+                found = blocks(common_runs(copied, text, common_shifts(copied, text)), 0, len(copied), low, high)
                 start, end = (min(b for _, b, _ in found), max(b + n for _, b, n in found)) if found else (0, 0)
                 good = end - start >= least
                 out.append((start if good else None, end if good else None, paragraph_around(text[low:high], start - low, end - low) if good else None))

@@ -71,7 +71,8 @@ def stored_index(sections: DataFrame, folder: str) -> SearchIndex:
     counted = read.mapInArrow(_term_counts, f"source {kinds['source']}, doc_id {kinds['doc_id']}, run long, dl int, term string, tf long")
     # A section without terms counts as one, too; it has a row without a term.
     held = F.collect_list(F.struct("source", "doc_id", "tf", "dl"))
-    blocks = written(counted.groupBy("term", "run").agg(F.collect_set("source").alias("sources"), held.alias("held")), "blocks")
+    # Plain rows are smaller to move than arrays that tasks have begun.
+    blocks = written(counted.repartition("term", "run").groupBy("term", "run").agg(F.collect_set("source").alias("sources"), held.alias("held")), "blocks")
     sizes = blocks.select("term", F.size("held").cast("long").alias("n"), F.aggregate("held", F.lit(0).cast("long"), lambda acc, x: acc + x["tf"]).alias("length"))
     terms = written(sizes.where("term is not null").groupBy("term").agg(F.sum("n").alias("df")), "terms")
     stats = written(sizes.agg(F.sum(F.when(F.col("term").isNull(), F.col("n"))).alias("n_docs"), F.sum(F.when(F.col("term").isNotNull(), F.col("length"))).alias("length")).select(F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"), (F.coalesce("length", F.lit(0)) / F.nullif("n_docs", F.lit(0))).alias("avg_dl")), "stats")

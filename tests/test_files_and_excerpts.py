@@ -121,7 +121,7 @@ def plainly_anchored(excerpt: str, text: str) -> tuple:
     return start, end, excerpts.paragraph_around(text, start, end)
 
 
-def test_excerpts_are_anchored_in_whole_texts(spark, monkeypatch):
+def test_excerpts_are_anchored_in_whole_texts(spark):
     rng = random.Random(6)
     some = ["tower", "brick", "été", "small door", "on its north side,", "🙂", "they say", "built of", "ab ab ab ab ab ab ab ab ab ab"]
     text = lambda n: " ".join(rng.choices(some, k=n)).replace("side,", rng.choice(["side,\n\n", "side\n", "side"]))
@@ -132,7 +132,6 @@ def test_excerpts_are_anchored_in_whole_texts(spark, monkeypatch):
         at, cut = rng.randrange(len(own)), rng.randint(5, 90)
         asked.append((i, i % 14, own[at : at + cut] + rng.choice(["", " new words ", "x"]) + own[at + cut + rng.randint(0, 9) :][: rng.randint(0, 90)] + text(rng.randint(0, 3))))
     asked += [(90, 20, "some text that is long enough to be a seed"), (91, 21, "the same text, that is long enough"), (92, 0, None), (93, 1, ""), (94, 22, "short"), (95, 99, "no such document, whatever it is")]
-    monkeypatch.setattr(grounding, "CHUNK", 1 << 20)
     frame, texts = spark.createDataFrame(asked, "item_id long, doc_id long, excerpt string").repartition(3), spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
     got = {r.item_id: (r.start, r.end, r.found) for r in grounding.anchored_excerpts(frame, texts).collect()}
     known = dict(docs)
@@ -146,14 +145,15 @@ def test_excerpts_are_anchored_in_whole_texts(spark, monkeypatch):
     assert {i: got[i] for i in inside} == {i: (None if s is None else s + 30, None if s is None else t + 30, f) for i, (s, t, f) in inside.items()}
 
 
-def test_seeds_of_long_texts_meet_over_chunks(spark):
-    long = "".join(random.Random(1).choices("abcdefgh \n", k=3_000))
-    before, grounding.CHUNK = grounding.CHUNK, 700
-    try:
-        rows = [r for b in (excerpts.seeds(long[i : i + 700 + 19]) for i in range(0, len(long), 700)) for r in b.tolist()]
-    finally:
-        grounding.CHUNK = before
-    assert rows == excerpts.seeds(long).tolist() and len(rows) == 2_981
+def test_seeds_meet_over_chunks(monkeypatch):
+    """Whatever is hashed together, and with seeds that repeat."""
+    long = "".join(random.Random(1).choices("abcdefgh \n", k=3_000)) + "ab" * 200 + "x" * 100
+    part = long[650:760] + "ab" * 30 + long[-60:]
+    want = {j - i for i in range(len(part) - 19) for j in range(len(long) - 19) if part[i : i + 20] == long[j : j + 20]}
+    for chunk in (1 << 20, 700, 37):
+        monkeypatch.setattr(excerpts, "CHUNK", chunk)
+        assert set(excerpts.common_shifts(part, long).tolist()) == want
+    assert excerpts.common_shifts("short", long).tolist() == excerpts.common_shifts(part, "").tolist() == []
 
 
 def plain_region(hint: str, text: str) -> tuple:
