@@ -67,10 +67,11 @@ def context_matches(contexts: DataFrame, documents: DataFrame, least: float = V.
 
 
 def borders(words: DataFrame) -> DataFrame:
-    """(source, w): the last three words before and the first three from each section of a source on; words has source, doc_id and w, not empty."""
+    """(source, w): the last three words before and the first three from each section of a source on; words has source, doc_id and w."""
     # Few words of each section, found once.
-    ends = words.where("source is not null").select("source", "doc_id", F.slice("w", F.lit(1), F.lit(3)).alias("head"), F.expr("slice(w, -least(3, size(w)), 3)").alias("tail"))
-    placed = numbered_within(kept(ends, "ends"), ["source"], "doc_id")
+    cut = lambda w: F.struct(F.slice(w, F.lit(1), F.lit(3)).alias("head"), F.slice(w, F.greatest(F.size(w) - 2, F.lit(1)), F.lit(3)).alias("tail"))
+    ends = kept(words.where("source is not null").select("source", "doc_id", X.once(F.col("w"), cut).alias("e")), "ends")
+    placed = numbered_within(ends.where("size(e.head) > 0").select("source", "doc_id", "e.head", "e.tail"), ["source"], "doc_id")
     # A section has a word at least, so three of them reach across a border.
     tails = placed.select("source", F.explode(F.array(*(F.col("ord") + i for i in (1, 2, 3)))).alias("border"), "ord", F.col("tail").alias("w"))
     heads = placed.select("source", F.explode(F.array(*(F.col("ord") - i for i in (0, 1, 2)))).alias("border"), "ord", F.col("head").alias("w"))
@@ -90,7 +91,7 @@ def source_ratios(contexts: DataFrame, sections: DataFrame) -> DataFrame:
     sizes, listed = parts_of(contexts, "sources")
     wanted = kept(listed.withColumn("source", F.explode(F.array_distinct("sources"))).drop("sources"), "parts")
     named = wanted.select("source").distinct()
-    words = sections.join(named, "source", "left_semi").select("source", "doc_id", words_of(F.col("text")).alias("w")).where("size(w) > 0")
+    words = sections.join(named, "source", "left_semi").select("source", "doc_id", words_of(F.col("text")).alias("w"))
     found = held_parts(words.select("source", "w").unionByName(borders(words)), wanted, ["source"], ["source"])
     counted = found.select("context_id", "pos").distinct().groupBy("context_id").agg(F.count("*").alias("held"))
     ratio = F.round(F.coalesce(F.col("held") / F.col("n"), F.lit(0.0)), 6)
