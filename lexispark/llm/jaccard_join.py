@@ -9,8 +9,9 @@ as a whole, and of the others all that lies beyond the last position from which
 overlap, found by one search in the block; what is skipped is never looked at.
 
 * A list of up to ``HOT`` classes gives candidate pairs in this way, which are checked on the
-  whole sets.
-* A longer list gives no pairs. Lists that share sets are gathered under the smallest label of
+  whole sets. Linked sets meet in ``MEET`` lists, of which those of the long lists that either is
+  in may be missing here.
+* A longer list gives no pairs, and only sets in ``MEET`` of such lists can meet there alone. Their lists that share sets are gathered under the smallest label of
   their sets and of these sets' lists (``HOPS`` steps, not to the end, so that common shingles
   don't chain a corpus together). The sets of a label are cut into chunks by size; a task takes
   two chunks whose sizes allow links. There a set's answers (its overlaps with all others) are
@@ -34,16 +35,18 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.llm.arrowtext import blocks, lowered, mix, prefix_sums, span_hash, words
 from lexispark.llm.components import components
-from lexispark.llm.shared import stored, sum_arrays
+from lexispark.llm.shared import PIECES, pieces, stored, sum_arrays
 
 SHINGLE, PERCENT = 5, 80
-#: Longest list that gives pairs; shingles in a chunk; buckets of the count sketch and of the filter of ids.
-HOT, CHUNK, SKETCH_BITS, FILTER_BITS = 16, 400_000, 20, 18
+#: Longest list that gives pairs; shingles in a chunk; buckets of the count sketch.
+HOT, CHUNK, SKETCH_BITS = 16, 400_000, 22
+#: Bits for each id in the filter of ids, at least, and the most bits that it may have (32 MB).
+FILTER_LOAD, FILTER_MOST = 16, 1 << 28
 #: Steps of labels from list to list.
 HOPS = 2
 #: Shingles that the prefixes of a candidate pair must share (fewer for tiny sets); prefixes are longer by as many.
@@ -77,21 +80,22 @@ def shingle_sets(block, k: int):
 
 
 def sketch(docs: DataFrame, k: int) -> np.ndarray:
-    """How often the shingles of each bucket occur in all documents."""
+    """How often the shingles of each bucket occur in all documents, as a byte that grows by 12 when the number doubles."""
 
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int32)
         for b in blocks(batches):
             found = np.concatenate(list(shingle_sets(b, k)))
             np.add.at(total, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+        yield from pieces(np.minimum(total, 255).astype(np.uint8))  # a task's share of a very frequent one is as good as more
 
-    return sum_arrays(docs.select("text").mapInArrow(run, "part binary"), 1 << SKETCH_BITS, np.int32).astype(np.int32)
+    found = sum_arrays(docs.select("text").mapInArrow(run, PIECES), 1 << SKETCH_BITS, np.uint8, np.int32)
+    return np.minimum(12 * np.log2(1 + found.astype(np.float32)), 255).astype(np.uint8)
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(doc_id, n, s1, s2, prefix): size and signature of each set, and its prefix in the global order."""
-    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))  # 4 bytes for each of 2**SKETCH_BITS buckets
+    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))  # a byte for each of 2**SKETCH_BITS buckets
 
     def run(batches):
         for b in blocks(batches):
@@ -183,29 +187,38 @@ def meetings(posted: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "shingle long, a long, b long, least long")
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(rep, s1, s2, s): the sets of all documents that pass a fixed-size filter, as the wanted reps do."""
-    size = 1 << FILTER_BITS
+def id_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """A bitmap over the hashes of the ids (one column) and its size in bits: FILTER_LOAD bits or more for each id, up to FILTER_MOST."""
+    size = min(FILTER_MOST, max(1 << 15, 1 << (FILTER_LOAD * ids.count()).bit_length()))
+    place = id_place(ids.columns[0], size)
+    marked = ids.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+    out = np.zeros(size // 8, np.uint8)
+    for row in marked.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+        out[(row.bucket - 1) << 12 :][: len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    return out, size
 
-    def mark(batches):
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            x = mix(batch.column(0).to_numpy().view(np.uint64))
-            total[(x >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = 1
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
-    marks = docs.sparkSession.sparkContext.broadcast(sum_arrays(wanted.select("rep").mapInArrow(mark, "part binary"), size) > 0)
+def id_place(name: str, size: int) -> Column:
+    """The place of an id in a filter, from 1."""
+    return F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(size)) + 1
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(rep, s1, s2, s): the sets of all documents that pass a filter, as the wanted reps do, and few others, however many reps there are."""
+    found, size = id_filter(wanted.select("rep").distinct())
+    marks = docs.sparkSession.sparkContext.broadcast(found)
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            use = marks.value[(mix(ids.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
-            for b in blocks([batch.filter(pa.array(use))]):
+            place = batch.column("place").to_numpy() - 1
+            use = (marks.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+            for b in blocks([batch.filter(pa.array(use.astype(bool)))]):
                 sets = [s.tobytes() for s in shingle_sets(b, k)]
                 sign = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, sets)), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sign[:, 0]), pa.array(sign[:, 1]), pa.array(sets, pa.binary())], ["rep", "s1", "s2", "s"])
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "rep long, s1 long, s2 long, s binary")
+    asked = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", id_place("doc_id", size).alias("place"))
+    return asked.mapInArrow(run, "rep long, s1 long, s2 long, s binary")
 
 
 class Parts:
@@ -288,6 +301,20 @@ def labelled(long: DataFrame) -> DataFrame:
     return long.join(lists, "shingle").select("rep", "n", "g").distinct()
 
 
+def paired(met: DataFrame, hot: DataFrame) -> DataFrame:
+    """(a, b): pairs of sets that meet often enough in short lists, if they share all the long lists (rep, h) that both could."""
+    pairs = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("met"), F.first("least").alias("least"))
+    of = lambda side: hot.select(F.col("rep").alias(side), F.col("h").alias(f"h_{side}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where("met + least(coalesce(h_a, 0), coalesce(h_b, 0)) >= least").select("a", "b")
+
+
+def only_hot(long: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """The rows of long lists (shingle, rep, n) whose sets are in so many of them that they might meet others there alone."""
+    partner = f"(n + ceil({percent} * n / 100))"  # with the smallest set that may link
+    return long.join(hot, "rep").where(f"h >= least({MEET}, ceil({percent} * {partner} / {100 + percent}))").select("shingle", "rep", "n")
+
+
 def chunk_requests(hot: DataFrame, percent: int) -> DataFrame:
     """(rep, g, i, j, side): which sets which pair of chunks needs, of the sets (rep, n, g) of long lists.
 
@@ -355,9 +382,11 @@ def join_documents(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
         some = some.join(chosen, ["doc_id", "s1", "s2"], "left_semi")
     classes = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     met = stored(meetings(postings(classes), percent), "meetings")
-    pairs = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("met"), F.first("least").alias("least")).where("met >= least").select("a", "b").checkpoint()
     long = met.where("b is null").select("shingle", F.col("a").alias("rep"), F.col("least").cast("int").alias("n"))
-    hot = labelled(long).checkpoint()
+    lists = long.groupBy("rep").agg(F.count("*").alias("h")).checkpoint()
+    pairs = paired(met, lists).checkpoint()
+    hot = labelled(only_hot(long, lists, percent)).checkpoint()
+    hot = hot.join(hot.groupBy("g").agg(F.count("*").alias("sets")).where("sets > 1"), "g", "left_semi")
     alone = "-1L as i", "-1L as j"
     owners, others = pairs.select("a").distinct().selectExpr("a as rep", "a as g", *alone, "0 as side"), pairs.selectExpr("b as rep", "a as g", *alone, "1 as side")
     named = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")).checkpoint()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.llm.arrowtext import blocks, lowered_latin
-from lexispark.llm.shared import labelled_sample, sum_arrays
+from lexispark.llm.shared import PIECES, labelled_sample, pieces, sum_arrays
 
 DIMS, PER_LANG, CENTROIDS, ROUNDS = 4096, 600, 4, 12
 SPREADS, LEAST_SPREAD, FARTHEST, SHARPNESS = 6.0, 0.03, 0.97, 12.0
@@ -106,9 +106,9 @@ def learn(training: DataFrame) -> LanguageModel:
             total[:DIMS] += (counts(b) > 0).sum(axis=0)
             n += len(b)
         total[DIMS] = n
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+        yield from pieces(total)
 
-    found = sum_arrays(training.select("text").mapInArrow(frequencies, "part binary"), DIMS + 1)
+    found = sum_arrays(training.select("text").mapInArrow(frequencies, PIECES), DIMS + 1)
     idf = (np.log((1 + found[DIMS]) / (1 + found[:DIMS])) + 0.1).astype(np.float32)
     # At most PER_LANG ids of each language.
     ids = labelled_sample(training.select("doc_id", "lang"), PER_LANG, "lang").select("doc_id")

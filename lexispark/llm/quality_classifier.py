@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.llm.arrowtext import blocks, prefix_sums, span_hash, words
-from lexispark.llm.shared import labelled_sample, sum_arrays
+from lexispark.llm.shared import PIECES, labelled_sample, pieces, sum_arrays
 
 WORDS, MOST_WORDS, SHAPES, DIMS, NONZERO, REACH = 1 << 13, 1 << 15, 2048, 32, 4, 2
 #: Bits of the bitmap that counts different words; places of context vectors gathered before they are added up.
@@ -61,9 +61,9 @@ def vocabulary_rows(docs: DataFrame) -> int:
         for b in blocks(batches):
             start, end, _ = words(b)
             seen[(span_hash(prefix_sums(b.data), start, end) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([seen.astype(np.int8).tobytes()], pa.binary())], ["part"])
+        yield from pieces(seen.astype(np.int8))
 
-    free = size - int((sum_arrays(docs.select("text").mapInArrow(run, "part binary"), size, np.int8) > 0).sum())
+    free = size - int((sum_arrays(docs.select("text").mapInArrow(run, PIECES), size, np.int8) > 0).sum())
     estimate = size * np.log(size / max(free, 1))
     return int(min(max(WORDS, 1 << int(np.ceil(np.log2(max(estimate, 1))))), MOST_WORDS))
 
@@ -107,9 +107,9 @@ def contexts(docs: DataFrame, n_words: int = WORDS) -> np.ndarray:
                 add()
         add()
         # A task's own sums fit 32 bits.
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.int32).tobytes()], pa.binary())], ["part"])
+        yield from pieces(total.astype(np.int32))
 
-    total = sum_arrays(docs.select("text").mapInArrow(run, "part binary"), rows * DIMS, np.int32).reshape(rows, DIMS).astype(np.float64)
+    total = sum_arrays(docs.select("text").mapInArrow(run, PIECES), rows * DIMS, np.int32).reshape(rows, DIMS).astype(np.float64)
     for part in (total[:n_words], total[n_words:]):
         size = np.linalg.norm(part, axis=1, keepdims=True)
         part /= np.maximum(size, 1.0)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 4 << 20
 #: Pieces that summed arrays are cut into.
 SLICES = 256
+PIECES = "place int, part binary"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -50,21 +51,21 @@ def fold(modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def sum_arrays(parts: DataFrame, length: int, dtype=np.int64) -> np.ndarray:
-    """The sum (of 64 bits) of arrays of whole numbers of fixed length, one row ``part binary`` each.
+def pieces(whole: np.ndarray):
+    """An array cut into SLICES pieces, as rows PIECES."""
+    size = -(-len(whole) // SLICES)
+    parts = [whole[i : i + size].tobytes() for i in range(0, len(whole), size)]
+    yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["place", "part"])
 
-    Arrays are cut into SLICES pieces, each summed on its own: a task reads its pieces only,
-    however many arrays there are, and the driver gets each piece once.
+
+def sum_arrays(parts: DataFrame, length: int, dtype=np.int64, into=np.int64) -> np.ndarray:
+    """The sum (in ``into``, where larger ones end) of arrays of whole numbers of fixed length, cut by ``pieces`` in the tasks that make them.
+
+    Each piece is summed on its own: a task reads its pieces only, however many arrays there
+    are, and the driver gets each piece once.
     """
     size = -(-length // SLICES)
 
-    def cut(batches):
-        for batch in batches:
-            for x in batch.column(0):
-                whole = np.frombuffer(x.as_py(), dtype)
-                pieces = [whole[i : i + size].tobytes() for i in range(0, length, size)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], ["place", "part"])
-
     def add(batches):
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -75,12 +76,11 @@ def sum_arrays(parts: DataFrame, length: int, dtype=np.int64) -> np.ndarray:
                 else:
                     totals[place] = piece.astype(np.int64)
         for place, total in totals.items():
-            yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["place", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([np.minimum(total, np.iinfo(into).max).astype(into).tobytes()], pa.binary())], ["place", "part"])
 
-    pieces = parts.mapInArrow(cut, "place int, part binary").repartition("place").mapInArrow(add, "place int, part binary")
-    out = np.zeros(length, np.int64)
-    for row in pieces.collect():
-        total = np.frombuffer(row.part, np.int64)
+    out = np.zeros(length, into)
+    for row in parts.repartition("place").mapInArrow(add, PIECES).collect():
+        total = np.frombuffer(row.part, into)
         out[row.place * size : row.place * size + len(total)] = total
     return out
 

@@ -93,6 +93,24 @@ def test_pairs_skip_what_cannot_link_only(spark):
     assert got == sorted(want) and want
 
 
+def test_few_sets_are_made_but_the_wanted_however_many_there_are(spark):
+    rows = spark.range(400_000).selectExpr("id as doc_id", "concat('a b c d ', id) as text")
+    made = jaccard_join.whole_sets(rows, rows.where("doc_id % 2 = 0").selectExpr("doc_id as rep"), 4).select("rep")
+    assert made.where("rep % 2 = 0").count() == 200_000
+    assert made.count() < 220_000
+
+
+def test_long_lists_take_sets_only_that_could_meet_there_alone(spark):
+    met = [(1, 10, 11, 3), (2, 20, 21, 3), (3, 30, 31, 3), (4, 30, 31, 3), (5, 40, 41, 1)]
+    lists = {10: 2, 11: 5, 20: 1, 21: 2, 50: 3, 51: 2, 52: 1, 53: 1}
+    met += [(100 + i, rep, None, 1 if rep == 53 else 40) for rep, n in lists.items() for i in range(n)]
+    met = spark.createDataFrame(met, "shingle long, a long, b long, least long")
+    hot = spark.createDataFrame(list(lists.items()), "rep long, h long")
+    assert sorted(map(tuple, jaccard_join.paired(met, hot).collect())) == [(10, 11), (40, 41)]
+    long = met.where("b is null").selectExpr("shingle", "a as rep", "cast(least as int) as n")
+    assert {r.rep for r in jaccard_join.only_hot(long, hot, 85).collect()} == {11, 50, 53}
+
+
 def test_chunk_links_equal_all_pairs():
     import numpy as np
 
