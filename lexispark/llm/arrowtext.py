@@ -17,6 +17,9 @@ MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1  # odd, so that powers can be inverted modulo 2**64
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
+#: Text bytes of a block; a worker needs up to about 125 bytes for each.
+BLOCK_BYTES = 1 << 18
+
 #: ``[\x20\x09-\x0D]``: what separates words in most of the operators.
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -64,7 +67,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, offsets, null
 
 
-def blocks(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20, text: str = "text", max_rows: int = 1 << 30) -> Iterator[Block]:
+def blocks(batches: Iterator[pa.RecordBatch], max_bytes: int = BLOCK_BYTES, text: str = "text", max_rows: int = 1 << 30) -> Iterator[Block]:
     for batch in batches:
         data, offsets, null = buffers(batch.column(text))
         i, n = 0, len(null)
@@ -73,12 +76,13 @@ def blocks(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20, text: st
             j = min(max(j, i + 1), i + max_rows, n)
             yield Block(batch, i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], null[i:j])
             i = j
+    pa.default_memory_pool().release_unused()  # Spark keeps the worker for later tasks
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n; grown by doubling and kept."""
     if _powers["n"] < n:
-        size = max(1 << 21, 1 << int(n).bit_length())
+        size = max(2 * BLOCK_BYTES, 1 << int(n).bit_length())
         for key, base in (("up", BASE), ("down", BASE_INVERSE)):
             x = np.full(size, base, np.uint64)
             x[0] = 1

@@ -241,7 +241,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
                 kept: list[int] | None = [] if keep_ids else None
                 for column, x in zip((n, ids, data), own.digest(b.raw(i).decode(), kept), strict=True):
                     column.append(x)
-                lists.append(kept)
+                lists.append(np.array(kept, np.int32) if keep_ids else None)
             columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())]
             yield pa.RecordBatch.from_arrays([*columns, *[pa.array(lists, pa.list_(pa.int32()))] * keep_ids], names)
         own.forget()

@@ -2,10 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lexispark.llm import jaccard_join, line_dedup, substring_dedup
+from lexispark.llm.arrowtext import blocks
 from lexispark.llm.components import components
 from lexispark.llm.line_dedup import build, dedup_lines, find
 
@@ -93,6 +95,12 @@ def test_pairs_skip_what_cannot_link_only(spark):
     assert got == sorted(want) and want
 
 
+def test_blocks_of_texts_are_small():
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 1000] * 3000})
+    sizes = [len(b.data) for b in blocks([batch])]
+    assert max(sizes) <= 1 << 18 and sum(sizes) == 3_000_000
+
+
 def test_few_sets_are_made_but_the_wanted_however_many_there_are(spark):
     rows = spark.range(400_000).selectExpr("id as doc_id", "concat('a b c d ', id) as text")
     made = jaccard_join.whole_sets(rows, rows.where("doc_id % 2 = 0").selectExpr("doc_id as rep"), 4).select("rep")
