@@ -49,7 +49,8 @@ def pack(scale: int, most: int):
         weights = np.zeros((width, len(rows)))
         for i, (_, v) in enumerate(rows):
             weights[: len(v), i] = np.floor(v * scale)
-        kind = "i4" if np.abs(weights).max(initial=0) < 1 << 31 else "f8"
+        largest = np.abs(weights).max(initial=0)
+        kind = "i2" if largest < 1 << 15 else "i4" if largest < 1 << 31 else "f8"
         columns = [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), pa.array([[i for i, _ in rows]], pa.list_(pa.int64())), pa.array([width], pa.int32()), pa.array([kind]), pa.array([weights.astype(kind).tobytes()], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["part", "piece", "ids", "width", "kind", "weights"])
 
@@ -194,7 +195,8 @@ def top_by_product(index: Packed, queries: DataFrame, k: int = 5, scale: int = 2
     deal = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     asked = blocks.rows.select(F.col("part").alias("block"), deal(index.parts).alias("shard"), *(F.col(c).alias(f"q_{c}") for c in ("piece", "ids", "width", "kind", "weights")))
     shards = index.rows.select(F.col("part").alias("shard"), deal(blocks.parts).alias("block"), "ids", "width", "kind", "weights")
-    found = shards.join(asked, ["shard", "block"]).mapInArrow(searcher(k), "block int, piece int, slot int, query_id long, vec_id long, score string")
+    # Merged, as each side has every row as often as the other has parts, of which Spark's sizes know nothing: it would broadcast them.
+    found = shards.hint("merge").join(asked, ["block", "shard"]).mapInArrow(searcher(k), "block int, piece int, slot int, query_id long, vec_id long, score string")
     score = F.col("score").cast("decimal(38,0)")
     order = Window.partitionBy("block", "piece", "slot").orderBy(score.desc(), F.asc_nulls_last("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

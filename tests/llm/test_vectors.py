@@ -107,6 +107,14 @@ def test_search(spark, monkeypatch, shard, block, most):
     assert sorted(((r.query_id, r.rank, r.vec_id, r.score) for r in got), key=str) == best(rows, 5)
 
 
+def test_search_broadcasts_no_vectors(spark):
+    """Shards times blocks of rows would meet in the driver."""
+    vectors = frame(spark, made(8, 40, 12))
+    found = top_by_product(build_shards(vectors), vectors, 5)
+    assert found.count() > 0
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+
+
 def test_postings_left_out():
     """Non-essential terms are read for vectors that compete only; ties with the k-th best are all kept."""
     rng = np.random.default_rng(7)
