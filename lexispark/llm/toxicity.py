@@ -180,7 +180,7 @@ def classify(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Data
         return rows.select("doc_id", F.lit(n_toxic / n if n else 0.0).alias("score"))
     parts = {k: measured(chosen.where(F.col("fold") == k).withColumnRenamed("__doc", "doc_id"), lexicon(counted, texts, 0, k) if k else whole) for k in range(FOLDS)}
     all_parts = reduce(DataFrame.unionByName, parts.values())
-    known = all_parts.join(F.broadcast(ids), F.col("doc_id") == F.col("__doc")).drop("doc_id").repartition(4, "__doc").checkpoint()
+    known = all_parts.join(F.broadcast(ids), F.col("doc_id") == F.col("__doc")).drop("doc_id").repartition(4, "__doc").coalesce(4).checkpoint()  # a session may deal to more; the trees pass over it many times
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="x")
     both = min(texts.get(0, (0, 0))) > 0
     learned = assemble.transform(known.where("fold > 0") if n_toxic - texts.get(0, (0, 0))[0] > 0 else known)
