@@ -30,6 +30,29 @@ def test_long_pieces():
         assert CODEC.encode(text) == LIBRARY.encode_ordinary(text)
 
 
+def test_new_pieces_are_merged_in_step(monkeypatch):
+    """A new piece needs no merges of its own in Python: those of all pieces of a text are made together."""
+    calls, merge = [], bpe.TreeCodec.merge
+    monkeypatch.setattr(bpe.TreeCodec, "merge", lambda self, data: calls.append(data) or merge(self, data))
+    parts = ["ti", "ach", "é", "ß", "qu", "er", "z"]
+    text = " ".join(parts[i % 7] + parts[i // 7 % 7] + parts[i // 49 % 7] + str(i % 10) for i in range(3430))
+    assert bpe.TreeCodec(CODEC.ranks, P.PATTERN).encode(text) == LIBRARY.encode_ordinary(text)
+    assert len(calls) < 30
+
+
+def test_small_stores_runs_and_batches(monkeypatch):
+    texts = ["", "one", "ab" * 200, *("".join(f" w{(i * i + k) % 90}{'tion' * (i % 9)} é{i}" for i in range(120)) for k in range(6)), "x " * 90]
+    want = [LIBRARY.encode_ordinary(t) for t in texts]
+    for name, value in (("KEPT", 30), ("RUN", 600), ("BATCH", 7)):
+        monkeypatch.setattr(bpe, name, value)
+    own, kept = bpe.TreeCodec(CODEC.ranks, P.PATTERN), []
+    for _ in range(2):
+        got = list(own.digests(texts, kept))
+        assert got == [(len(x), brute.sha(" ".join(map(str, x))), brute.sha(t)) for t, x in zip(texts, want, strict=True)]
+    assert [x.tolist() for x in kept] == want + want
+    assert len(own.known) <= 60 and len(own.small) <= 60
+
+
 def test_round_trip(docs, texts, empty):
     got = sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, list(r.token_ids)) for r in bpe.round_trip(docs, RANKS, P.PATTERN, keep_ids=True).collect())
     want = []
