@@ -182,19 +182,18 @@ def anchored_excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sourced_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Each benchmark item with all documents of two sources."""
-    docs = documents(spark, sf_dir).select("source", "doc_id", "text")
+    """Each benchmark item with two sources, and the documents of all sources."""
     named = F.explode(F.array_distinct(F.array(F.concat(F.lit("src"), F.pmod("item_id", F.lit(20)).cast("string")), F.lit("src3"))))
-    items = Q._benchmark(spark, sf_dir).select("item_id", "text", named.alias("source"))
-    return items.join(docs.select("source", "doc_id"), "source").select("item_id", "doc_id", "text"), docs.select("doc_id", "text")
+    return Q._benchmark(spark, sf_dir).select("item_id", "text", named.alias("source")), documents(spark, sf_dir).select("source", "doc_id", "text")
 
 
 def excerpt_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grounding.excerpt_regions(*_sourced_items(spark, sf_dir))
+    """Each benchmark item in all documents of two sources."""
+    return grounding.excerpt_regions(*_sourced_items(spark, sf_dir), by="source")
 
 
 def grounded_excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = grounding.grounded_excerpts(*_sourced_items(spark, sf_dir))
+    found = grounding.grounded_excerpts(*_sourced_items(spark, sf_dir), by="source")
     return found.where("found is not null").select("item_id", "doc_id", "score", "start", "end", digest("found").alias("digest"))
 
 

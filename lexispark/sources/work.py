@@ -9,6 +9,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of an Arrow batch that goes to a task's Python.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session are bounded by bytes, as rows of long texts fill many times as much as others."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for tables that queries keep: under spark.checkpoint.dir, a temporary one in a single local process only."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

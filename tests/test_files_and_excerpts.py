@@ -6,6 +6,7 @@ import json
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +188,39 @@ def test_grounded_excerpts(spark):
     assert got == {1: (0.875, copied.replace("brick", "stone")), 2: (0.0, None)}
 
 
+def test_excerpts_of_sources_are_anchored_where_texts_lie(spark, monkeypatch):
+    """Excerpts meet the texts of a source in parts; the same as pair by pair, and neither texts nor places are shuffled."""
+    monkeypatch.setattr(grounding, "PART", 400)
+    rng = random.Random(4)
+    vocabulary = [f"{a}{b}{i}" for a in ("stone", "river") for b in ("gate", "") for i in range(12)]
+    docs = [(i, f"s{i % 3}" if i % 7 else None, " ".join(rng.choices(vocabulary, k=rng.choice([0, 40, 300, 900])))) for i in range(30)] + [(40, "s1", None)]
+    items = [(k, s, d[2][50:170] if k % 2 else " ".join(rng.choices(vocabulary, k=6))) for k, d in enumerate(rng.choices(docs[:30], k=12)) for s in ("s0", "s1")] + [(90, "s2", None), (91, None, "stone1"), (92, "s1", "a b")]
+    texts = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    asked = spark.createDataFrame(items, "item_id long, source string, text string")
+    each = spark.createDataFrame([(k, d, t) for k, s, t in items for d, own, _ in docs if s and s == own], "item_id long, doc_id long, text string")
+    got = grounding.grounded_excerpts(asked, texts, by="source")
+    want = sorted(map(tuple, grounding.grounded_excerpts(each, texts.drop("source")).collect()), key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    regions = grounding.excerpt_regions(asked, texts, by="source")
+    whole = {(r.item_id, r.doc_id): r for r in regions.collect()}
+    known = {d: t for d, _, t in docs}
+    assert len(whole) == len(want) and all(tuple(whole[k, d])[2:] == plain_region(t or "", known[d]) for k, s, t in items for d, own, x in docs if s and s == own and x is not None)
+    plain = grounding.anchored_excerpts(each.withColumnRenamed("text", "excerpt"), texts, regions).join(regions.select("item_id", "doc_id", "score"), ["item_id", "doc_id"])
+    assert sorted(map(tuple, plain.select(*got.columns).collect()), key=str) == want and sum(r[5] is not None for r in want) > 5
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_of_long_texts_are_counted_in_stretches(monkeypatch):
+    monkeypatch.setattr(grounding, "SPAN", 3)
+    rng = random.Random(6)
+    for n in (5, 200, 1500):
+        text = " ".join(rng.choices([f"word{i}" for i in range(30)], k=n))
+        words = [rng.sample([f"word{i}" for i in range(40)], 5) for _ in range(20)]
+        asked = grounding.Asked(pa.array([{"item_id": i, "words": " ".join(w), "text": ""} for i, w in enumerate(words)]))
+        best, most = asked.best_windows(text, 800, 200)
+        assert [(m * 200, round(h / 5, 6)) for m, h in zip(best.tolist(), most.tolist())] == [plain_region(" ".join(w), text)[:2] for w in words]
+
+
 def test_repeated_and_failed_writes(spark, tmp_path):
     """A file is whole after a second write of the run, and stays as it was when a write fails."""
     rows = [(i, f"v2_x_{i}", "é 🙂" if i % 3 else None) for i in range(300)]
