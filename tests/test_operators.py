@@ -280,6 +280,24 @@ def test_search_skips_runs_of_sections(spark, monkeypatch, tmp_path):
             assert 0 < sum(read) < 0.7 * blocks, (read, blocks)
 
 
+def test_a_task_gives_on_the_best_of_its_runs_only(spark, monkeypatch, tmp_path):
+    """Postings are stored where their sections are read, a section is scored in one task, and copies give no more rows than are asked for."""
+    monkeypatch.setattr(ranking, "SPAN", 4)
+    text = "red fox jumps over lazy dogs near wide river banks today"
+    rows = [(None if i % 5 == 0 else f"s{i % 2}", 1000 - i, "", text if i % 3 else f"{text} stone {i}", 11, [], []) for i in range(120)]
+    index = ranking.stored_index(sections(spark, rows), str(tmp_path))
+    assert sorted(len(r.dls) for r in index.runs.collect())[-20:] == [4] * 20 and index.runs.select(F.sum(F.size("dls"))).first()[0] == 120
+    queries = spark.createDataFrame([("a", ["fox", "river"]), ("b", ["stone", "fox", "fox"]), ("c", ["none"])], "query_id string, terms array<string>")
+    plain = ranking.SearchIndex(index.postings, index.terms, index.stats)
+    for source in (None, "s1"):
+        got, want = (sorted(map(tuple, ranking.search(i, queries, 7, source).select("query_id", "rank", "source", "doc_id", "score").collect()), key=str) for i in (index, plain))
+        assert got == want and len(got) == 14
+    parts = ranking._parts(ranking._asked(index, queries), spark.createDataFrame([("b", 1e6)], "query_id string, least double"))
+    pairs = index.runs.crossJoin(parts)
+    made = pairs.mapInArrow(ranking._scores_of(7, None), "query_id string, source string, doc_id long, score double").collect()
+    assert {r.query_id for r in made} == {"a"} and len(made) <= 7 * pairs.rdd.getNumPartitions()
+
+
 def test_index_is_stored_once(spark, tmp_path):
     path, made = str(tmp_path / "docs"), []
     frame = sections(spark, [("s", 1, "", "one two three four five six seven eight nine ten", 10, [], [])])
