@@ -40,7 +40,10 @@ PHONE = r"\b0\d{1,2}[-\s]?\d{7,8}\b|\b\+\d{1,3}[-\s]?\d{1,4}[-\s]?\d{4,8}\b"
 URL = r"https?://\S+"
 DEFINED_TERM = r"(?i)([A-ZÀ-ɏ][\p{L}\p{N}_\s&\-]{2,30}?)\s+(?:houdt\s+in|betekent|staat\s+voor|is\s+een|refers?\s+to|means?|is\s+defined\s+as)"
 ABBREVIATION = r"\(([A-Z][A-Za-z&]{1,10})\)"
-KEY_NOUN = r"\b([A-ZÀ-ɏ][a-zÀ-ɏ]{2,}(?:\s+[A-ZÀ-ɏ][a-zÀ-ɏ]{2,})*)\b"
+# Capitalised words with spaces between, up to the last one that can end at a border of words. Words before it are whole and
+# their loop gives nothing back, as Java recurses for each turn of a loop that may: some thousand words would overflow the stack.
+_NOUN_WORD = r"[A-ZÀ-ɏ][a-zÀ-ɏ]{2,}"
+KEY_NOUN = rf"\b((?:{_NOUN_WORD}+\s++(?=(?:{_NOUN_WORD}+\s++)*?{_NOUN_WORD}\b))*+{_NOUN_WORD})\b"
 TOKEN = r"[a-zÀ-ɏ0-9]+"
 WORD, PLAIN_NOUN = r"[\p{L}\p{N}_]+", r"^[A-ZÀ-ɏ][a-zÀ-ɏ]{3,}$"
 

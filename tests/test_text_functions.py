@@ -1,9 +1,12 @@
 """Facts, tags, normal forms and ratios on small texts with known answers."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from lexispark.functions import text as X
+from lexispark.functions import values as V
 from lexispark.operators import sections as D
 
 
@@ -72,3 +75,16 @@ def test_tags(spark):
 def test_small_helpers(spark):
     row = spark.createDataFrame([("C:\\A\\Doc.PDF", "multi_hop", "x" * 9)], "p string, n string, t string")
     assert tuple(row.select(X.basename(F.col("p")), X.title_of(F.col("n")), X.shortened(F.col("t"), 4)).first()) == ("doc.pdf", "Multi Hop", "xxxx…")
+
+
+def test_long_runs_of_capitalised_words(spark):
+    """A text of nothing but names; and the same phrases as the plain pattern, whose loop recurses, has."""
+    plain = r"(?U)\b([A-ZÀ-ɏ][a-zÀ-ɏ]{2,}(?:\s+[A-ZÀ-ɏ][a-zÀ-ɏ]{2,})*)\b"
+    rng = random.Random(12)
+    parts = ("Abc", "Ab", "abc", "Éclair", "Ab÷", "Abc÷", "Abc÷de", "A×bc", "Abc9", "Abc_", "AbcD", "Ünd", "ÀÉÎ", "1Abc", "Abc-", "÷bc", "\u00a0")
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", " ", " ", "\n", "  ", ""]) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(F.regexp_extract_all("t", F.lit(plain), 1).alias("want"), X.found(F.col("t"), V.KEY_NOUN, 1).alias("got")).collect()
+    assert all(r.got == r.want for r in rows) and sum(any(" " in x for x in r.got) for r in rows) > 500
+    long = " ".join(["Name", "Other"] * 50_000)
+    got = spark.createDataFrame([(f"{long} is 9.",)], "t string").select(X.key_nouns(F.col("t")).alias("x")).first().x
+    assert got == [long]
