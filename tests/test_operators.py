@@ -6,7 +6,10 @@ import random
 
 from pyspark.sql import functions as F
 
+from lexispark.functions import values as V
 from lexispark.operators import generation, pairs, ranking, selection, summary, validation
+from lexispark.operators import sections as D
+from lexispark.plans import generate
 from lexispark.plans.generate import RunConfig, TypeConfig, run
 from lexispark.sources import corpus
 
@@ -298,6 +301,21 @@ def test_a_task_gives_on_the_best_of_its_runs_only(spark, monkeypatch, tmp_path)
     assert {r.query_id for r in made} == {"a"} and len(made) <= 7 * pairs.rdd.getNumPartitions()
 
 
+def test_a_run_finds_the_facts_that_its_strategies_read(spark):
+    """Each strategy scores as it does on all facts, and the facts of others are not looked for."""
+    words = [f"word{i}" for i in range(40)]
+    texts = [" ".join(random.Random(i).sample(words, 30)) + f" Grace Period means {100 + i} items on 12-05-2024 for $9{i}.\n- Call 020-12345{10 + i} or a{i}@ex.org, https://ex.org/{i}\na | b | c\nd | e | f" for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", f"s{i % 3}", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = D.corpus_view(docs)
+    every = generate.prepared(rows)
+    assert set(generate.READS) == set(V.QUESTION_TYPES.values()) | {"temporal"}
+    for strategy in selection.SCORES:
+        own = generate.prepared(rows, [strategy])
+        got, want = (sorted(map(tuple, selection.top_passages(strategy, t, 9).collect())) for t in (own, every))
+        assert got == want and "content" not in own.columns
+    assert {"has_dates", "urls", "entity_count"}.isdisjoint(generate.prepared(rows, ["within", "lists"]).columns)
+
+
 def test_index_is_stored_once(spark, tmp_path):
     path, made = str(tmp_path / "docs"), []
     frame = sections(spark, [("s", 1, "", "one two three four five six seven eight nine ten", 10, [], [])])
